@@ -56,7 +56,9 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = given(spark, sf_dir, "lineitem")
     parts = given(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
     placed = orders.join(guests, F.col("o_custkey") == F.col("c_custkey"))
-    joined = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    # Lines and orders both grow with the data: they are shuffled on their key at any
+    # size, hot keys being split at run time. Other sides are broadcast while small.
+    joined = lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
     arrival = F.col("arrival")
