@@ -1,0 +1,296 @@
+import uuid
+
+import pandas as pd
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from roomledger import schemas
+from roomledger.operators import checks, loads
+from roomledger.operators.lookup import Dimension, lookup
+from roomledger.operators.numbering import number_rows
+from roomledger.plans import dims
+from roomledger.session import shared_root, work_folder
+from roomledger.sources import files
+
+
+def table(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def plan(df):
+    """The plan as it ran: with the join choices made at run time."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def fresh(spark):
+    return work_folder(spark, "test")
+
+
+# Numbering.
+
+def skewed(spark, rows=20_000):
+    """A third of the rows share one leading key, another third are full copies."""
+    third = rows // 3
+    n = F.col("id")
+    return spark.range(0, rows, 1, 6).select(
+        F.when(n < 2 * third, 7).when(n % 97 == 0, None).otherwise(n % 50).cast("int").alias("k"),
+        F.when(n < third, n).when(n < 2 * third, -1).otherwise(n % 11).alias("t"),
+    )
+
+
+def test_numbers_equal_a_global_row_number(spark, fresh):
+    df = skewed(spark)
+    numbered = number_rows(df, ["k", "t"], "id", fresh, partitions=7)
+    assert numbered.columns == ["k", "t", "id"]
+    assert dict(numbered.dtypes)["id"] == "bigint"
+    order = Window.orderBy(F.asc_nulls_first("k"), F.asc_nulls_first("t"))
+    assert table(numbered) == table(df.withColumn("id", F.row_number().over(order)))
+
+
+def test_hot_keys_and_copies_are_spread(spark, fresh):
+    number_rows(skewed(spark), ["k", "t"], "id", fresh, partitions=8)
+    parts = spark.read.parquet(f"{fresh}/sorted").groupBy("_part", "k", "t").count()
+    sizes = parts.groupBy("_part").agg(F.sum("count").alias("n")).toPandas().n
+    assert len(sizes) == 8
+    assert sizes.max() < 20_000 / 4
+    copies = parts.filter((F.col("k") == 7) & (F.col("t") == -1))
+    assert copies.count() >= 2
+
+
+def test_unique_rows_need_no_first_copy(spark, fresh):
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") * 7919 % 1000).alias("k"))
+    numbered = number_rows(df, ["k"], "id", fresh, unique=True)
+    assert table(numbered) == [(k, k + 1) for k in sorted(range(1000), key=lambda k: repr((k, k + 1)))]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{fresh}/landed")
+
+
+def test_numbering_an_empty_frame(spark, fresh):
+    df = spark.range(0).select(F.col("id").alias("k"))
+    assert number_rows(df, ["k"], "id", fresh).count() == 0
+
+
+def test_windows_run_over_one_row_per_partition(spark, fresh):
+    text = plan(number_rows(skewed(spark), ["k", "t"], "id", fresh))
+    assert text.count("Window [") >= 1
+    window = text[text.index("Window [") :]
+    assert "HashAggregate(keys=[_part" in window
+    assert "BroadcastHashJoin" in text
+
+
+# Lookups.
+
+def facts(spark, rows=30_000):
+    """A third of the facts on one key, a third on NULL, the rest spread or unknown."""
+    n = F.col("id")
+    return spark.range(0, rows, 1, 6).select(
+        n.alias("fact"),
+        F.when(n % 3 == 0, 1).when(n % 3 == 1, None).otherwise(n % 1500).alias("key"),
+    )
+
+
+def dimension(spark, rows=1000):
+    return spark.range(rows).select(F.col("id").alias("dim_key"), (F.col("id") * 2).alias("name"))
+
+
+def test_small_and_large_dimensions_give_the_same_rows(spark):
+    fact, dim = facts(spark), Dimension.counted(dimension(spark))
+    on = F.col("key") == F.col("dim_key")
+    small, large = lookup(fact, dim, on), lookup(fact, dim, on, max_broadcast_rows=999)
+    assert small.count() == 30_000
+    assert table(small) == table(large)
+    assert small.filter(F.col("key").isNull() & F.col("name").isNotNull()).count() == 0
+
+
+def test_join_choice_follows_the_counted_rows(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        fact, dim = facts(spark), Dimension.counted(dimension(spark))
+        on = F.col("key") == F.col("dim_key")
+        assert "BroadcastHashJoin" in plan(lookup(fact, dim, on, max_broadcast_rows=1000))
+        beyond = plan(lookup(fact, dim, on, max_broadcast_rows=999))
+        assert "Broadcast" not in beyond and "SortMergeJoin" in beyond
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_hot_keys_of_a_large_lookup_are_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact, dim = facts(spark), Dimension.counted(dimension(spark))
+        joined = lookup(fact, dim, F.col("key") == F.col("dim_key"), max_broadcast_rows=0)
+        assert "skew=true" in plan(joined)
+        assert joined.count() == 30_000
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+# Loads.
+
+def hotel_rows(spark, *rows):
+    return files.rows(spark, list(rows), schemas.DIM_HOTEL)
+
+
+def test_keyed_append_adds_a_key_once(spark, fresh):
+    loads.overwrite(hotel_rows(spark, (1, "Resort Hotel", "Resort")), fresh)
+    new = hotel_rows(spark, (99, "B", "City"), (99, "A", "City"), (1, "Other", "City"))
+    for _ in range(2):
+        stored = loads.keyed_append(new, fresh, "hotel_key")
+    assert table(stored) == [(1, "Resort Hotel", "Resort"), (99, "A", "City")]
+
+
+def test_keyed_append_starts_a_table(spark, fresh):
+    stored = loads.keyed_append(hotel_rows(spark, (1, "A", "City")), fresh, "hotel_key")
+    assert table(stored) == [(1, "A", "City")]
+
+
+def test_plain_append_does_not_look_at_keys(spark, fresh):
+    row = hotel_rows(spark, (99, "A", "City"))
+    loads.overwrite(row, fresh)
+    assert table(loads.append(row, fresh)) == [(99, "A", "City")] * 2
+
+
+def test_overwrite_replaces(spark, fresh):
+    loads.overwrite(hotel_rows(spark, (1, "A", "City"), (2, "B", "City")), fresh)
+    assert table(loads.overwrite(hotel_rows(spark, (3, "C", "City")), fresh)) == [(3, "C", "City")]
+
+
+def test_registered_table_sees_new_files(spark, fresh):
+    database = "reg_" + uuid.uuid4().hex
+    loads.create_database(spark, database, f"{fresh}/catalog")
+    path, name = f"{fresh}/dim_hotel", f"`{database}`.dim_hotel"
+    loads.overwrite(hotel_rows(spark, (1, "A", "City")), path)
+    assert loads.register(spark, name, path).count() == 1
+    loads.append(hotel_rows(spark, (2, "B", "City")), path)
+    assert loads.register(spark, name, path).count() == 2
+    assert spark.sql(f"SELECT max(hotel_key) FROM {name}").first()[0] == 2
+
+
+def test_registered_partitions_are_found(spark, fresh):
+    database = "reg_" + uuid.uuid4().hex
+    loads.create_database(spark, database, f"{fresh}/catalog")
+    path, name = f"{fresh}/t", f"`{database}`.t"
+    df = spark.range(10).select("id", F.when(F.col("id") < 8, F.col("id") % 2).alias("year"))
+    loads.overwrite(df, path, partition_by=["year"])
+    stored = loads.register(spark, name, path, partitioned=True)
+    assert table(stored.select("id", "year")) == table(df)
+
+
+def test_intervals_by_year(spark, fresh):
+    df = spark.range(30).select("id", (2015 + F.col("id") % 4).cast("int").alias("arrival_date_year"))
+    loads.write_intervals(df, fresh, [2015, 2016])
+    loads.write_intervals(df, fresh, [2017])
+    back = spark.read.schema("id bigint, arrival_date_year int").json(f"{fresh}/interval_year=*")
+    assert table(back) == table(df.filter("arrival_date_year < 2018"))
+
+
+# Checks.
+
+def test_registry_reports_missing_tables(spark, fresh):
+    loads.overwrite(hotel_rows(spark, (1, "A", "City")), f"{fresh}/dim_hotel")
+    tables = {"dim_hotel": f"{fresh}/dim_hotel", "gold_none": f"{fresh}/none"}
+    rows = checks.table_registry(spark, tables).collect()
+    assert tuple(rows[0]) == ("dim_hotel", "DIM", 1, None)
+    assert tuple(rows[1])[:3] == ("gold_none", "GOLD", None)
+    assert "PATH_NOT_FOUND" in rows[1].error
+
+
+def test_row_count_check(spark):
+    df = spark.range(5)
+    assert tuple(checks.row_count_check(df, 5).first()) == (5, 5, 1)
+    assert tuple(checks.row_count_check(df, 6).first()) == (5, 6, 0)
+    assert tuple(checks.row_count_check(df, spark.range(5)).first()) == (5, 5, 1)
+
+
+def test_dimension_counts_find_repeated_keys(spark):
+    keys = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "code string")
+    found = checks.dimension_counts({"one": (keys, "code"), "none": (keys.limit(0), "code")})
+    assert table(found) == [("none", 0, 0), ("one", 4, 1)]
+
+
+# Guest origins.
+
+def profile_rows(spark, *rows):
+    columns = {"country": "string", "previous_cancellations": "int", "market_segment": "string"}
+    return files.rows(spark, list(rows), columns)
+
+
+def test_origin_rules(spark, fresh):
+    rows = [
+        ("B", 1, "y"),
+        ("B", 0, "x"),
+        ("A", None, None),
+        ("A", None, None),
+        (None, 1, "x"),
+        ("C", 2, None),
+        ("C", 0, "z"),
+        ("C", 0, None),
+    ]
+    origins = dims.guest_origins(profile_rows(spark, *rows), fresh)
+    assert table(origins) == [
+        (1, "A", 2, 0.0, "Unknown"),
+        (2, "B", 2, 0.5, "x"),
+        (3, "C", 3, 0.3333, "z"),
+    ]
+
+
+def test_origins_equal_pandas(spark, fresh):
+    n = 5000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 13 != 0, F.concat(F.lit("c"), F.pmod(F.hash("id"), F.lit(40)))).alias(
+            "country"
+        ),
+        F.when(F.col("id") % 5 != 0, F.pmod(F.hash(F.col("id") + 1), F.lit(3)))
+        .cast("int")
+        .alias("previous_cancellations"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("m"), F.pmod(F.hash(F.col("id") + 2), F.lit(6))))
+        .alias("market_segment"),
+    )
+    expected = []
+    pdf = df.toPandas()
+    for key, (country, group) in enumerate(pdf.dropna(subset="country").groupby("country"), start=1):
+        share = round(float((group.previous_cancellations > 0).mean()), 4)
+        expected.append((key, country, len(group), share, group.market_segment.mode()[0]))
+    assert table(dims.guest_origins(df, fresh)) == sorted(expected, key=repr)
+    assert isinstance(pdf, pd.DataFrame)
+
+
+# The shared folder.
+
+def test_work_goes_below_the_checkpoint_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert shared_root(spark) == root
+    assert work_folder(spark, "x").startswith(f"{root}/roomledger/x-")
+    assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+class Settings:
+    def __init__(self, values):
+        self.values = values
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Settings({"spark.master": "yarn"}))
+    assert shared_root(Settings({"spark.master": "local[2]"}))
