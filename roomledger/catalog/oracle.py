@@ -60,7 +60,7 @@ dated AS (
         CAST(year(arrival) AS INT) AS arrival_date_year,
         stays_in_weekend_nights + stays_in_week_nights AS total_nights,
         adults + children + babies AS total_guests,
-        greatest(raw_adr, 0.0) AS adr,
+        CASE WHEN raw_adr < 0 THEN 0.0 ELSE raw_adr END AS adr,
         CASE WHEN raw_adr < 0 THEN 0.0
              ELSE round(raw_adr * (stays_in_weekend_nights + stays_in_week_nights), 2)
         END AS total_revenue,

@@ -13,7 +13,15 @@ from roomledger.functions import names
 from roomledger.operators import checks, loads
 from roomledger.operators.lookup import Dimension
 from roomledger.plans import dims, feed, gold, reports, silver
-from roomledger.plans.lakehouse import BRONZE, SILVER, Lakehouse, build, land_feed, load_bronze
+from roomledger.plans.lakehouse import (
+    BRONZE,
+    SILVER,
+    Lakehouse,
+    build,
+    land_feed,
+    load_bronze,
+    load_bronze_by_interval,
+)
 from roomledger.session import work_folder
 from roomledger.sources import files
 from roomledger.streaming import silver as silver_stream
@@ -211,12 +219,9 @@ def bronze_by_interval(spark, sf_dir):
     lake = _lake(spark)
     loads.create_database(spark, lake.database, f"{lake.base}/catalog")
     bookings = booking_feed(spark, sf_dir)
-    # Intervals land in time order, so this loop is the feed's clock: one turn per year.
-    first, last = dims.date_bounds(bookings)
-    for year in range(first.year, last.year + 1):
-        loads.write_intervals(bookings, lake.intervals, [year])
-        stored = load_bronze(spark, lake)
-    return checks.rows_by_source(stored)
+    years = bookings.select("arrival_date_year").distinct().orderBy("arrival_date_year")
+    landing = [row.arrival_date_year for row in years.collect()]
+    return checks.rows_by_source(load_bronze_by_interval(bookings, lake, landing))
 
 
 def bronze_restart(spark, sf_dir):

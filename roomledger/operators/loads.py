@@ -29,14 +29,20 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
 def unseen_rows(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """One row per key of the new rows whose key the stored table does not have.
 
-    Of several new rows with one key the smallest is kept. Only stored keys that
-    also occur in the new rows take part in the anti join, so that its size
-    follows the load and not the table.
+    Of several new rows with one key the smallest is kept; NULL counts as a key.
+    Only stored keys that also occur in the new rows take part in the anti join, so
+    that its size follows the load and not the table.
     """
     rest = [c for c in new.columns if c != key]
     first = new.groupBy(key).agg(F.min(F.struct(*rest)).alias("_rest"))
-    known = stored.select(key).join(new.select(key), key, "left_semi").distinct()
-    return first.join(known, key, "left_anti").select(
+    loaded = new.select(F.col(key).alias("_loaded"))
+    known = (
+        stored.select(F.col(key).alias("_known"))
+        .join(loaded, F.col("_known").eqNullSafe(F.col("_loaded")), "left_semi")
+        .distinct()
+    )
+    unseen = first.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+    return unseen.select(
         *[F.col(c) if c == key else F.col(f"_rest.{c}").alias(c) for c in new.columns]
     )
 

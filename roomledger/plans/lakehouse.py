@@ -101,6 +101,16 @@ def load_bronze(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     return bronze_stream.read_bronze(spark, path)
 
 
+def load_bronze_by_interval(
+    bookings: DataFrame, lake: Lakehouse, years: Sequence[int]
+) -> DataFrame:
+    """Land one year after the other, with a run of the stream after each."""
+    for year in years:
+        loads.write_intervals(bookings, lake.intervals, [year])
+        stored = load_bronze(bookings.sparkSession, lake)
+    return stored
+
+
 def load_silver(
     spark: SparkSession, lake: Lakehouse, dims: silver.Dimensions
 ) -> DataFrame:

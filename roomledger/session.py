@@ -35,13 +35,13 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can write to, as named by spark.checkpoint.dir.
+    """The folder all executors can write to: the session's checkpoint directory.
 
     Only a local master may go without the setting: a cluster's executors do not
     share the driver's temporary folder.
     """
     global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):

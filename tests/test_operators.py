@@ -156,6 +156,19 @@ def test_keyed_append_adds_a_key_once(spark, fresh):
     assert table(stored) == [(1, "Resort Hotel", "Resort"), (99, "A", "City")]
 
 
+def test_keyed_append_knows_the_null_key(spark, fresh):
+    new = hotel_rows(spark, (None, "A", "City"), (1, "B", "City"))
+    for _ in range(2):
+        stored = loads.keyed_append(new, fresh, "hotel_key")
+    assert table(stored) == [(1, "B", "City"), (None, "A", "City")]
+
+
+def test_keyed_append_joins_by_hash(spark):
+    big = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    text = plan(loads.unseen_rows(big, big, "k"))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
 def test_keyed_append_starts_a_table(spark, fresh):
     stored = loads.keyed_append(hotel_rows(spark, (1, "A", "City")), fresh, "hotel_key")
     assert table(stored) == [(1, "A", "City")]
@@ -282,15 +295,21 @@ def test_work_goes_below_the_checkpoint_folder(spark):
 
 
 class Settings:
-    def __init__(self, values):
-        self.values = values
-        self.conf = self
+    """A session with these settings only."""
+
+    def __init__(self, values, folder=None):
+        self.values, self.folder = values, folder
+        self.conf = self.sparkContext = self
 
     def get(self, key, default=None):
         return self.values.get(key, default)
 
+    def getCheckpointDir(self):
+        return self.folder
+
 
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(Settings({"spark.master": "yarn"}))
+    assert shared_root(Settings({"spark.master": "yarn"}, "hdfs:///x")) == "hdfs:///x"
     assert shared_root(Settings({"spark.master": "local[2]"}))

@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,20 @@ def test_a_late_file_of_an_old_interval_is_picked_up(spark, lake):
     assert bronze.read_bronze(spark, lake.path("bronze")).count() == 15
 
 
+def test_a_batch_that_was_not_committed_is_not_written_twice(spark, lake):
+    """As after a driver lost between writing a batch and noting it as done."""
+    loads.write_intervals(feed(spark, 0, 30, 2015), lake.intervals)
+    run(spark, lake)
+    commits = Path(lake.checkpoint("bronze")) / "commits"
+    last = max((f for f in commits.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    last.unlink()
+    (commits / f".{last.name}.crc").unlink(missing_ok=True)
+    loads.write_intervals(feed(spark, 100, 20, 2016), lake.intervals)
+    run(spark, lake)
+    stored = bronze.read_bronze(spark, lake.path("bronze"))
+    assert (stored.count(), stored.select("booking_id").distinct().count()) == (50, 50)
+
+
 def test_batches_can_be_limited(spark, lake):
     for year in (2015, 2016, 2017):
         loads.write_intervals(feed(spark, year, 4, year).coalesce(1), lake.intervals)
