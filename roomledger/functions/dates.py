@@ -33,13 +33,10 @@ def month_number(name: Column) -> Column:
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     """The date, or NULL if a part is missing or there is no such day.
 
-    Built from numbers: no text is padded, joined and parsed per row. The parts are
-    checked first, as make_date fails on a day that does not exist.
+    Built from numbers: no text is padded, joined and parsed per row.
     """
-    in_range = year.between(1, 9999) & month.between(1, 12)
-    month_start = F.when(in_range, F.make_date(year, month, F.lit(1)))
-    exists = day.between(1, F.dayofmonth(F.last_day(month_start)))
-    return F.when(exists, F.date_add(month_start, day - 1))
+    midnight = (F.lit(0), F.lit(0), F.lit(0))
+    return F.try_make_timestamp_ntz(year, month, day, *midnight).cast("date")
 
 
 def date_key(day: Column) -> Column:
