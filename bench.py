@@ -36,21 +36,18 @@ def main() -> None:
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else list(QUERIES)
 
-    settings = {"spark.sql.shuffle.partitions": cpus}
-    if "BENCH_SHARED_DIR" in os.environ:
-        settings["spark.checkpoint.dir"] = os.environ["BENCH_SHARED_DIR"]
-    else:
-        settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="roomledger-bench-")
-    spark = local_session(cpus, **settings)
     seconds = {}
-    try:
-        for name in WARM_UP:
-            timed(spark, QUERIES[name], sf_dir)
-        for name in names:
-            rounds = [timed(spark, QUERIES[name], sf_dir) for _ in range(runs)]
-            seconds[name] = round(statistics.median(rounds), 3)
-    finally:
-        spark.stop()
+    with tempfile.TemporaryDirectory(prefix="roomledger-bench-") as shared:
+        settings = {"spark.sql.shuffle.partitions": cpus, "spark.checkpoint.dir": shared}
+        spark = local_session(cpus, **settings)
+        try:
+            for name in WARM_UP:
+                timed(spark, QUERIES[name], sf_dir)
+            for name in names:
+                rounds = [timed(spark, QUERIES[name], sf_dir) for _ in range(runs)]
+                seconds[name] = round(statistics.median(rounds), 3)
+        finally:
+            spark.stop()
     result = {
         "metric": "total seconds of all registered queries, warm",
         "value": round(sum(seconds.values()), 3),

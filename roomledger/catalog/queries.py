@@ -14,17 +14,15 @@ from roomledger.operators import checks, loads
 from roomledger.operators.lookup import Dimension
 from roomledger.plans import dims, feed, gold, reports, silver
 from roomledger.plans.lakehouse import (
-    BRONZE,
-    SILVER,
     Lakehouse,
     build,
     land_feed,
     load_bronze,
     load_bronze_by_interval,
+    refresh_silver,
 )
 from roomledger.session import work_folder
 from roomledger.sources import files
-from roomledger.streaming import silver as silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,12 +252,8 @@ def dimension_counts(spark, sf_dir):
 def silver_streamed(spark, sf_dir):
     """Bronze streamed into Silver: rows and measures per hotel and year."""
     lake, _ = _bronze(spark, sf_dir)
-    path = lake.path(SILVER)
-    silver_stream.refresh(
-        spark, lake.path(BRONZE), path, lake.checkpoint(SILVER), _dimensions(spark, sf_dir)
-    )
     return (
-        silver_stream.read_silver(spark, path)
+        refresh_silver(spark, lake, _dimensions(spark, sf_dir))
         .groupBy("hotel_key", "year")
         .agg(
             F.count("*").alias("rows"),

@@ -65,24 +65,38 @@ def write_intervals(
     feed: DataFrame,
     path: str,
     years: Sequence[int] | None = None,
+    mode: str = "append",
     max_records_per_file: int = 0,
+    compression: str = "none",
 ) -> None:
     """Write the feed as JSON lines, one directory per arrival year, in one parallel pass.
 
     The year is copied into the partition column because that column leaves the
-    files. Adds to what the path holds, so that intervals may land one at a time.
+    files. Appending lets intervals land one at a time.
     """
     if years is not None:
         feed = feed.filter(F.col("arrival_date_year").isin(*years))
     (
         feed.withColumn("interval_year", F.col("arrival_date_year"))
-        .write.mode("append")
+        .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("compression", compression)
         .partitionBy("interval_year")
         .json(path)
     )
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the path has finished, by the marker that Spark leaves."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException as error:
+        if error.getCondition() not in NO_TABLE:
+            raise
+        return False
+    return True
+
+
 def create_database(spark: SparkSession, database: str, path: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{path}'")
 

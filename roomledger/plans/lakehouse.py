@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ from roomledger.streaming import silver as silver_stream
 DIMENSIONS = ("dim_date", "dim_hotel", "dim_guest_origin", "dim_room_type")
 BRONZE = "bronze_fact_bookings"
 SILVER = "silver_fact_bookings_enriched"
+STREAMED_SILVER = "silver_fact_bookings_streamed"
 GOLD = {
     "gold_revenue_by_hotel_year": gold.revenue_by_hotel_year,
     "gold_top_countries_revenue": gold.top_countries,
@@ -40,6 +42,9 @@ class Lakehouse:
     def table(self, name: str) -> str:
         return f"`{self.database}`.{name}"
 
+    def staging(self, name: str) -> str:
+        return f"{self.base}/staging/{name}-{uuid.uuid4().hex}"
+
     @property
     def intervals(self) -> str:
         return f"{self.base}/feed"
@@ -69,7 +74,7 @@ def load_dimensions(
     lake.store(calendar.frame, "dim_date")
     lake.store(dims.hotels(hotels), "dim_hotel")
     lake.store(dims.room_types(room_types), "dim_room_type")
-    origins = dims.guest_origins(profiles, f"{lake.base}/staging/guest_origins")
+    origins = dims.guest_origins(profiles, lake.staging("guest_origins"))
     lake.store(origins, "dim_guest_origin")
     return stored_dimensions(spark, lake)
 
@@ -87,11 +92,16 @@ def stored_dimensions(spark: SparkSession, lake: Lakehouse) -> silver.Dimensions
 
 def land_feed(
     raw: DataFrame, lake: Lakehouse, tie_breakers: Sequence[str] | None = None
-) -> DataFrame:
-    """Number the bookings and land them as yearly JSON intervals."""
-    bookings = feed.booking_feed(raw, f"{lake.base}/staging/feed", tie_breakers)
-    loads.write_intervals(bookings, lake.intervals)
-    return bookings
+) -> None:
+    """Number the bookings and land them as yearly JSON intervals.
+
+    A feed that has landed stays as it is, since the stream may have read it. One
+    that was cut short is written anew.
+    """
+    if loads.is_complete(raw.sparkSession, lake.intervals):
+        return
+    bookings = feed.booking_feed(raw, lake.staging("feed"), tie_breakers)
+    loads.write_intervals(bookings, lake.intervals, mode="overwrite")
 
 
 def load_bronze(spark: SparkSession, lake: Lakehouse) -> DataFrame:
@@ -114,7 +124,7 @@ def load_bronze_by_interval(
 def load_silver(
     spark: SparkSession, lake: Lakehouse, dims: silver.Dimensions
 ) -> DataFrame:
-    """Rebuild Silver from all of Bronze. refresh in streaming.silver adds new rows only."""
+    """Rebuild Silver from all of Bronze, as is due after dimensions changed."""
     enriched = silver.enrich(bronze_stream.read_bronze(spark, lake.path(BRONZE)), dims)
     path = lake.path(SILVER)
     loads.overwrite(enriched, path, partition_by=[silver_stream.PARTITION])
@@ -122,6 +132,20 @@ def load_silver(
     return silver_stream.read_silver(spark, path)
 
 
+def refresh_silver(
+    spark: SparkSession, lake: Lakehouse, dims: silver.Dimensions
+) -> DataFrame:
+    """Silver as a stream keeps it: only new Bronze rows are joined and added.
+
+    A table beside the rebuilt one, with the keys its dimensions had at the time.
+    """
+    path = lake.path(STREAMED_SILVER)
+    checkpoint = lake.checkpoint(STREAMED_SILVER)
+    silver_stream.refresh(spark, lake.path(BRONZE), path, checkpoint, dims)
+    loads.register(spark, lake.table(STREAMED_SILVER), path)
+    return silver_stream.read_silver(spark, path)
+
+
 def load_gold(stored_silver: DataFrame, lake: Lakehouse) -> dict[str, DataFrame]:
     return {name: lake.store(build(stored_silver), name) for name, build in GOLD.items()}
 
@@ -138,16 +162,18 @@ def build(
 ) -> DataFrame:
     """Build every table and return the registry.
 
-    The calendar covers the feed's own dates unless one is given.
+    The calendar covers the bookings' own dates unless one is given. Running it
+    again after a failure goes on from the landed feed and the stream's checkpoint;
+    dimensions, Silver and Gold are rebuilt.
     """
     loads.create_database(spark, lake.database, f"{lake.base}/catalog")
-    bookings = land_feed(raw, lake, tie_breakers)
+    land_feed(raw, lake, tie_breakers)
+    stored_bronze = load_bronze(spark, lake)
     if calendar is None:
-        bounds = dims.date_bounds(bookings)
+        bounds = dims.date_bounds(stored_bronze)
         if bounds is None:
             raise ValueError("the feed has no arrival date to build a calendar from")
         calendar = dims.calendar(spark, *bounds)
     star = load_dimensions(spark, lake, calendar, hotels, room_types, profiles)
-    load_bronze(spark, lake)
     load_gold(load_silver(spark, lake, star), lake)
     return checks.table_registry(spark, lake.tables())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from roomledger import schemas
+from roomledger.operators import loads
 from roomledger.plans.silver import Dimensions, enrich
 from roomledger.streaming.bronze import BatchLimits, append_stream, stream_bronze
 
@@ -20,7 +21,13 @@ def refresh(
     dims: Dimensions,
     limits: BatchLimits = BatchLimits(),
 ) -> StreamingQuery:
-    """Enrich the Bronze rows that Silver does not have yet; stored rows are not read."""
+    """Enrich the Bronze rows that Silver does not have yet; stored rows are not read.
+
+    The path is the stream's own: readers of it see what the sink's log lists, so a
+    table written there as a batch would vanish and is refused.
+    """
+    if loads.is_complete(spark, path):
+        raise ValueError(f"{path} was written as a batch; give the stream a path of its own")
     enriched = enrich(stream_bronze(spark, bronze_path, limits), dims)
     query = append_stream(enriched, path, checkpoint, PARTITION)
     query.awaitTermination()

@@ -1,6 +1,7 @@
 """The stored tables end to end, and the shape of the plans behind them."""
 
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from roomledger.catalog import queries, sample
 from roomledger.operators import loads
 from roomledger.plans import gold, lakehouse, reports
 from roomledger.session import work_folder
+from roomledger.sources import files
 from roomledger.streaming import bronze
 from roomledger.streaming import silver as silver_stream
 
@@ -44,6 +46,31 @@ def stored_silver(spark, built):
     return silver_stream.read_silver(spark, built[0].path(lakehouse.SILVER))
 
 
+def test_building_again_adds_nothing(spark):
+    lake = lakehouse.Lakehouse(work_folder(spark, "test"), "db_" + uuid.uuid4().hex)
+    sources = {
+        "raw": sample.bookings(spark, SF_DIR),
+        "hotels": sample.hotels(spark),
+        "room_types": sample.room_types(spark),
+        "profiles": sample.guest_profiles(spark, SF_DIR),
+    }
+    first = table(lakehouse.build(spark, lake, **sources))
+    ids = spark.read.parquet(lake.path(lakehouse.BRONZE)).agg(F.max("booking_id")).first()[0]
+    assert table(lakehouse.build(spark, lake, **sources)) == first
+    assert ids == 6000
+
+
+def test_a_feed_cut_short_is_written_anew(spark):
+    lake = lakehouse.Lakehouse(work_folder(spark, "test"), "db_" + uuid.uuid4().hex)
+    raw = sample.bookings(spark, SF_DIR)
+    lakehouse.land_feed(raw.limit(10), lake)
+    for marker in Path(lake.intervals).glob("*_SUCCESS*"):
+        marker.unlink()
+    lakehouse.land_feed(raw, lake)
+    lakehouse.land_feed(raw, lake)
+    assert files.read_feed(spark, lake.interval_files).count() == 6000
+
+
 def test_registry_lists_every_table(built):
     lake, registry = built
     rows = {r.table_name: r for r in registry.collect()}
@@ -132,6 +159,23 @@ def test_a_new_hotel_stays_out_of_silver(spark, built):
     assert lakehouse.stored_dimensions(spark, lake).hotel.rows == 2
 
 
+def test_streamed_silver_stands_beside_the_rebuilt_one(spark, built, stored_silver):
+    lake = built[0]
+    dims = lakehouse.stored_dimensions(spark, lake)
+    for _ in range(2):
+        streamed = lakehouse.refresh_silver(spark, lake, dims)
+        assert table(streamed) == table(stored_silver)
+    assert spark.table(lake.table(lakehouse.STREAMED_SILVER)).count() == 6000
+    with pytest.raises(ValueError, match="written as a batch"):
+        silver_stream.refresh(
+            spark,
+            lake.path(lakehouse.BRONZE),
+            lake.path(lakehouse.SILVER),
+            lake.checkpoint("other"),
+            dims,
+        )
+
+
 # Plans.
 
 def test_silver_joins_do_not_shuffle_the_fact(spark, built):
