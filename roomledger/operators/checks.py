@@ -20,16 +20,16 @@ def rows_by_source(bronze: DataFrame) -> DataFrame:
 
 def row_count_check(df: DataFrame, expected: int | DataFrame) -> DataFrame:
     """Rows found beside rows expected, given as a number or as the frame to match."""
-    found = df.agg(F.count("*").alias("rows"))
+    none = F.lit(0).cast("bigint")
+    found = df.agg(F.count("*").alias("rows")).withColumn("expected_rows", none)
     wanted = (
         expected.agg(F.count("*").alias("expected_rows"))
         if isinstance(expected, DataFrame)
-        else found.sparkSession.range(1).select(
-            F.lit(expected).cast("bigint").alias("expected_rows")
-        )
+        else df.sparkSession.range(1).select(F.lit(expected).cast("bigint").alias("expected_rows"))
     )
-    # Both sides are single rows.
-    return found.join(F.broadcast(wanted), F.lit(True)).withColumn(
+    both = found.unionByName(wanted.withColumn("rows", none))
+    totals = both.agg(F.sum("rows").alias("rows"), F.sum("expected_rows").alias("expected_rows"))
+    return totals.withColumn(
         "matches", (F.col("rows") == F.col("expected_rows")).cast("int")
     )
 

@@ -18,10 +18,12 @@ def number_rows(
     folder: str,
     unique: bool = False,
     partitions: int | None = None,
+    first: int = 1,
 ) -> DataFrame:
     """Add a bigint column counting 1..n in ascending order of the given columns.
 
     Equal to row_number() over the whole frame ordered the same way, NULL first.
+    Rows that come later may go on from another first number.
     The rows are range partitioned and sorted on all order columns, so a hot leading
     value is spread by the columns after it. Each sorted partition is written with
     the positions of its rows; the number is the position plus the rows of all
@@ -69,6 +71,6 @@ def number_rows(
     # One row per range partition: at most as many as the shuffle has partitions.
     return (
         placed.join(F.broadcast(starts), "_part")
-        .withColumn(name, F.col("_start") + position + 1)
+        .withColumn(name, F.col("_start") + position + F.lit(first).cast("bigint"))
         .drop("_part", "_place", "_start")
     )

@@ -32,17 +32,21 @@ def with_measures(raw: DataFrame) -> DataFrame:
 
 
 def numbered(
-    dated: DataFrame, folder: str, tie_breakers: Sequence[str] | None = None
+    dated: DataFrame,
+    folder: str,
+    tie_breakers: Sequence[str] | None = None,
+    first_id: int = 1,
 ) -> DataFrame:
     """Add booking_id, counting by arrival date and hotel.
 
     Bookings of one date and hotel are numbered by the tie breakers, so that ids
-    do not change between runs: all other raw columns unless given.
+    do not change between runs: all other raw columns unless given. Bookings of a
+    later feed take a first_id above those given out.
     """
     if tie_breakers is None:
         tie_breakers = [c for c in schemas.RAW_BOOKING if c != "hotel"]
     order = ["arrival_date", "hotel", *tie_breakers]
-    return number_rows(dated, order, "booking_id", folder)
+    return number_rows(dated, order, "booking_id", folder, first=first_id)
 
 
 def as_feed(numbered_bookings: DataFrame) -> DataFrame:
@@ -53,6 +57,9 @@ def as_feed(numbered_bookings: DataFrame) -> DataFrame:
 
 
 def booking_feed(
-    raw: DataFrame, folder: str, tie_breakers: Sequence[str] | None = None
+    raw: DataFrame,
+    folder: str,
+    tie_breakers: Sequence[str] | None = None,
+    first_id: int = 1,
 ) -> DataFrame:
-    return as_feed(numbered(with_measures(raw), folder, tie_breakers))
+    return as_feed(numbered(with_measures(raw), folder, tie_breakers, first_id))

@@ -80,6 +80,18 @@ def test_arrival_date(spark, year, month, day, expected):
     assert row.date_key == key
 
 
+def test_every_day_that_exists_and_no_other(spark):
+    years = spark.range(2015, 2017).select(F.col("id").cast("int").alias("y"))
+    months = years.select("y", F.explode(F.sequence(F.lit(0), F.lit(13))).alias("m"))
+    parts = months.select("y", "m", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("d"))
+    date = dates.date_from_parts(F.col("y"), F.col("m"), F.col("d"))
+    for y, m, d, found in parts.select("y", "m", "d", date).collect():
+        try:
+            assert found == dt.date(y, m, d)
+        except ValueError:
+            assert found is None
+
+
 @pytest.mark.parametrize(
     ("adr", "revenue", "cleaned"),
     [(-5.0, 0.0, 0.0), (None, None, None), (0.0, 0.0, 0.0), (62.565, 125.13, 62.565)],
@@ -194,16 +206,16 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
 
 
 def test_reference_csv(spark, tmp_path):
-    (tmp_path / "hotels.csv").write_text("hotel_id,hotel_name\n1,Resort Hotel\n2,City Hotel\n")
-    (tmp_path / "rooms.csv").write_text(
+    (tmp_path / "a.csv").write_text("hotel_id,hotel_name\n1,Resort Hotel\n2,City Hotel\n")
+    (tmp_path / "b.csv").write_text(
         "room_type_id,room_code,room_name,base_rate_tier\n1,A,Standard Room,Standard\n"
     )
-    hotels = dims.hotels(files.read_hotels_csv(spark, str(tmp_path / "hotels.csv")))
+    hotels = dims.hotels(files.read_hotels_csv(spark, str(tmp_path / "a.csv")))
     assert [tuple(r) for r in hotels.orderBy("hotel_key").collect()] == [
         (1, "Resort Hotel", "Resort"),
         (2, "City Hotel", "City"),
     ]
-    rooms = dims.room_types(files.read_room_types_csv(spark, str(tmp_path / "rooms.csv")))
+    rooms = dims.room_types(files.read_room_types_csv(spark, str(tmp_path / "b.csv")))
     assert [tuple(r) for r in rooms.collect()] == [(1, "A", "Standard Room", "Standard")]
     assert rooms.columns[0] == "room_type_key"
 

@@ -69,6 +69,12 @@ def test_unique_rows_need_no_first_copy(spark, fresh):
         spark.read.parquet(f"{fresh}/landed")
 
 
+def test_numbers_may_go_on(spark, fresh):
+    df = spark.range(5).select(F.col("id").alias("k"))
+    numbered = number_rows(df, ["k"], "id", fresh, first=2**31)
+    assert table(numbered) == [(k, 2**31 + k) for k in range(5)]
+
+
 def test_numbering_an_empty_frame(spark, fresh):
     df = spark.range(0).select(F.col("id").alias("k"))
     assert number_rows(df, ["k"], "id", fresh).count() == 0
