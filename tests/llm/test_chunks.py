@@ -1,0 +1,47 @@
+import hashlib
+
+import numpy as np
+
+from roomledger.llm import chunks
+from tests.llm.rows import awkward, none, texts, with_repeats
+
+
+def test_equals_brute_force(spark):
+    own = [t or "" for t in texts()]
+    found = {r.doc_id: r for r in chunks.fingerprints_beside_next(awkward(spark), buckets=5).collect()}
+    assert len(found) == len(own)
+    for k, text in enumerate(own):
+        following = own[k - 1]
+        third = len(text) // 3
+        new = text[: len(text) - third] + following[:third]
+        r = found[k]
+        assert (r.n_chars, r.next_doc_id) == (len(text), (k - 1) % len(own))
+        assert r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        assert r.fingerprint == chunks.written(chunks.fingerprint(text))
+        assert r.edited_fingerprint == chunks.written(chunks.fingerprint(new))
+        assert r.near_next == chunks.likeness(chunks.fingerprint(text), chunks.fingerprint(following))
+        assert 0 <= r.near_edited <= 1 and (r.near_edited == 1 if new == text else True)
+
+
+def test_chunks_survive_a_shift_and_pieces(monkeypatch):
+    rng = np.random.default_rng(1)
+    text = "".join(chr(97 + c) for c in rng.integers(0, 26, 20_000))
+    whole = chunks.fingerprint(text)
+    assert chunks.likeness(whole, chunks.fingerprint("xyz" + text)) > 0.97
+    assert chunks.likeness(whole, chunks.fingerprint(text[::-1])) < 0.05
+    lengths = list(whole.values())[:-1]
+    assert min(lengths) >= chunks.SHORT and max(lengths) <= chunks.LONG
+    monkeypatch.setattr(chunks, "PIECE", 333)
+    assert chunks.fingerprint(text) == whole
+    gear = chunks.gear_hashes(np.frombuffer(text[:100].encode(), "u1"))
+    slow = sum(int(chunks.GEAR[ord(text[80 - k])]) << k for k in range(32)) % (1 << 32)
+    assert int(gear[80]) == slow
+
+
+def test_repeats_nulls_and_empty(spark):
+    docs = with_repeats(spark)
+    rows = chunks.fingerprints_beside_next(docs).collect()
+    assert len(rows) == docs.count() and sum(r.doc_id is None for r in rows) == 2
+    one = chunks.fingerprints_beside_next(docs.filter("doc_id = 4")).collect()
+    assert [r.next_doc_id for r in one] == [4]
+    assert chunks.fingerprints_beside_next(none(spark)).count() == 0

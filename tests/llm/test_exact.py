@@ -1,0 +1,41 @@
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+from roomledger.llm.exact import drop_copies, exact_copies
+from tests.llm.rows import awkward, none, texts, with_repeats
+
+
+def test_equals_brute_force(spark):
+    norm = {k: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for k, t in enumerate(texts())}
+    groups = defaultdict(list)
+    for k, t in norm.items():
+        groups[t].append(k)
+    found = {r.doc_id: r for r in exact_copies(awkward(spark)).collect()}
+    assert len(found) == len(norm)
+    for k, t in norm.items():
+        r = found[k]
+        assert (r.keep_id, r.group_size, r.kept) == (min(groups[t]), len(groups[t]), k == min(groups[t]))
+        assert r.text_sha256 == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_repeats_nulls_and_other_columns(spark):
+    docs = with_repeats(spark)
+    found = exact_copies(docs).collect()
+    assert len(found) == docs.count()
+    kept = Counter(r.text_sha256 for r in found if r.kept)
+    assert set(kept.values()) == {1} and set(kept) == {r.text_sha256 for r in found}
+    left = drop_copies(docs)
+    assert left.columns == docs.columns and left.count() == len(kept)
+    assert {r.doc_id for r in left.collect()} == {r.doc_id for r in found if r.kept}
+
+
+def test_empty_table(spark):
+    assert exact_copies(none(spark)).count() == 0
+    assert drop_copies(none(spark)).count() == 0
+
+
+def test_hot_text_is_dealt_over_tasks(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same  text', concat('t ', id)) as text")
+    found = exact_copies(docs).filter("group_size > 1").collect()
+    assert len(found) == 1000 and {r.keep_id for r in found} == {0} and sum(r.kept for r in found) == 1
