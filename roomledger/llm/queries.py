@@ -7,17 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import bpe, chunks, exact, minhash, packing
+from roomledger.llm import bpe, chunks, exact, kneser, minhash, packing, secret_scan
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return kneser.perplexities(documents(spark, sf_dir), labels)
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(documents(spark, sf_dir))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.fingerprints_beside_next(documents(spark, sf_dir))
 
@@ -43,7 +52,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_quality_classifier,
         op3_minhash_near_dedup,
+        op4_secret_scans,
         op5_document_fingerprints,
         op6_packing,
         op8_byte_bpe,

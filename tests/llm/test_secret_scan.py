@@ -1,0 +1,56 @@
+import numpy as np
+
+from roomledger.llm import secret_scan
+from tests.llm.rows import awkward, none, with_repeats
+
+
+def corpus(spark, n=400):
+    """Texts with a planted secret, a long word or a number each; truth says which."""
+    rng = np.random.default_rng(8)
+    parts = ["stone", "river", "light", "over", "under", "walk", "near", "again"]
+    rows, truth = [], {}
+    for k in range(n):
+        words = list(rng.choice(parts, 30))
+        key = "".join(rng.choice(list("0123456789abcdef"), 40))
+        long = "".join(rng.choice(parts, 5))
+        what = [f'token = "{key}"', f"password={key[:20]}", "AKIA" + key[:16].upper(), long, "4" + "".join(rng.choice(list("0123456789"), 16)), f"x {key}"][k % 6]
+        words.insert(15, what)
+        rows.append((k, " ".join(words), f"src{k % 3}"))
+        truth[k] = k % 6 in (0, 1, 2, 5)
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string"), truth
+
+
+def test_held_out_findings(spark):
+    docs, truth = corpus(spark)
+    found = secret_scan.secrets(docs)
+    labels = found.select("doc_id", "start", found.is_secret.cast("int").alias("label")).collect()
+    known = spark.createDataFrame(
+        [(r.doc_id, r.start, int(truth[r.doc_id])) for r in labels if r.doc_id < 200], "doc_id bigint, start bigint, label int"
+    )
+    rows = secret_scan.secrets(docs, labelled=known).filter("doc_id >= 200").collect()
+    right = sum(r.is_secret == truth[r.doc_id] for r in rows)
+    assert len(rows) >= 190 and right / len(rows) > 0.95
+
+
+def test_weak_labels_and_redaction(spark):
+    docs, truth = corpus(spark)
+    docs = docs.selectExpr("*", "char_length(text) as n_chars", "'clash' as start")
+    left = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
+    assert len(left) == len(truth)
+    for r in docs.collect():
+        new = left[r.doc_id]
+        assert (secret_scan.REPLACEMENT in new.text) or not truth[r.doc_id] or r.doc_id % 6 == 5
+        assert new.n_chars == len(new.text)
+        if not truth[r.doc_id]:
+            assert new.text == r.text
+
+
+def test_awkward_rows(spark):
+    docs = with_repeats(spark)
+    left = secret_scan.redact(docs)
+    assert left.columns == docs.columns and left.count() == docs.count()
+    assert sorted(str(r.text) for r in left.collect()) == sorted(str(r.text) for r in docs.collect())
+    rows = secret_scan.secrets(awkward(spark)).collect()
+    assert rows and not any(r.is_secret for r in rows)
+    assert secret_scan.secrets(none(spark)).count() == 0
+    assert secret_scan.redact(none(spark)).count() == 0
