@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import bpe, chunks, exact, kneser, minhash, packing, secret_scan
+from roomledger.llm import bpe, chunks, exact, fmindex, kneser, licenses, minhash, packing, repeats, secret_scan
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return kneser.perplexities(documents(spark, sf_dir), labels)
@@ -37,6 +41,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir), least=100)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(
         documents(spark, sf_dir),
@@ -45,6 +53,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.without_shared_passages(documents(spark, sf_dir), window=13)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(documents(spark, sf_dir))
 
@@ -52,12 +64,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_license_scans,
         op2_quality_classifier,
         op3_minhash_near_dedup,
         op4_secret_scans,
         op5_document_fingerprints,
         op6_packing,
+        op7_suffix_array_dedup,
         op8_byte_bpe,
+        op9_substring_dedup,
         op10_exact_dedup,
     )
 }
