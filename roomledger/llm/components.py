@@ -17,7 +17,8 @@ def _least(edges: DataFrame) -> DataFrame:
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of u to the smallest of u and its neighbours."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.inline(ways))
     least = _least(both).select("u", F.least("u", "m").alias("m"))
     return (
         both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -26,13 +27,9 @@ def large_star(edges: DataFrame) -> DataFrame:
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Link u and its smaller neighbours to the smallest of them. Edges have u > v."""
-    linked = edges.join(_least(edges), "u")
-    return (
-        linked.select("u", F.col("m").alias("v"))
-        .unionByName(linked.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        .filter("u > v")
-        .distinct()
-    )
+    smallest = F.col("m").alias("v")
+    links = F.array(F.struct("u", smallest), F.struct(F.col("v").alias("u"), smallest))
+    return edges.join(_least(edges), "u").select(F.inline(links)).filter("u > v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -62,7 +59,9 @@ def components(edges: DataFrame) -> DataFrame:
         if not state[0]:
             break
         before = state
-        now, state = written(small_star(large_star(now)), round_)
+        large = f"{folder}/large{round_}"
+        large_star(now).write.parquet(large)
+        now, state = written(small_star(spark.read.parquet(large)), round_)
         if state == before:
             break
     else:

@@ -131,7 +131,7 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-def _probabilities(wanted: DataFrame, counts: DataFrame) -> DataFrame:
+def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
     """lang, gram, p of each wanted gram, order by order from the shortest.
 
     The counts of the longest grams are those of the text; of a shorter one, the different
@@ -139,11 +139,17 @@ def _probabilities(wanted: DataFrame, counts: DataFrame) -> DataFrame:
     What they take off is given to the next shorter order. A context never seen leaves
     all to it; below single symbols stands the even distribution.
     """
-    own, asked = {ORDER: counts}, {ORDER: wanted}
+
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{folder}/{name}")
+        return frame.sparkSession.read.parquet(f"{folder}/{name}")
+
+    # Each order is a table of its own: plans stay small, and a lost task repeats little.
+    own, asked = {ORDER: stored(counts, f"counts{ORDER}")}, {ORDER: stored(wanted, "wanted")}
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
-        own[order] = own[order + 1].groupBy("lang", suffix).agg(F.count("*").alias("n"))
-        asked[order] = asked[order + 1].select("lang", suffix).distinct()
+        own[order] = stored(own[order + 1].groupBy("lang", suffix).agg(F.count("*").alias("n")), f"counts{order}")
+        asked[order] = asked[ORDER].select("lang", suffix).distinct()
 
     lower = asked[1].select("lang", F.lit(0).alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")).distinct()
     for order in range(1, ORDER + 1):
@@ -179,7 +185,7 @@ def _probabilities(wanted: DataFrame, counts: DataFrame) -> DataFrame:
         off = F.when(F.col("kind") == 1, F.col("d1")).when(F.col("kind") == 2, F.col("d2")).otherwise(F.col("d3"))
         kept = F.coalesce(F.col("n") - off, F.lit(0.0))
         p = F.when(F.col("total").isNull(), F.col("below")).otherwise((kept + F.col("rest") * F.col("below")) / F.col("total"))
-        lower = rows.select("lang", "gram", p.alias("p"))
+        lower = stored(rows.select("lang", "gram", p.alias("p")), f"p{order}")
     return lower
 
 
@@ -226,8 +232,8 @@ def perplexities(
     counts = gathered.filter("block is null").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     requests = gathered.filter("block is not null").select("block", "lang", "gram").distinct()
     wanted = requests.select("lang", "gram").distinct()
-    _probabilities(wanted, counts).select("lang", "gram", (-F.log2("p")).alias("bits")).write.parquet(f"{folder}/bits")
-    answers = requests.join(spark.read.parquet(f"{folder}/bits"), ["lang", "gram"])
+    bits = _probabilities(wanted, counts, folder).select("lang", "gram", (-F.log2("p")).alias("bits"))
+    answers = requests.join(bits, ["lang", "gram"])
 
     asked = answers.select(
         "block", "lang", "gram", "bits", F.lit(None).cast("bigint").alias("doc_id"),
