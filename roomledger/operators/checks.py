@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,17 +79,15 @@ def table_registry(
 ) -> DataFrame:
     """Name, layer, row count and error text of stored tables, given as name to path.
 
-    A table that cannot be opened shows its error and no count; the others are
-    counted in one job.
+    Tables are counted one by one, so that one that cannot be opened or read, for whatever
+    reason, shows its error and no count, and the others still their rows.
     """
     entries = []
     for name, path in tables.items():
         try:
-            entry = spark.read.format(fmt).load(path).agg(F.count("*").alias("rows"))
-            error = F.lit(None).cast("string")
-        except AnalysisException as problem:
-            entry = spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
-            error = F.lit(problem.getCondition() or str(problem))
-        entries.append(entry.select(F.lit(name).alias("table_name"), "rows", error.alias("error")))
-    listed = reduce(DataFrame.unionByName, entries)
+            entries.append((name, spark.read.format(fmt).load(path).count(), None))
+        except Exception as problem:  # noqa: BLE001  any damage belongs into the list
+            condition = getattr(problem, "getCondition", lambda: None)()
+            entries.append((name, None, condition or f"{type(problem).__name__}: {problem}"[:500]))
+    listed = spark.createDataFrame(entries, "table_name string, rows bigint, error string")
     return listed.select("table_name", table_layer(F.col("table_name")).alias("layer"), "rows", "error")

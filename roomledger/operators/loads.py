@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A path that is not there, or a folder without data files.
@@ -61,10 +61,17 @@ def keyed_append(
     return append(unseen_rows(new, stored, key), path, fmt)
 
 
+def in_years(year: Column, years: Sequence[int | None]) -> Column:
+    """Whether a year is one of those given; NULL is if None is given. Never NULL."""
+    known = [y for y in years if y is not None]
+    found = F.coalesce(year.isin(*known), F.lit(False)) if known else F.lit(False)
+    return found | year.isNull() if None in years else found
+
+
 def write_intervals(
     feed: DataFrame,
     path: str,
-    years: Sequence[int] | None = None,
+    years: Sequence[int | None] | None = None,
     mode: str = "append",
     max_records_per_file: int = 0,
     compression: str = "none",
@@ -75,7 +82,7 @@ def write_intervals(
     files. Appending lets intervals land one at a time.
     """
     if years is not None:
-        feed = feed.filter(F.col("arrival_date_year").isin(*years))
+        feed = feed.filter(in_years(F.col("arrival_date_year"), years))
     (
         feed.withColumn("interval_year", F.col("arrival_date_year"))
         .write.mode(mode)
@@ -86,6 +93,17 @@ def write_intervals(
     )
 
 
+def stored_or_none(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFrame:
+    """A table in the given schema; without rows where nothing is stored yet."""
+    try:
+        stored = spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() not in NO_TABLE:
+            raise
+        return spark.createDataFrame([], schema)
+    return stored
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to the path has finished, by the marker that Spark leaves."""
     try:
@@ -108,7 +126,16 @@ def register(
     fmt: str = "parquet",
     partitioned: bool = False,
 ) -> DataFrame:
-    """Give a stored table a catalog name; an existing name sees its newest files."""
+    """Give a stored table a catalog name; an existing name sees its newest files.
+
+    A name whose columns are no longer the stored ones is given anew. The table is
+    external: dropping the name leaves the files.
+    """
+    if spark.catalog.tableExists(name):
+        stored = spark.read.format(fmt).load(path).schema
+        listed = {(f.name, f.dataType) for f in spark.table(name).schema}
+        if listed != {(f.name, f.dataType) for f in stored}:
+            spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
     if partitioned and fmt == "parquet":
         spark.catalog.recoverPartitions(name)

@@ -36,17 +36,19 @@ def numbered(
     folder: str,
     tie_breakers: Sequence[str] | None = None,
     first_id: int = 1,
+    unique: bool = False,
 ) -> DataFrame:
     """Add booking_id, counting by arrival date and hotel.
 
     Bookings of one date and hotel are numbered by the tie breakers, so that ids
     do not change between runs: all other raw columns unless given. Bookings of a
-    later feed take a first_id above those given out.
+    later feed take a first_id above those given out. unique: no two bookings agree in
+    date, hotel and tie breakers, so that no copy of the rows is needed to tell them apart.
     """
     if tie_breakers is None:
         tie_breakers = [c for c in schemas.RAW_BOOKING if c != "hotel"]
     order = ["arrival_date", "hotel", *tie_breakers]
-    return number_rows(dated, order, "booking_id", folder, first=first_id)
+    return number_rows(dated, order, "booking_id", folder, unique=unique, first=first_id)
 
 
 def as_feed(numbered_bookings: DataFrame) -> DataFrame:
@@ -61,5 +63,6 @@ def booking_feed(
     folder: str,
     tie_breakers: Sequence[str] | None = None,
     first_id: int = 1,
+    unique: bool = False,
 ) -> DataFrame:
-    return as_feed(numbered(with_measures(raw), folder, tie_breakers, first_id))
+    return as_feed(numbered(with_measures(raw), folder, tie_breakers, first_id, unique))

@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from roomledger import schemas
 from roomledger.operators import checks, loads
 from roomledger.operators.lookup import Dimension
 from roomledger.plans import dims, feed, gold, silver
 from roomledger.streaming import bronze as bronze_stream
 from roomledger.streaming import silver as silver_stream
+from roomledger.streaming.bronze import BatchLimits
 
 DIMENSIONS = ("dim_date", "dim_hotel", "dim_guest_origin", "dim_room_type")
 BRONZE = "bronze_fact_bookings"
@@ -25,6 +28,10 @@ GOLD = {
 }
 
 
+MANIFEST = "feed string, first_id bigint, done boolean"
+LANDED = "booking_id bigint, feed string, interval_year int"
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     """Where the tables live: paths below one folder, names in one database."""
@@ -51,7 +58,11 @@ class Lakehouse:
 
     @property
     def interval_files(self) -> str:
-        return f"{self.intervals}/interval_year=*"
+        return f"{self.intervals}/feed=*/interval_year=*"
+
+    @property
+    def manifest(self) -> str:
+        return f"{self.base}/manifest"
 
     def tables(self) -> dict[str, str]:
         return {name: self.path(name) for name in (*DIMENSIONS, BRONZE, SILVER, *GOLD)}
@@ -69,6 +80,7 @@ def load_dimensions(
     hotels: DataFrame,
     room_types: DataFrame,
     profiles: DataFrame,
+    last_hotel_key: int | None = None,
 ) -> silver.Dimensions:
     """Store the four dimensions; the stored tables are what Silver joins to."""
     lake.store(calendar.frame, "dim_date")
@@ -76,49 +88,110 @@ def load_dimensions(
     lake.store(dims.room_types(room_types), "dim_room_type")
     origins = dims.guest_origins(profiles, lake.staging("guest_origins"))
     lake.store(origins, "dim_guest_origin")
-    return stored_dimensions(spark, lake)
+    return stored_dimensions(spark, lake, last_hotel_key)
 
 
-def stored_dimensions(spark: SparkSession, lake: Lakehouse) -> silver.Dimensions:
-    """The dimensions as stored, without hotels added after the first load."""
+def stored_dimensions(
+    spark: SparkSession, lake: Lakehouse, last_hotel_key: int | None = None
+) -> silver.Dimensions:
+    """The dimensions as stored; with last_hotel_key, without the hotels above it."""
     date, hotel, origin, room = (spark.read.parquet(lake.path(name)) for name in DIMENSIONS)
+    if last_hotel_key is not None:
+        hotel = silver.original_hotels(hotel, last_hotel_key)
     return silver.Dimensions(
         date=Dimension.counted(date),
-        hotel=Dimension.counted(silver.original_hotels(hotel)),
+        hotel=Dimension.counted(hotel),
         guest_origin=Dimension.counted(origin),
         room_type=Dimension.counted(room),
     )
 
 
+def identity(raw: DataFrame) -> str:
+    """A name for the rows of a feed, whatever their order: count and two sums of hashes."""
+    hashed = F.xxhash64(*raw.columns)
+    found = raw.agg(
+        F.count("*"), F.bit_xor(hashed), F.sum(F.pmod(hashed, F.lit(1 << 31)))
+    ).first()
+    return "-".join(f"{(value or 0) & ((1 << 64) - 1):x}" for value in found)
+
+
+def landed_ids(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    return loads.stored_or_none(spark, lake.intervals, "json", LANDED)
+
+
+def land_missing(bookings: DataFrame, landed: DataFrame, path: str) -> None:
+    """Add the bookings whose id has not landed. Files that are there are never touched."""
+    if not landed.isEmpty():
+        bookings = bookings.join(landed.select("booking_id"), "booking_id", "left_anti")
+    loads.write_intervals(bookings.select(*schemas.FEED), path)
+
+
 def land_feed(
-    raw: DataFrame, lake: Lakehouse, tie_breakers: Sequence[str] | None = None
+    raw: DataFrame,
+    lake: Lakehouse,
+    tie_breakers: Sequence[str] | None = None,
+    unique: bool = False,
 ) -> None:
     """Number the bookings and land them as yearly JSON intervals.
 
-    A feed that has landed stays as it is, since the stream may have read it. One
-    that was cut short is written anew.
+    The lake's manifest lists feeds by their content, with the first id each was given. A
+    listed feed that is done is left alone. Another feed takes the ids after all landed
+    ones. A feed that was cut short keeps its first id and lands what is missing: the
+    stream may have read the rest. Until then no other feed may land.
     """
-    if loads.is_complete(raw.sparkSession, lake.intervals):
+    spark = raw.sparkSession
+    name = identity(raw)
+    listed = loads.stored_or_none(spark, lake.manifest, "json", MANIFEST)
+    states = listed.groupBy("feed").agg(F.max("first_id").alias("first_id"), F.max("done").alias("done"))
+    own = states.filter(F.col("feed") == name).first()
+    if own and own.done:
         return
-    bookings = feed.booking_feed(raw, lake.staging("feed"), tie_breakers)
-    loads.write_intervals(bookings, lake.intervals, mode="overwrite")
-
-
-def load_bronze(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    landed = landed_ids(spark, lake)
+    if own is None:
+        if not states.filter(~F.col("done")).isEmpty():
+            raise ValueError("a feed has landed in part; land it again before another one")
+        first_id = (landed.agg(F.max("booking_id")).first()[0] or 0) + 1
+        _note(spark, lake, name, first_id, False)
+    else:
+        first_id = own.first_id
+    bookings = feed.booking_feed(raw, lake.staging("feed"), tie_breakers, first_id, unique)
+    land_missing(bookings, landed.filter(F.col("feed") == name), f"{lake.intervals}/feed={name}")
+    _note(spark, lake, name, first_id, True)
+
+
+def _note(spark: SparkSession, lake: Lakehouse, name: str, first_id: int, done: bool) -> None:
+    row = spark.createDataFrame([(name, first_id, done)], MANIFEST)
+    row.coalesce(1).write.mode("append").json(lake.manifest)
+
+
+def load_bronze(
+    spark: SparkSession, lake: Lakehouse, limits: BatchLimits = BatchLimits()
+) -> DataFrame:
     path = lake.path(BRONZE)
-    bronze_stream.ingest(spark, lake.interval_files, path, lake.checkpoint(BRONZE))
+    bronze_stream.ingest(spark, lake.interval_files, path, lake.checkpoint(BRONZE), limits)
     loads.register(spark, lake.table(BRONZE), path)
     return bronze_stream.read_bronze(spark, path)
 
 
 def load_bronze_by_interval(
-    bookings: DataFrame, lake: Lakehouse, years: Sequence[int]
+    bookings: DataFrame,
+    lake: Lakehouse,
+    years: Sequence[int | None],
+    limits: BatchLimits = BatchLimits(),
 ) -> DataFrame:
-    """Land one year after the other, with a run of the stream after each."""
+    """Land one year after the other, with a run of the stream after each.
+
+    None is the interval of the bookings without a year. Bookings whose id has landed do
+    not land again, so a year may be repeated. Without years Bronze stays as it is.
+    """
+    spark = bookings.sparkSession
     for year in years:
-        loads.write_intervals(bookings, lake.intervals, [year])
-        stored = load_bronze(bookings.sparkSession, lake)
-    return stored
+        known = landed_ids(spark, lake).filter(loads.in_years(F.col("interval_year"), [year]))
+        own = bookings.filter(loads.in_years(F.col("arrival_date_year"), [year]))
+        land_missing(own, known, f"{lake.intervals}/feed=intervals")
+        load_bronze(spark, lake, limits)
+    stored = loads.stored_or_none(spark, lake.path(BRONZE), "parquet", schemas.ddl(schemas.BRONZE))
+    return stored.select(*schemas.BRONZE)
 
 
 def load_silver(
@@ -133,7 +206,10 @@ def load_silver(
 
 
 def refresh_silver(
-    spark: SparkSession, lake: Lakehouse, dims: silver.Dimensions
+    spark: SparkSession,
+    lake: Lakehouse,
+    dims: silver.Dimensions,
+    limits: BatchLimits = BatchLimits(),
 ) -> DataFrame:
     """Silver as a stream keeps it: only new Bronze rows are joined and added.
 
@@ -141,7 +217,7 @@ def refresh_silver(
     """
     path = lake.path(STREAMED_SILVER)
     checkpoint = lake.checkpoint(STREAMED_SILVER)
-    silver_stream.refresh(spark, lake.path(BRONZE), path, checkpoint, dims)
+    silver_stream.refresh(spark, lake.path(BRONZE), path, checkpoint, dims, limits)
     loads.register(spark, lake.table(STREAMED_SILVER), path)
     return silver_stream.read_silver(spark, path)
 
@@ -159,6 +235,9 @@ def build(
     profiles: DataFrame,
     calendar: Dimension | None = None,
     tie_breakers: Sequence[str] | None = None,
+    unique: bool = False,
+    last_hotel_key: int | None = None,
+    limits: BatchLimits = BatchLimits(),
 ) -> DataFrame:
     """Build every table and return the registry.
 
@@ -167,13 +246,15 @@ def build(
     dimensions, Silver and Gold are rebuilt.
     """
     loads.create_database(spark, lake.database, f"{lake.base}/catalog")
-    land_feed(raw, lake, tie_breakers)
-    stored_bronze = load_bronze(spark, lake)
+    land_feed(raw, lake, tie_breakers, unique)
+    stored_bronze = load_bronze(spark, lake, limits)
     if calendar is None:
         bounds = dims.date_bounds(stored_bronze)
         if bounds is None:
             raise ValueError("the feed has no arrival date to build a calendar from")
         calendar = dims.calendar(spark, *bounds)
-    star = load_dimensions(spark, lake, calendar, hotels, room_types, profiles)
+    star = load_dimensions(
+        spark, lake, calendar, hotels, room_types, profiles, last_hotel_key
+    )
     load_gold(load_silver(spark, lake, star), lake)
     return checks.table_registry(spark, lake.tables())

@@ -2,20 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger import schemas
 
 
+def _csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files as text. A file whose header differs from the first one's fails."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+
+
+def _cast(name: str, kind: str) -> Column:
+    """Text as a type, NULL if it does not fit; whole numbers may be written as 1.0."""
+    text = F.col(name)
+    if kind not in ("int", "bigint", "long"):
+        return text.try_cast(kind)
+    number = text.try_cast("double")
+    whole = F.when(number == F.floor(number), number).try_cast(kind)
+    return F.coalesce(text.try_cast(kind), whole)
+
+
 def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """The named columns of CSV files with a header, found by name and cast.
 
-    Text that does not fit its type becomes NULL. Only the header is read to plan
-    the scan, and only the named columns are parsed.
+    Text that does not fit its type becomes NULL; `rejected_csv` counts it. All files of
+    a path must have one header: another order of columns fails instead of mixing them up.
+    Only the header is read to plan the scan, and only the named columns are parsed.
     """
-    text = spark.read.option("header", True).csv(path)
-    return text.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in columns.items()])
+    text = _csv_text(spark, path)
+    return text.select(*[_cast(name, kind).alias(name) for name, kind in columns.items()])
+
+
+def rejected_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """For each named column how many texts do not fit its type."""
+    text = _csv_text(spark, path)
+    lost = [
+        F.count_if(F.col(name).isNotNull() & _cast(name, kind).isNull()).alias(name)
+        for name, kind in columns.items()
+    ]
+    counts = text.agg(*lost)
+    return counts.unpivot([], list(columns), "column", "rejected")
 
 
 def read_bookings_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -49,10 +76,6 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ddl(schemas.FEED)).json(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
-
-
 def rows(spark: SparkSession, values: list[tuple], columns: dict[str, str]) -> DataFrame:
     """A small frame from literal rows."""
     return spark.createDataFrame(values, schemas.ddl(columns))

@@ -13,6 +13,9 @@ from roomledger.functions.names import source_file
 
 # Bronze is stored by arrival year, so that a year's readers skip the others.
 PARTITION = "arrival_date_year"
+# The file source skips files this much older than the newest one it saw; the default of a
+# week would lose copies that keep their times. Far above any backlog.
+MAX_FILE_AGE = "36500d"
 
 
 @dataclass(frozen=True)
@@ -24,7 +27,8 @@ class BatchLimits:
 
     def options(self) -> dict[str, str]:
         chosen = {"maxFilesPerTrigger": self.files, "maxBytesPerTrigger": self.bytes}
-        return {name: str(value) for name, value in chosen.items() if value is not None}
+        limits = {name: str(value) for name, value in chosen.items() if value is not None}
+        return {"maxFileAge": MAX_FILE_AGE, **limits}
 
 
 def read_intervals(

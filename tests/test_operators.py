@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -319,3 +320,41 @@ def test_a_cluster_must_name_its_shared_folder():
         shared_root(Settings({"spark.master": "yarn"}))
     assert shared_root(Settings({"spark.master": "yarn"}, "hdfs:///x")) == "hdfs:///x"
     assert shared_root(Settings({"spark.master": "local[2]"}))
+
+
+# Damage and change.
+
+def test_registry_survives_damaged_tables(spark, fresh):
+    root = Path(fresh)
+    spark.range(3).write.parquet(f"{fresh}/good")
+    for name in ("bad", "mixed"):
+        if name == "mixed":
+            spark.range(3).write.parquet(f"{fresh}/mixed")
+        (root / name).mkdir(parents=True, exist_ok=True)
+        (root / name / "part-x.parquet").write_bytes(b"no parquet at all")
+    listed = checks.table_registry(spark, {n: f"{fresh}/{n}" for n in ("bad", "good", "mixed", "none")})
+    found = {r.table_name: (r.rows, r.error is None) for r in listed.collect()}
+    assert found == {"bad": (None, False), "good": (3, True), "mixed": (None, False), "none": (None, False)}
+
+
+def test_a_name_follows_the_stored_columns(spark, fresh):
+    name = "t_" + uuid.uuid4().hex
+    spark.range(2).write.parquet(fresh)
+    loads.register(spark, name, fresh)
+    spark.range(3).withColumn("x", F.lit(1)).write.mode("overwrite").parquet(fresh)
+    assert loads.register(spark, name, fresh).columns == ["id", "x"]
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_csv_columns_never_mix(spark, fresh):
+    root = Path(fresh)
+    root.mkdir(parents=True)
+    (root / "a.csv").write_text("hotel_id,hotel_name\n1.0,x\n2,y\n2.5,z\nno,w\n")
+    rows = {(r.hotel_id, r.hotel_name) for r in files.read_hotels_csv(spark, fresh).collect()}
+    assert rows == {(1, "x"), (2, "y"), (None, "z"), (None, "w")}
+    lost = {r["column"]: r.rejected for r in files.rejected_csv(spark, fresh, schemas.HOTELS).collect()}
+    assert lost == {"hotel_id": 2, "hotel_name": 0}
+    (root / "b.csv").write_text("hotel_name,hotel_id\nv,3\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_hotels_csv(spark, fresh).collect()
