@@ -93,10 +93,12 @@ def write_intervals(
     )
 
 
-def stored_or_none(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFrame:
+def stored_or_none(
+    spark: SparkSession, path: str, fmt: str, schema: str, **options: str
+) -> DataFrame:
     """A table in the given schema; without rows where nothing is stored yet."""
     try:
-        stored = spark.read.schema(schema).format(fmt).load(path)
+        stored = spark.read.schema(schema).format(fmt).options(**options).load(path)
     except AnalysisException as error:
         if error.getCondition() not in NO_TABLE:
             raise

@@ -58,7 +58,8 @@ class Lakehouse:
 
     @property
     def interval_files(self) -> str:
-        return f"{self.intervals}/feed=*/interval_year=*"
+        """Intervals of numbered feeds, and those that were landed without one."""
+        return f"{self.intervals}/{{interval_year=*,feed=*/interval_year=*}}"
 
     @property
     def manifest(self) -> str:
@@ -116,7 +117,9 @@ def identity(raw: DataFrame) -> str:
 
 
 def landed_ids(spark: SparkSession, lake: Lakehouse) -> DataFrame:
-    return loads.stored_or_none(spark, lake.intervals, "json", LANDED)
+    return loads.stored_or_none(
+        spark, f"{lake.intervals}/feed=*", "json", LANDED, basePath=lake.intervals
+    )
 
 
 def land_missing(bookings: DataFrame, landed: DataFrame, path: str) -> None:
