@@ -22,6 +22,8 @@ MISSED = 1e-6
 BLOCK = 1024
 # Shingles hashed at once.
 PIECE = 4096
+# Bits of an odd sketch, a power of two.
+ODD_BITS = 2048
 LAST = (1 << 63) - 1
 
 
@@ -63,6 +65,16 @@ class Minima:
         return least
 
 
+def odd_sketch(shingles: np.ndarray) -> bytes:
+    """For each of ODD_BITS groups of hashes, whether a set has an odd number of them.
+
+    Two sketches differ in at most as many bits as the sets have elements not in common, so
+    they rule pairs out for certain, and nearly all of them where sets are small.
+    """
+    group = (shingles >> np.uint64(65 - ODD_BITS.bit_length())).astype("i8")
+    return np.packbits(np.bincount(group, minlength=ODD_BITS) & 1 == 1).tobytes()
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -79,8 +91,8 @@ def near_duplicates(
     Documents with equal sets form one class, and one member stands for it. MinHash bands
     put classes into buckets. First every class is compared with the smallest of each of
     its buckets; links are confirmed on the full sets, and components are taken. Then the
-    classes of a bucket that are still in different components are compared by signature,
-    in blocks, and those within reach are confirmed on the full sets too. So no pair of
+    classes of a bucket that are still in different components are compared by odd sketch
+    and signature, in blocks, and those within reach are confirmed on the full sets too. So no pair of
     one component is compared again, and no link between two components of a bucket is lost.
 
     NULL or blank text has an empty set, which is linked with nothing, not even its like.
@@ -100,7 +112,7 @@ def near_duplicates(
         return spark.read.parquet(f"{folder}/{name}")
 
     sketch = stored(
-        rows.mapInArrow(_sketches(shingle, bands), "id bigint, n bigint, digest binary, sig binary, keys array<bigint>"),
+        rows.mapInArrow(_sketches(shingle, bands), "id bigint, n bigint, digest binary, sig binary, odd binary, keys array<bigint>"),
         "sketch",
     )
     named = F.col("id") < LAST
@@ -134,7 +146,7 @@ def near_duplicates(
         .filter("low < high")
         .select("band")
     )
-    signatures = sketch.select("id", "sig").join(candidates, "id", "left_semi").dropDuplicates(["id"])
+    signatures = sketch.select("id", "n", "sig", "odd").join(candidates, "id", "left_semi").dropDuplicates(["id"])
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     across = (
         labelled.join(open_bands, "band", "left_semi")
@@ -150,7 +162,7 @@ def near_duplicates(
         .sortWithinPartitions("band", "i", "j")
     )
     reach = percent / 100 - 4.5 * float(np.sqrt(percent * (100 - percent)) / 100 / np.sqrt(bands * ROWS))
-    pairs = across.mapInArrow(_across(reach, bands * ROWS), "u bigint, v bigint").distinct()
+    pairs = across.mapInArrow(_across(reach, bands * ROWS, percent), "u bigint, v bigint").distinct()
     more = stored(_confirmed(pairs.join(star, ["u", "v"], "left_anti"), sets, percent), "across")
     final = components(
         more.unionByName(labels.select(F.col("component").alias("u"), F.col("node").alias("v")))
@@ -195,24 +207,26 @@ def _sketches(shingle: int, bands: int):
         base = splitmix(np.arange(9000, 9000 + ROWS, dtype="u8"))
         band_salt = splitmix(np.arange(9100, 9100 + bands, dtype="u8"))
         for ids, texts in together(batches):
-            sizes, digests, sigs, keys = [], [], [], []
+            sizes, digests, sigs, odds, keys = [], [], [], [], []
             for own in shingle_sets(texts, shingle):
                 sizes.append(len(own))
                 digests.append(hashlib.md5(own).digest())
                 if not len(own):
                     sigs.append(b"")
+                    odds.append(b"")
                     keys.append([])
                     continue
                 least = minima.of(own)
                 sigs.append((least >> np.uint64(48)).astype("u2").tobytes())
+                odds.append(odd_sketch(own))
                 of_band = (least.reshape(bands, ROWS) * base).sum(axis=1, dtype="u8")
                 keys.append(mixed(of_band + band_salt).view("i8"))
             yield pa.record_batch(
                 [
                     pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(sigs, pa.binary()), pa.array(odds, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["id", "n", "digest", "sig", "keys"],
+                names=["id", "n", "digest", "sig", "odd", "keys"],
             )
 
     return run
@@ -251,8 +265,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u bigint, v bigint")
 
 
-def _across(reach: float, count: int):
-    """Pairs of one block pair whose components differ and whose signatures agree enough."""
+def _across(reach: float, count: int, percent: int):
+    """Pairs of one block pair whose components differ and whose sketches and signatures agree enough.
+
+    With the similarity of percent, (100 - percent) / (100 + percent) of both sizes together
+    is the most that is not in common.
+    """
 
     def pairs_of(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(rows)
@@ -262,12 +280,17 @@ def _across(reach: float, count: int):
         component = table.column("component").to_numpy()
         block = table.column("block").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        size = table.column("n").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "u2").reshape(-1, count)
+        odd = np.frombuffer(b"".join(table.column("odd").to_pylist()), "u8").reshape(-1, ODD_BITS // 64)
         us, vs = [], []
         for k in range(len(ids)):
             others = component != component[k]
             others &= (block == j) & (block[k] == i) if i != j else np.arange(len(ids)) > k
             near = np.flatnonzero(others)
+            apart = np.bitwise_count(odd[near] ^ odd[k]).sum(axis=1, dtype="i8")
+            apart = np.maximum(apart, np.abs(size[near] - size[k]))
+            near = near[(100 + percent) * apart <= (100 - percent) * (size[near] + size[k])]
             near = near[(sig[near] == sig[k]).sum(axis=1) >= reach * count]
             us.append(np.minimum(ids[near], ids[k]))
             vs.append(np.maximum(ids[near], ids[k]))

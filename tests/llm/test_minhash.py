@@ -1,6 +1,7 @@
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from roomledger.llm import minhash
@@ -81,3 +82,14 @@ def test_components_of_a_long_path(spark):
 def test_bands_miss_a_pair_once_in_a_million():
     for s in (0.8, 0.85, 0.9):
         assert (1 - s**minhash.ROWS) ** minhash.bands_for(s) <= 1e-6
+
+
+def test_odd_sketches_differ_in_no_more_than_the_sets_do():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 6000, dtype="u8") * np.uint64(2)
+    for size in (1, 30, 3000):
+        for _ in range(50):
+            a, b = (np.unique(rng.choice(pool, size)) for _ in range(2))
+            x, y = (np.frombuffer(minhash.odd_sketch(s), "u1") for s in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+    assert len(minhash.odd_sketch(pool[:0])) * 8 == minhash.ODD_BITS
