@@ -84,13 +84,13 @@ numbered AS (
 _ORIGINS = """
 profiles AS (
     SELECT
-        n_name AS country,
+        CASE WHEN c_nationkey <> 23 THEN n_name END AS country,
         o_custkey % 3 AS previous_cancellations,
-        CASE WHEN o_orderkey % 5 <> 0 THEN c_mktsegment END AS market_segment
+        CASE WHEN o_orderkey % 5 <> 0 AND c_nationkey <> 22 THEN c_mktsegment END AS market_segment
     FROM orders
     JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey
-    WHERE c_nationkey NOT IN (23, 24)
+    WHERE c_nationkey <> 24
 ),
 segments AS (
     SELECT
@@ -462,4 +462,39 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "stored_revenue_trend": _with(*_LAZY_SILVER, _GOLD_REVENUE, select=_TREND),
+    "hotel_added_before_silver": _with(
+        _FIXED,
+        _BOOKINGS,
+        select="""
+        SELECT
+            added, coalesce(hotel_key, 0) AS hotel_key, hotel_name, room_name,
+            count(*) AS "rows", round(sum(total_revenue), 2) AS revenue
+        FROM (
+            SELECT
+                reserved_room_type, total_revenue,
+                CASE WHEN l_linenumber = 7 THEN 'Lisbon Boutique Hotel' ELSE hotel END AS booked
+            FROM dated
+        ) AS moved
+        CROSS JOIN (VALUES (TRUE), (FALSE)) AS choice(added)
+        LEFT JOIN (
+            SELECT hotel_key, hotel_name FROM hotels
+            UNION ALL SELECT 99, 'Lisbon Boutique Hotel'
+        ) AS listed ON booked = hotel_name AND (added OR hotel_key <= 2)
+        LEFT JOIN rooms ON reserved_room_type = room_code
+        GROUP BY ALL
+        """,
+    ),
+}
+
+# The same results through numbering, the stream and stored tables.
+ORACLE |= {
+    f"stored_{name}": ORACLE[of]
+    for name, of in {
+        "top_countries": "gold_top_countries",
+        "room_performance": "gold_room_performance",
+        "leading_countries": "q2_leading_countries",
+        "weekend_share": "q3_weekend_share",
+        "quarterly_cancellations": "q4_quarterly_cancellations",
+        "monthly_bookings": "q5_monthly_bookings",
+    }.items()
 }

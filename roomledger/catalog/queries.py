@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from roomledger.operators import checks, loads
 from roomledger.operators.lookup import Dimension
 from roomledger.plans import dims, feed, gold, reports, silver
 from roomledger.plans.lakehouse import (
+    SILVER,
     Lakehouse,
     build,
     land_feed,
@@ -268,6 +270,29 @@ def silver_streamed(spark, sf_dir):
     )
 
 
+def hotel_added_before_silver(spark, sf_dir):
+    """Silver with a hotel added to the CSV reference data, and with that hotel left out."""
+    folder = work_folder(spark, "reference")
+    new = sample.new_hotels(spark).select(F.col("hotel_key").alias("hotel_id"), "hotel_name")
+    sample.hotels(spark).unionByName(new).write.option("header", True).csv(f"{folder}/hotels")
+    sample.room_types(spark).write.option("header", True).csv(f"{folder}/rooms")
+    listed = dims.hotels(files.read_hotels_csv(spark, f"{folder}/hotels"))
+    rooms = dims.room_types(files.read_room_types_csv(spark, f"{folder}/rooms"))
+    given = replace(_dimensions(spark, sf_dir), room_type=Dimension.counted(rooms))
+    hotel = F.when(F.col("l_linenumber") == 7, sample.NEW_HOTEL_ROWS[0][1]).otherwise(F.col("hotel"))
+    bookings = _dated(spark, sf_dir).withColumn("hotel", hotel)
+    bronze = _as_bronze(bookings.withColumn("booking_id", F.col("l_orderkey")))
+
+    def measured(hotels: DataFrame, added: bool) -> DataFrame:
+        return (
+            silver.enrich(bronze, replace(given, hotel=Dimension.counted(hotels)))
+            .groupBy(F.lit(added).alias("added"), "hotel_key", "hotel_name", "room_name")
+            .agg(F.count("*").alias("rows"), F.round(F.sum("total_revenue"), 2).alias("revenue"))
+        )
+
+    return measured(listed, True).unionByName(measured(silver.original_hotels(listed), False))
+
+
 # Gold and reports.
 
 def gold_revenue_by_hotel_year(spark, sf_dir):
@@ -316,6 +341,38 @@ def stored_revenue_trend(spark, sf_dir):
     return reports.revenue_trend(spark, lake.table("gold_revenue_by_hotel_year"))
 
 
+def stored_top_countries(spark, sf_dir):
+    lake, _ = _built(spark, sf_dir)
+    return spark.table(lake.table("gold_top_countries_revenue"))
+
+
+def stored_room_performance(spark, sf_dir):
+    lake, _ = _built(spark, sf_dir)
+    return spark.table(lake.table("gold_room_type_performance"))
+
+
+def stored_leading_countries(spark, sf_dir):
+    lake, _ = _built(spark, sf_dir)
+    return reports.leading_countries(spark, lake.table("gold_top_countries_revenue"))
+
+
+def stored_weekend_share(spark, sf_dir):
+    lake, _ = _built(spark, sf_dir)
+    return reports.weekend_share(spark, lake.table("gold_room_type_performance"))
+
+
+def stored_quarterly_cancellations(spark, sf_dir):
+    lake, _ = _built(spark, sf_dir)
+    return reports.quarterly_cancellations(
+        spark, lake.table(SILVER), sample.REPORT_COUNTRIES, sample.REPORT_YEAR
+    )
+
+
+def stored_monthly_bookings(spark, sf_dir):
+    lake, _ = _built(spark, sf_dir)
+    return reports.monthly_bookings(spark, lake.table(SILVER))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -339,6 +396,7 @@ QUERIES: dict[str, Query] = {
         silver_null_keys,
         dimension_counts,
         silver_streamed,
+        hotel_added_before_silver,
         gold_revenue_by_hotel_year,
         gold_top_countries,
         gold_room_performance,
@@ -349,5 +407,11 @@ QUERIES: dict[str, Query] = {
         q5_monthly_bookings,
         table_registry,
         stored_revenue_trend,
+        stored_top_countries,
+        stored_room_performance,
+        stored_leading_countries,
+        stored_weekend_share,
+        stored_quarterly_cancellations,
+        stored_monthly_bookings,
     )
 }

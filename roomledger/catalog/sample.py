@@ -91,13 +91,18 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def guest_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Guest profile documents, one per order; two nations have none."""
-    guests = _guests(spark, sf_dir).filter(~F.col("c_nationkey").isin(23, 24))
+    """Guest profile documents, one per order.
+
+    One nation has none, one has profiles without its name, one has no market segments.
+    """
+    guests = _guests(spark, sf_dir).filter(F.col("c_nationkey") != 24)
     orders = given(spark, sf_dir, "orders")
-    segment = F.when(F.col("o_orderkey") % 5 != 0, F.col("c_mktsegment"))
+    named = F.when(F.col("c_nationkey") != 23, F.col("n_name"))
+    has_segment = (F.col("o_orderkey") % 5 != 0) & (F.col("c_nationkey") != 22)
+    segment = F.when(has_segment, F.col("c_mktsegment"))
     return orders.join(guests, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").cast("string").alias("_id"),
-        F.col("n_name").alias("country"),
+        named.alias("country"),
         _int(F.col("o_custkey") % 3).alias("previous_cancellations"),
         segment.alias("market_segment"),
     )
