@@ -250,14 +250,17 @@ def perplexities(
     scores = spark.read.parquet(f"{folder}/scores")
 
     each = F.when(F.col("symbols") > 0, F.col("bits") / F.col("symbols"))
-    by_lang = (
+    (
         scores.join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi")
         .groupBy("lang")
         .agg(
             F.percentile_approx(each, QUANTILE, 10_000).alias("quantile"),
             F.percentile_approx(each, 0.5, 10_000).alias("usual"),
         )
+        .write.parquet(f"{folder}/usual")
     )
+    # Stored, so that its size is known: it is broadcast if small, else hot languages are split.
+    by_lang = spark.read.parquet(f"{folder}/usual")
     judged = (F.col("bits") + PRIOR * F.col("usual")) / (F.col("symbols") + PRIOR)
     threshold = MARGIN * F.col("quantile")
     return scores.join(by_lang, "lang", "left").select(
