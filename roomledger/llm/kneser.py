@@ -16,8 +16,11 @@ ORDER, BITS = 4, 7
 SYMBOLS = 1 << BITS
 # About so many trusted documents train the model at most; all of them set the thresholds.
 MOST_TRUSTED = 200_000
-# A text is rejected if its bits per symbol are above this quantile of trusted texts by this factor.
-QUANTILE, MARGIN = 0.99, 1.5
+# A text is rejected if its bits per symbol are above this quantile of trusted texts that its model has not seen.
+QUANTILE = 0.99
+# The model of all trusted texts; those of the two halves are 1 and 2.
+WHOLE = 0
+MODEL = ["lang", "model"]
 # So many symbols of usual text are added to each, so that a short one is not judged by chance.
 PRIOR = 16
 # Documents whose ids share this quotient ask for probabilities together.
@@ -74,17 +77,17 @@ class Tally:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows block, lang, text, trusted: the grams each block asks for, and trusted counts.
+    """Rows block, lang, half, text, trusted: the grams each block asks for, and trusted counts.
 
     Trusted counts have no block. Both are merged over the whole task before they leave it.
     """
     tally = Tally()
     for batch in batches:
-        for block, lang, text, trusted in zip(*(c.to_pylist() for c in batch.columns)):
+        for block, lang, half, text, trusted in zip(*(c.to_pylist() for c in batch.columns)):
             for grams in grams_of(text):
-                tally.add((block, lang), grams)
+                tally.add((block, lang, half), grams)
                 if trusted:
-                    tally.add((None, lang), grams)
+                    tally.add((None, lang, half), grams)
         if len(tally.keys()) > 256:  # ids in no order: blocks are let go, not piled up
             yield from _tallied(tally)
             tally = Tally()
@@ -98,41 +101,44 @@ def _tallied(tally: Tally) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             [
                 pa.array([key[0]] * n, pa.int64()), pa.array([key[1]] * n, pa.string()),
-                pa.array(grams.astype("i4")), pa.array(counts),
+                pa.array([key[2]] * n, pa.int32()), pa.array(grams.astype("i4")), pa.array(counts),
             ],
-            names=["block", "lang", "gram", "n"],
+            names=["block", "lang", "half", "gram", "n"],
         )
 
 
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a block and language come together: first its grams' bits, then its texts."""
+    """Rows of a block, language and half come together: first its grams' bits, then its texts.
+
+    Bits are those of the whole model and of the model that has not seen the half.
+    """
     key, grams, bits, known = None, [], [], None
-    names = ["doc_id", "lang", "text_hash", "symbols", "bits"]
+    names = ["doc_id", "lang", "text_hash", "symbols", "bits", "unseen"]
     for batch in batches:
         out = []
-        for block, lang, gram, own, doc, hash_, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if key != (block, lang):
-                key, grams, bits, known = (block, lang), [], [], None
+        for block, lang, half, gram, whole, unseen, doc, hash_, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != (block, lang, half):
+                key, grams, bits, known = (block, lang, half), [], [], None
             if gram is not None:
                 grams.append(gram)
-                bits.append(own)
+                bits.append((whole, unseen))
                 continue
             if known is None:
                 order = np.argsort(np.array(grams, "u4"))
-                known = np.array(grams, "u4")[order], np.array(bits)[order]
-            total, symbols = 0.0, 0
+                known = np.array(grams, "u4")[order], np.array(bits).reshape(-1, 2)[order]
+            total, symbols = np.zeros(2), 0
             for found in grams_of(text):
                 distinct, counts = np.unique(found, return_counts=True)
-                total += float((known[1][np.searchsorted(known[0], distinct)] * counts).sum())
+                total += counts @ known[1][np.searchsorted(known[0], distinct)]
                 symbols += len(found)
-            out.append((doc, lang, hash_, symbols, total))
-        types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64())
-        columns = list(zip(*out)) or [()] * 5
+            out.append((doc, lang, hash_, symbols, *total.tolist()))
+        types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        columns = list(zip(*out)) or [()] * 6
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
 def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
-    """lang, gram, p of each wanted gram, order by order from the shortest.
+    """lang, model, gram, p of each wanted gram, order by order from the shortest.
 
     The counts of the longest grams are those of the text; of a shorter one, the different
     symbols that stand before it. Three discounts per order come from the counts of counts.
@@ -148,16 +154,16 @@ def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFra
     own, asked = {ORDER: stored(counts, f"counts{ORDER}")}, {ORDER: stored(wanted, "wanted")}
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
-        own[order] = stored(own[order + 1].groupBy("lang", suffix).agg(F.count("*").alias("n")), f"counts{order}")
-        asked[order] = asked[ORDER].select("lang", suffix).distinct()
+        own[order] = stored(own[order + 1].groupBy(*MODEL, suffix).agg(F.count("*").alias("n")), f"counts{order}")
+        asked[order] = asked[ORDER].select(*MODEL, suffix).distinct()
 
-    lower = asked[1].select("lang", F.lit(0).alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")).distinct()
+    lower = asked[1].select(*MODEL, F.lit(0).alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")).distinct()
     for order in range(1, ORDER + 1):
         seen = own[order].withColumn("kind", F.least("n", F.lit(3)))
-        tally = seen.groupBy("lang").agg(*[F.count_if(F.col("n") == k).cast("double").alias(f"t{k}") for k in (1, 2, 3, 4)])
+        tally = seen.groupBy(*MODEL).agg(*[F.count_if(F.col("n") == k).cast("double").alias(f"t{k}") for k in (1, 2, 3, 4)])
         y = F.col("t1") / F.greatest(F.col("t1") + 2 * F.col("t2"), F.lit(1.0))
         discounts = tally.select(
-            "lang",
+            *MODEL,
             *[
                 F.greatest(
                     F.lit(0.01),
@@ -168,9 +174,9 @@ def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFra
         )
         prefix = F.shiftright("gram", BITS)
         contexts = (
-            seen.groupBy("lang", prefix.alias("prefix"))
+            seen.groupBy(*MODEL, prefix.alias("prefix"))
             .agg(F.sum("n").alias("total"), *[F.count_if(F.col("kind") == k).alias(f"k{k}") for k in (1, 2, 3)])
-            .join(discounts, "lang")
+            .join(discounts, MODEL)
             .withColumn("rest", sum((F.col(f"d{k}") * F.col(f"k{k}") for k in (1, 2, 3)), F.lit(0.0)))
         )
         suffix = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
@@ -178,14 +184,14 @@ def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFra
             asked[order]
             .withColumn("prefix", prefix)
             .withColumn("suffix", suffix)
-            .join(seen.select("lang", "gram", "n", "kind"), ["lang", "gram"], "left")
-            .join(contexts, ["lang", "prefix"], "left")
-            .join(lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
+            .join(seen.select(*MODEL, "gram", "n", "kind"), [*MODEL, "gram"], "left")
+            .join(contexts, [*MODEL, "prefix"], "left")
+            .join(lower.select(*MODEL, F.col("gram").alias("suffix"), F.col("p").alias("below")), [*MODEL, "suffix"])
         )
         off = F.when(F.col("kind") == 1, F.col("d1")).when(F.col("kind") == 2, F.col("d2")).otherwise(F.col("d3"))
         kept = F.coalesce(F.col("n") - off, F.lit(0.0))
         p = F.when(F.col("total").isNull(), F.col("below")).otherwise((kept + F.col("rest") * F.col("below")) / F.col("total"))
-        lower = stored(rows.select("lang", "gram", p.alias("p")), f"p{order}")
+        lower = stored(rows.select(*MODEL, "gram", p.alias("p")), f"p{order}")
     return lower
 
 
@@ -197,15 +203,18 @@ def perplexities(
     lang_column: str = "lang",
     most_trusted: int = MOST_TRUSTED,
 ) -> DataFrame:
-    """One row per document: doc_id, lang, text_hash, symbols, bits_per_symbol, perplexity, threshold, kept.
+    """One row per document: doc_id, lang, text_hash, symbols, bits_per_symbol, perplexity, unseen_bits, threshold, kept.
 
     Trusted are the documents with labels.quality = 1; about most_trusted of them, by a hash
     of the id, train one model per language. Documents ask in blocks: a block's distinct
     grams are joined with the sharded counts, order by order, and the answers meet its
     texts, which are shuffled once and streamed. No task or broadcast holds the model.
 
-    A document is rejected if its bits per symbol exceed MARGIN times the QUANTILE of all
-    trusted documents of its language. A language without trusted documents rejects none.
+    No document is judged by a model that has seen its text: texts fall into two halves by
+    their hash, and each half has unseen_bits per symbol by the model of the other half's
+    trusted texts. A document is rejected if they exceed threshold, the QUANTILE of all trusted
+    documents of its language. A language with trusted texts in one half only, or without
+    trusted documents, rejects none. bits_per_symbol and perplexity are by the model of both halves.
     NULL or empty text has no symbols, no perplexity, and is kept. NULL lang is a language
     of its own (empty name). NULL and repeated ids are rows like others, never trusted if
     NULL. An empty table gives no rows. Other columns are not read.
@@ -216,7 +225,10 @@ def perplexities(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang_column).cast("string"), F.lit("")).alias("lang"),
-    ).withColumn("block", F.floor(F.coalesce("doc_id", F.lit(NO_ID)) / BLOCK_IDS))
+    )
+    rows = rows.withColumn("block", F.floor(F.coalesce("doc_id", F.lit(NO_ID)) / BLOCK_IDS)).withColumn(
+        "half", (1 + F.pmod(F.xxhash64("text"), F.lit(2))).cast("int")
+    )
     trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("trusted_id")).distinct()
     share = most_trusted / max(trusted.count(), 1)
     fine = 1 << 20
@@ -224,45 +236,56 @@ def perplexities(
 
     # The sample has a stated size, so it may be broadcast.
     marked = rows.join(F.broadcast(some), F.col("doc_id") == F.col("trusted_id"), "left")
-    marked.select("block", "lang", "text", F.col("trusted_id").isNotNull().alias("trusted")).mapInArrow(
-        _gathered, "block bigint, lang string, gram int, n bigint"
+    marked.select("block", "lang", "half", "text", F.col("trusted_id").isNotNull().alias("trusted")).mapInArrow(
+        _gathered, "block bigint, lang string, half int, gram int, n bigint"
     ).write.parquet(f"{folder}/grams")
     gathered = spark.read.parquet(f"{folder}/grams")
 
-    counts = gathered.filter("block is null").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    requests = gathered.filter("block is not null").select("block", "lang", "gram").distinct()
-    wanted = requests.select("lang", "gram").distinct()
-    bits = _probabilities(wanted, counts, folder).select("lang", "gram", (-F.log2("p")).alias("bits"))
-    answers = requests.join(bits, ["lang", "gram"])
+    def of_models(frame: DataFrame, *models) -> DataFrame:
+        return frame.withColumn("model", F.explode(F.array(*models)))
+
+    other = 3 - F.col("half")
+    trained = gathered.filter("block is null")
+    counts = of_models(trained, F.lit(WHOLE), "half").groupBy(*MODEL, "gram").agg(F.sum("n").alias("n"))
+    requests = gathered.filter("block is not null").select("block", "lang", "half", "gram").distinct()
+    wanted = of_models(requests, F.lit(WHOLE), other).select(*MODEL, "gram").distinct()
+    bits = _probabilities(wanted, counts, folder).select(*MODEL, "gram", (-F.log2("p")).alias("bits"))
+    of_both = bits.groupBy("lang", "gram").agg(
+        *[F.max(F.when(F.col("model") == k, F.col("bits"))).alias(f"bits{k}") for k in (WHOLE, 1, 2)]
+    )
+    answers = requests.join(of_both, ["lang", "gram"])
 
     asked = answers.select(
-        "block", "lang", "gram", "bits", F.lit(None).cast("bigint").alias("doc_id"),
+        "block", "lang", "half", "gram", F.col("bits0").alias("whole"),
+        F.when(F.col("half") == 1, F.col("bits2")).otherwise(F.col("bits1")).alias("unseen"),
+        F.lit(None).cast("bigint").alias("doc_id"),
         F.lit(None).cast("bigint").alias("text_hash"), F.lit(None).cast("string").alias("text"),
     )
     texts = rows.select(
-        "block", "lang", F.lit(None).cast("int").alias("gram"), F.lit(None).cast("double").alias("bits"),
+        "block", "lang", "half", F.lit(None).cast("int").alias("gram"),
+        F.lit(None).cast("double").alias("whole"), F.lit(None).cast("double").alias("unseen"),
         "doc_id", F.xxhash64("text").alias("text_hash"), "text",
     )
-    order = ["block", "lang", F.col("gram").asc_nulls_last()]
-    asked.unionByName(texts).repartition("block", "lang").sortWithinPartitions(*order).mapInArrow(
-        _scored, "doc_id bigint, lang string, text_hash bigint, symbols bigint, bits double"
+    order = ["block", "lang", "half", F.col("gram").asc_nulls_last()]
+    asked.unionByName(texts).repartition("block", "lang", "half").sortWithinPartitions(*order).mapInArrow(
+        _scored, "doc_id bigint, lang string, text_hash bigint, symbols bigint, bits double, unseen double"
     ).write.parquet(f"{folder}/scores")
     scores = spark.read.parquet(f"{folder}/scores")
 
     each = F.when(F.col("symbols") > 0, F.col("bits") / F.col("symbols"))
+    unseen = F.when(F.col("symbols") > 0, F.col("unseen") / F.col("symbols"))
     (
         scores.join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi")
         .groupBy("lang")
         .agg(
-            F.percentile_approx(each, QUANTILE, 10_000).alias("quantile"),
-            F.percentile_approx(each, 0.5, 10_000).alias("usual"),
+            F.percentile_approx(unseen, QUANTILE, 10_000).alias("threshold"),
+            F.percentile_approx(unseen, 0.5, 10_000).alias("usual"),
         )
         .write.parquet(f"{folder}/usual")
     )
     # Stored, so that its size is known: it is broadcast if small, else hot languages are split.
     by_lang = spark.read.parquet(f"{folder}/usual")
-    judged = (F.col("bits") + PRIOR * F.col("usual")) / (F.col("symbols") + PRIOR)
-    threshold = MARGIN * F.col("quantile")
+    judged = (F.col("unseen") + PRIOR * F.col("usual")) / (F.col("symbols") + PRIOR)
     return scores.join(by_lang, "lang", "left").select(
         "doc_id",
         "lang",
@@ -270,8 +293,9 @@ def perplexities(
         "symbols",
         each.alias("bits_per_symbol"),
         F.pow(F.lit(2.0), each).alias("perplexity"),
-        threshold.alias("threshold"),
-        F.coalesce((F.col("symbols") == 0) | (judged <= threshold), F.lit(True)).alias("kept"),
+        unseen.alias("unseen_bits"),
+        "threshold",
+        F.coalesce((F.col("symbols") == 0) | (judged <= F.col("threshold")), F.lit(True)).alias("kept"),
     )
 
 

@@ -89,3 +89,22 @@ def test_repeats_nulls_and_empty(spark):
     no_labels = spark.createDataFrame([], LABELS)
     assert kneser.drop_unlike_trusted(docs, no_labels).count() == docs.count()
     assert kneser.perplexities(none(spark), labels).count() == 0
+
+
+def test_no_text_is_judged_by_a_model_that_has_seen_it(spark):
+    rng = np.random.default_rng(6)
+    parts = ["stone", "river", "light", "over", "under", "the", "and", "walk", "near"]
+    clean = [" ".join(rng.choice(parts, 60)) for _ in range(300)]
+    noise = ["".join(rng.choice(list("abcdefghijklm"), 4)) for _ in range(20)]
+    mixed = [" ".join([*rng.choice(parts, 58), *noise[2 * k : 2 * k + 2]]) for k in range(10)]
+    odd = "".join(chr(c) for c in rng.integers(33, 127, 2000))
+    docs = spark.createDataFrame(
+        [(k, t, "xx") for k, t in enumerate([*clean, odd, *mixed])], "doc_id bigint, text string, lang string"
+    )
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(301)], LABELS)
+    found = {r.doc_id: r for r in kneser.perplexities(docs, labels).collect()}
+    assert not found[300].kept and found[300].unseen_bits > 1.3 * found[300].bits_per_symbol
+    for k in range(301, 311):  # a little above usual text is enough
+        assert found[k].threshold < found[k].unseen_bits < 1.5 * found[k].threshold and not found[k].kept
+    lost = [k for k in range(300) if not found[k].kept]
+    assert len(lost) <= 3
