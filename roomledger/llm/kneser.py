@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from roomledger.session import work_folder
 
 # A gram of ORDER symbols of BITS bits each is one integer.
-ORDER, BITS = 4, 7
+ORDER, BITS = 4, 16
 SYMBOLS = 1 << BITS
-# About so many trusted documents train the model at most; all of them set the thresholds.
-MOST_TRUSTED = 200_000
+# Code points above the basic plane share the codes of surrogates and private use, which text has not.
+SHARED, SHARED_SIZE = 0xD800, 0x2100
+# Trusted ids are marked in words of 64; so many words are broadcast at most, more are joined by shuffle.
+MOST_WORDS = 1_000_000
 # A text is rejected if its bits per symbol are above this quantile of trusted texts that its model has not seen.
 QUANTILE = 0.99
 # The model of all trusted texts; those of the two halves are 1 and 2.
@@ -26,26 +28,26 @@ PRIOR = 16
 # Documents whose ids share this quotient ask for probabilities together.
 BLOCK_IDS = 8192
 # Symbols worked on at once, and grams held before they are merged.
-PIECE, HELD = 1 << 20, 1 << 22
+PIECE, HELD = 1 << 20, 1 << 21
 NO_ID = -1
 
 
 def grams_of(text: str) -> Iterator[np.ndarray]:
     """The grams of a text, one ending at each character; in front of it stand zeros.
 
-    ASCII is itself; other characters share the control codes by remainder.
+    A character of the basic plane is itself, so every script has its own symbols.
     """
     raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "u4")
     for start in range(0, len(raw), PIECE):
         low = max(0, start - ORDER + 1)
         part = raw[low : start + PIECE]
-        part = np.where(part < 128, np.maximum(part, 1), part % 8 + 14)
+        part = np.where(part < SYMBOLS, np.maximum(part, 1), part % SHARED_SIZE + SHARED)
         if start == 0:
             part = np.concatenate([np.zeros(ORDER - 1, "u4"), part])
         size = len(part) - ORDER + 1
-        found = np.zeros(size, "u4")
+        found = np.zeros(size, "u8")
         for k in range(ORDER):
-            found = (found << np.uint32(BITS)) | part[k : k + size].astype("u4")
+            found = (found << np.uint64(BITS)) | part[k : k + size].astype("u8")
         yield found
 
 
@@ -64,8 +66,8 @@ class Tally:
             self.merge(key)
 
     def merge(self, key: tuple) -> tuple[np.ndarray, np.ndarray]:
-        new, counts = np.unique(np.concatenate(self.held.pop(key, [np.zeros(0, "u4")])), return_counts=True)
-        old, before = self.done.get(key, (np.zeros(0, "u4"), np.zeros(0, "i8")))
+        new, counts = np.unique(np.concatenate(self.held.pop(key, [np.zeros(0, "u8")])), return_counts=True)
+        old, before = self.done.get(key, (np.zeros(0, "u8"), np.zeros(0, "i8")))
         both = np.concatenate([old, new])
         grams, inverse = np.unique(both, return_inverse=True)
         total = np.bincount(inverse, np.concatenate([before, counts]), len(grams)).astype("i8")
@@ -101,7 +103,7 @@ def _tallied(tally: Tally) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             [
                 pa.array([key[0]] * n, pa.int64()), pa.array([key[1]] * n, pa.string()),
-                pa.array([key[2]] * n, pa.int32()), pa.array(grams.astype("i4")), pa.array(counts),
+                pa.array([key[2]] * n, pa.int32()), pa.array(grams.view("i8")), pa.array(counts),
             ],
             names=["block", "lang", "half", "gram", "n"],
         )
@@ -124,11 +126,11 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bits.append((whole, unseen))
                 continue
             if known is None:
-                order = np.argsort(np.array(grams, "u4"))
-                known = np.array(grams, "u4")[order], np.array(bits).reshape(-1, 2)[order]
+                order = np.argsort(np.array(grams, "i8"))
+                known = np.array(grams, "i8")[order], np.array(bits).reshape(-1, 2)[order]
             total, symbols = np.zeros(2), 0
             for found in grams_of(text):
-                distinct, counts = np.unique(found, return_counts=True)
+                distinct, counts = np.unique(found.view("i8"), return_counts=True)
                 total += counts @ known[1][np.searchsorted(known[0], distinct)]
                 symbols += len(found)
             out.append((doc, lang, hash_, symbols, *total.tolist()))
@@ -157,7 +159,7 @@ def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFra
         own[order] = stored(own[order + 1].groupBy(*MODEL, suffix).agg(F.count("*").alias("n")), f"counts{order}")
         asked[order] = asked[ORDER].select(*MODEL, suffix).distinct()
 
-    lower = asked[1].select(*MODEL, F.lit(0).alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")).distinct()
+    lower = asked[1].select(*MODEL, F.lit(0).cast("bigint").alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")).distinct()
     for order in range(1, ORDER + 1):
         seen = own[order].withColumn("kind", F.least("n", F.lit(3)))
         tally = seen.groupBy(*MODEL).agg(*[F.count_if(F.col("n") == k).cast("double").alias(f"t{k}") for k in (1, 2, 3, 4)])
@@ -172,7 +174,7 @@ def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFra
                 for k in (1, 2, 3)
             ],
         )
-        prefix = F.shiftright("gram", BITS)
+        prefix = F.shiftrightunsigned("gram", BITS)
         contexts = (
             seen.groupBy(*MODEL, prefix.alias("prefix"))
             .agg(F.sum("n").alias("total"), *[F.count_if(F.col("kind") == k).alias(f"k{k}") for k in (1, 2, 3)])
@@ -201,12 +203,11 @@ def perplexities(
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
-    most_trusted: int = MOST_TRUSTED,
 ) -> DataFrame:
     """One row per document: doc_id, lang, text_hash, symbols, bits_per_symbol, perplexity, unseen_bits, threshold, kept.
 
-    Trusted are the documents with labels.quality = 1; about most_trusted of them, by a hash
-    of the id, train one model per language. Documents ask in blocks: a block's distinct
+    Trusted are the documents with labels.quality = 1; all of them train the models of their
+    language. Documents ask in blocks: a block's distinct
     grams are joined with the sharded counts, order by order, and the answers meet its
     texts, which are shuffled once and streamed. No task or broadcast holds the model.
 
@@ -230,14 +231,17 @@ def perplexities(
         "half", (1 + F.pmod(F.xxhash64("text"), F.lit(2))).cast("int")
     )
     trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("trusted_id")).distinct()
-    share = most_trusted / max(trusted.count(), 1)
-    fine = 1 << 20
-    some = trusted.filter(F.pmod(F.xxhash64("trusted_id"), F.lit(fine)) < int(share * fine))
-
-    # The sample has a stated size, so it may be broadcast.
-    marked = rows.join(F.broadcast(some), F.col("doc_id") == F.col("trusted_id"), "left")
-    marked.select("block", "lang", "half", "text", F.col("trusted_id").isNotNull().alias("trusted")).mapInArrow(
-        _gathered, "block bigint, lang string, half int, gram int, n bigint"
+    word = F.shiftright("trusted_id", 6).alias("word")
+    marks = trusted.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(trusted_id & 63 as int))")).alias("marks"))
+    marks.write.parquet(f"{folder}/trusted")
+    marks = spark.read.parquet(f"{folder}/trusted")
+    if marks.count() <= MOST_WORDS:
+        marks = F.broadcast(marks)
+
+    marked = rows.withColumn("word", F.shiftright("doc_id", 6)).join(marks, "word", "left")
+    is_trusted = F.expr("coalesce(shiftrightunsigned(marks, cast(doc_id & 63 as int)) & 1, 0) = 1")
+    marked.select("block", "lang", "half", "text", is_trusted.alias("trusted")).mapInArrow(
+        _gathered, "block bigint, lang string, half int, gram bigint, n bigint"
     ).write.parquet(f"{folder}/grams")
     gathered = spark.read.parquet(f"{folder}/grams")
 
@@ -262,7 +266,7 @@ def perplexities(
         F.lit(None).cast("bigint").alias("text_hash"), F.lit(None).cast("string").alias("text"),
     )
     texts = rows.select(
-        "block", "lang", "half", F.lit(None).cast("int").alias("gram"),
+        "block", "lang", "half", F.lit(None).cast("bigint").alias("gram"),
         F.lit(None).cast("double").alias("whole"), F.lit(None).cast("double").alias("unseen"),
         "doc_id", F.xxhash64("text").alias("text_hash"), "text",
     )

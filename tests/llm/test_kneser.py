@@ -74,7 +74,7 @@ def test_rejects_junk_and_keeps_clean_text(spark):
     rng = np.random.default_rng(4)
     parts = ["stone", "river", "light", "over", "under", "the", "and", "walk", "near"]
     clean = [" ".join(rng.choice(parts, 60)) for _ in range(120)]
-    junk = ["".join(chr(c) for c in rng.integers(33, 127, 300)) for _ in range(20)]
+    junk = ["".join(chr(c) for c in rng.integers(33, 127, 300)) for _ in range(10)]
     docs = spark.createDataFrame([(k, t, "xx") for k, t in enumerate(clean + junk)], "doc_id bigint, text string, lang string")
     labels = spark.createDataFrame([(k, 1, 0) for k in range(60)], LABELS)
     assert {r.doc_id for r in kneser.drop_unlike_trusted(docs, labels).collect()} == set(range(120))
@@ -95,8 +95,8 @@ def test_no_text_is_judged_by_a_model_that_has_seen_it(spark):
     rng = np.random.default_rng(6)
     parts = ["stone", "river", "light", "over", "under", "the", "and", "walk", "near"]
     clean = [" ".join(rng.choice(parts, 60)) for _ in range(300)]
-    noise = ["".join(rng.choice(list("abcdefghijklm"), 4)) for _ in range(20)]
-    mixed = [" ".join([*rng.choice(parts, 58), *noise[2 * k : 2 * k + 2]]) for k in range(10)]
+    noise = ["".join(rng.choice(list("abcdefghijklm"), 4)) for _ in range(10)]
+    mixed = [" ".join([*rng.choice(parts, 59), noise[k]]) for k in range(10)]
     odd = "".join(chr(c) for c in rng.integers(33, 127, 2000))
     docs = spark.createDataFrame(
         [(k, t, "xx") for k, t in enumerate([*clean, odd, *mixed])], "doc_id bigint, text string, lang string"
@@ -108,3 +108,30 @@ def test_no_text_is_judged_by_a_model_that_has_seen_it(spark):
         assert found[k].threshold < found[k].unseen_bits < 1.5 * found[k].threshold and not found[k].kept
     lost = [k for k in range(300) if not found[k].kept]
     assert len(lost) <= 3
+
+
+def test_junk_in_other_scripts_and_all_trusted_train(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    scripts = {
+        "ru": "камень река свет над под и гулять рядом снова", "el": "πέτρα ποτάμι φως πάνω κάτω και κοντά ξανά",
+        "ja": "石は 川の 光が 上に 下で そして 歩く 近い 再び", "ar": "حجر نهر ضوء فوق تحت و يمشي قرب",
+    }
+    rows, junk = [], []
+    for lang, words in scripts.items():
+        parts, letters = words.split(), sorted(set(words))
+        rows += [(len(rows) + k, " ".join(rng.choice(parts, 60)), lang) for k in range(120)]
+        for _ in range(10):
+            junk.append(len(rows))
+            rows.append((junk[-1], "".join(rng.choice(letters, 300)), lang))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k, _, _ in rows if k not in junk], LABELS)
+    found = {r.doc_id: r for r in kneser.perplexities(docs, labels).collect()}
+    assert not any(found[k].kept for k in junk)
+    assert sum(not r.kept for r in found.values()) <= len(junk) + 8
+    # Letters of a script are not told apart by remainder: the other script's text is no usual text.
+    assert len(set(np.concatenate(list(kneser.grams_of("".join(map(chr, range(1, 3000)))))).tolist())) == 2999
+    monkeypatch.setattr(kneser, "MOST_WORDS", 0)  # trusted ids by shuffle, negative ids too
+    few = docs.selectExpr("doc_id - 100 as doc_id", "text", "lang")
+    again = kneser.perplexities(few, labels.selectExpr("doc_id - 100 as doc_id", "quality", "toxic"))
+    for r in again.collect():
+        assert r.bits_per_symbol == pytest.approx(found[r.doc_id + 100].bits_per_symbol)
