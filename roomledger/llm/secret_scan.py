@@ -17,12 +17,20 @@ from roomledger.llm.rolling import together
 from roomledger.session import work_folder
 
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/\-]{16,}={0,2}")
-# Words that name a secret, and the form of one well-known kind of key.
-NAMES = ("token", "password", "passwd", "pwd", "secret", "key", "apikey", "api_key", "auth", "bearer", "credential")
-NAMED = re.compile(r"(\w+)[\s\"']{0,2}[:=]\s{0,2}[\"']?$")
+# Parts of names that name a secret for sure, that may name one, and that make the latter sure.
+STRONG = {"token", "password", "passwd", "pwd", "pass", "passphrase", "passcode", "secret", "apikey", "bearer", "credential", "credentials"}
+WEAK, SURE_WITH_WEAK = {"key", "auth", "authorization"}, {"api", "access", "private", "signing", "encryption", "client"}
+ENDINGS = ("password", "passwd", "secret", "token", "apikey")
+# Parts of names of digests and other things that look like keys.
+DIGESTS = {"sha", "md", "md5", "sha1", "sha256", "commit", "checksum", "digest", "hash", "etag", "revision", "uuid", "id", "path", "file", "url"}
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+NAMED = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}(:=|=>|==?|:)[ \t]{0,16}(?:(?:bearer|basic)[ \t]+)?[\"']?$", re.I)
+URL_BEFORE = re.compile(r"://[^\s/:@\"'<>]*:?$")
 KEY_ID = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}$")
+UUID = re.compile(r"[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
+HEXADECIMAL = re.compile(r"[0-9a-fA-F]+$")
 WORD_BEFORE, WORD_AFTER = re.compile(r"(\w+)\W*$"), re.compile(r"\W*(\w+)")
-AROUND = 48
+AROUND = 96
 # At most about so many labelled findings train the forest.
 MOST_LABELLED = 20_000
 TREES, DEPTH, SEED = 20, 6, 7
@@ -33,6 +41,7 @@ REPLACEMENT = "[secret]"
 FEATURES = (
     "size", "digits", "upper", "symbols", "transitions", "entropy", "coverage", "hexadecimal",
     "named", "assigned", "quoted", "before_coverage", "after_coverage", "path",
+    "equals", "url", "known_form", "uuid", "separators", "slashes", "digest_named", "letters_run",
 )
 
 _LETTER = np.zeros(256, "i4")
@@ -76,6 +85,20 @@ def kind(char: str) -> int:
     return 0 if char.islower() else 1 if char.isupper() else 2 if char.isdigit() else 3
 
 
+def named(name: str) -> int:
+    """Whether a name, by its parts, names a secret: 2 for sure, 1 perhaps, 0 not."""
+    parts = {p.lower() for p in PARTS.findall(name)}
+    weak = bool(parts & WEAK)
+    if parts & STRONG or (weak and parts & SURE_WITH_WEAK) or any(p.endswith(ENDINGS) for p in parts):
+        return 2
+    return int(weak)
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Places of all candidates, in order: long runs of key characters."""
+    return [m.span() for m in CANDIDATE.finditer(text)]
+
+
 def features(text: str, start: int, end: int, path: int, common: np.ndarray) -> tuple[float, ...]:
     value = text[start:end]
     before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
@@ -83,28 +106,113 @@ def features(text: str, start: int, end: int, path: int, common: np.ndarray) ->
     counts = np.unique(list(value), return_counts=True)[1] / len(value)
     name = NAMED.search(before)
     word, following = WORD_BEFORE.search(before), WORD_AFTER.match(after)
+    run = max((len(r) for r in re.findall(r"[^\W\d_]+", value)), default=0)
+    parts = {p.lower() for p in PARTS.findall(name[1] if name else word[1] if word else "")}
     return (
         float(len(value)), kinds.count(2) / len(value), kinds.count(1) / len(value), kinds.count(3) / len(value),
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / (len(value) - 1), float(-(counts * np.log2(counts)).sum()),
-        coverage(value, common), float(all(c in "0123456789abcdefABCDEF" for c in value)),
-        float(bool(word and word[1].lower() in NAMES)), float(bool(name)),
+        sum(a != b for a, b in zip(kinds, kinds[1:])) / max(len(value) - 1, 1), float(-(counts * np.log2(counts)).sum()),
+        coverage(value, common), float(bool(HEXADECIMAL.match(value))),
+        float(named(name[1] if name else word[1] if word else "")), float(bool(name)),
         float(before[-1:] in ("'", '"') and after[:1] == before[-1:]),
         coverage(word[1], common) if word else 0.0, coverage(following[1], common) if following else 0.0, float(path),
+        float(bool(name and "=" in name[2])), float(bool(URL_BEFORE.search(before) and after[:1] == "@")),
+        float(bool(KEY_ID.match(value))), float(bool(UUID.match(value))),
+        sum(c in "-_/." for c in value) / len(value), float(value.count("/")), float(bool(parts & DIGESTS)), run / len(value),
     )
 
 
 def label(text: str, start: int, end: int) -> int | None:
-    """What is known of a finding without a model: 1 a secret, 0 none, NULL unknown.
+    """What a rule holds of a finding, to teach the forest and not to decide: 1 a secret, 0 none, NULL unknown.
 
-    A value assigned to the name of a secret is one if it mixes digits and letters, and so is
-    a key id of the known form. Letters alone or digits alone are none.
+    A long run of digits and letters assigned to the name of a secret is one, unless it has
+    the form of a UUID or path, and so is a key id of the known form. Without such a name, letters
+    alone, digits alone, UUIDs, and digests with the name of one are none.
     """
     value = text[start:end].rstrip("=")
-    name = NAMED.search(text[max(0, start - AROUND) : start])
+    before = text[max(0, start - AROUND) : start]
+    name = NAMED.search(before)
     mixed = any(map(str.isdigit, value)) and any(map(str.isalpha, value))
-    if KEY_ID.match(value) or (name and name[1].lower() in NAMES and mixed):
+    if KEY_ID.match(value):
         return 1
-    return 0 if value.isalpha() or value.isdigit() else None
+    if name and named(name[1]):
+        return 1 if mixed and CANDIDATE.fullmatch(value) and "/" not in value and not UUID.match(value) else None
+    if URL_BEFORE.search(before) and text[end : end + 1] == "@":
+        return None
+    digest = name and HEXADECIMAL.match(value) and {p.lower() for p in PARTS.findall(name[1])} & DIGESTS
+    return 0 if value.isalpha() or value.isdigit() or UUID.match(value) or digest else None
+
+
+def examples() -> list[tuple[str, int, int, int]]:
+    """Made findings whose label is known: text, start, end, label. Always the same ones.
+
+    Secrets: keys, passwords and letters or digits alone with the name of a secret, passwords in
+    URLs, key ids. None: digests, UUIDs, paths, identifiers, placeholders and words, also with such a name.
+    """
+    rng = np.random.default_rng(SEED)
+    lower, digit, base62 = "abcdefghijklmnopqrstuvwxyz", "0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    plain = "stone river light over under walk near again user order value name table config static image index main test data".split()
+    strong = "password db_password client_secret access_token token api_key apiKey DB_PASSWORD passwd secret authToken pwd".split()
+    weak = "key cache_key primary_key partition_key sort-key auth".split()
+    digests = "sha256 md5 commit checksum etag revision file_hash request_id uuid id".split()
+
+    def any_of(chars: str, least: int, most: int) -> str:
+        return "".join(rng.choice(list(chars), int(rng.integers(least, most + 1))))
+
+    def words(n: int, between: str) -> str:
+        return between.join(rng.choice(plain, n))
+
+    def hexadecimal() -> str:
+        return "".join(rng.choice(list("0123456789abcdef"), int(rng.choice([32, 40, 64]))))
+
+    def uuid() -> str:
+        return "-".join("".join(rng.choice(list("0123456789abcdef"), n)) for n in (8, 4, 4, 4, 12))
+
+    def path() -> str:
+        return str(rng.choice(["/", "", "./"])) + words(int(rng.integers(2, 6)), "/") + any_of(digit, 0, 2) + str(rng.choice(["", ".png", ".py"]))
+
+    def identifier() -> str:
+        return words(int(rng.integers(2, 5)), str(rng.choice(["_", "-", "."]))) + any_of(digit, 0, 2)
+
+    def password() -> str:
+        return words(1, "") + any_of(digit, 1, 4) + any_of("!@#$.:%" + lower, 0, 5)
+
+    secret = [
+        lambda: any_of(base62, 16, 64), hexadecimal, password, password, lambda: any_of(base62 + "!@#$%.:-", 8, 24),
+        lambda: any_of(base62 + "+/", 24, 60) + "=", lambda: any_of(lower, 12, 32), lambda: any_of(digit, 8, 24),
+    ]
+    other = [path, identifier, uuid, lambda: "${" + words(1, "").upper() + "}", lambda: "<" + words(1, "") + ">",
+             lambda: str(rng.choice(["None", "null", "true", "false", "x", "xxxxxxxx", "********", "...", "required", "self"]))]
+    made = []
+
+    def put(name: str, value: str, known: int, quote: str | None = None, sign: str | None = None) -> None:
+        quote = str(rng.choice(["", '"', "'"])) if quote is None else quote
+        sign = str(rng.choice(["=", " = ", ": ", "="])) if sign is None else sign
+        front = words(4, " ") + " " + (name + sign if name else "") + quote
+        made.append((front + value + quote + " " + words(4, " "), len(front), len(front) + len(value), known))
+
+    for _ in range(60):
+        for make in secret:
+            put(str(rng.choice(strong)), make(), 1)
+        put("key", any_of(base62, 20, 48), 1)
+        put("", "AKIA" + any_of("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 16), 1, "")
+        user, host = words(1, ""), words(2, ".")
+        for value in (password(), any_of(base62, 6, 20), any_of(lower, 6, 12)):
+            front = words(3, " ") + " postgres://" + user + ":"
+            made.append((front + value + "@" + host + "/" + words(1, ""), len(front), len(front) + len(value), 1))
+        front = words(3, " ") + " ssh://"
+        made.append((front + user + "@" + host + "/x", len(front), len(front) + len(user), 0))
+        for make in other:
+            put(str(rng.choice(weak)), make(), 0)
+            put(str(rng.choice(strong)), make(), 0)
+        put(str(rng.choice(strong + weak)), words(1, ""), 0, "", ": ")
+        for make in (hexadecimal, uuid):
+            put(str(rng.choice(digests)), make(), 0)
+            put("", make(), 0)
+        put(str(rng.choice(weak)), words(3, ""), 0)
+        put("", path(), 0, "")
+        put("", words(4, "_"), 0, "")
+        put("", "https:/" + path(), 0, "")
+    return made
 
 
 def findings(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str = "source") -> DataFrame:
@@ -112,21 +220,26 @@ def findings(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     doc_id, text_hash, start, length (in characters), label, and FEATURES.
     """
-    rows = docs.select(
+    rows = _rows(docs, id_column, text_column, path_column)
+    return _findings(rows, dictionary(rows))
+
+
+def _rows(docs: DataFrame, id_column: str, text_column: str, path_column: str) -> DataFrame:
+    return docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
         F.pmod(F.xxhash64(F.coalesce(F.col(path_column).cast("string"), F.lit(""))), F.lit(16)).alias("path"),
     )
-    common = dictionary(rows)
 
+
+def _findings(rows: DataFrame, common: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "text_hash", "start", "length", "label", *FEATURES]
         types = [pa.int64()] * 4 + [pa.int32()] + [pa.float64()] * len(FEATURES)
         for batch in batches:
             out = []
             for doc, text, path, hash_ in zip(*(c.to_pylist() for c in batch.columns)):
-                for m in CANDIDATE.finditer(text):
-                    low, high = m.span()
+                for low, high in candidates(text):
                     out.append((doc, hash_, low, high - low, label(text, low, high), *features(text, low, high, path, common)))
             columns = list(zip(*out)) or [()] * len(names)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
@@ -145,50 +258,58 @@ def secrets(
 ) -> DataFrame:
     """One row per candidate: doc_id, text_hash, start, length, probability, is_secret.
 
-    Candidates are runs of 16 or more key characters anywhere in a text. A random forest on
-    length, transitions between kinds of characters, dictionary coverage, path and the words
-    beside removes false positives. It learns from labelled findings: columns doc_id, start
-    and label (1 secret, 0 none) where given, else the findings that label() knows; about
-    most_labelled of them by a hash of their place, evenly over both kinds.
+    Candidates are runs of 16 or more key characters anywhere in a text. A random forest on length, transitions between kinds of characters,
+    dictionary coverage, path and the words beside decides them. It learns from labelled findings:
+    columns doc_id, start and label (1 secret, 0 none) where given in both kinds, else also
+    from examples() and from the findings that label() knows; about most_labelled of the
+    table's own by a hash of their place, evenly over both kinds.
 
-    A place with a label keeps it. Without findings of both kinds there is no forest, and
-    unknown findings count as no secrets. NULL and empty texts have no candidates; NULL path
-    is an empty one. Rows that repeat are found each. Other columns are not read.
+    A place with a given label keeps it; no other rule decides. NULL and empty texts have no
+    candidates; NULL path is an empty one. Rows that repeat are found each. Other columns are not read.
     """
     spark = docs.sparkSession
     folder = work_folder(spark, "secrets")
-    findings(docs, id_column, text_column, path_column).write.parquet(folder)
-    found = spark.read.parquet(folder)
+    rows = _rows(docs, id_column, text_column, path_column)
+    common = dictionary(rows)
+    _findings(rows, common).write.parquet(folder)
+    found = spark.read.parquet(folder).withColumn("given", F.lit(None).cast("int"))
+    taught = False
     if labelled is not None:
         known = labelled.select(
             F.col("doc_id").alias("_doc"), F.col("start").alias("_start"), F.col("label").cast("int").alias("_label")
         ).dropDuplicates(["_doc", "_start"])
-        found = found.drop("label").join(
+        found = found.drop("given").join(
             known, found["doc_id"].eqNullSafe(known["_doc"]) & (found["start"] == known["_start"]), "left"
-        ).withColumnRenamed("_label", "label").drop("_doc", "_start")
+        ).withColumnRenamed("_label", "given").drop("_doc", "_start")
+        taught = found.filter("given is not null").select("given").distinct().count() == 2
+        found = found.withColumn("label", F.col("given") if taught else F.coalesce("given", "label"))
 
     sizes = {r.label: r["count"] for r in found.filter("label is not null").groupBy("label").count().collect()}
     keep = ["doc_id", "text_hash", "start", "length"]
-    if len(sizes) < 2:
-        return found.select(
-            *keep, F.col("label").cast("double").alias("probability"), F.coalesce(F.col("label") == 1, F.lit(False)).alias("is_secret")
-        )
     fine = 1 << 30
-    share = {k: min(1.0, most_labelled / 2 / n) for k, n in sizes.items()}
+    share = {k: min(1.0, most_labelled / 2 / sizes.get(k, 1)) for k in (0, 1)}
     at = F.pmod(F.xxhash64("doc_id", "start"), F.lit(fine))
     chosen = found.filter(F.col("label").isNotNull()).filter(
         at < F.when(F.col("label") == 1, F.lit(int(share[1] * fine))).otherwise(F.lit(int(share[0] * fine)))
     )
+    columns = [*keep[:1], *keep[2:], "label", *FEATURES]
+    chosen = chosen.select(*columns)
+    if not taught:
+        made = [
+            (-1 - k, start, end - start, known, *features(text, start, end, k % 16, common))
+            for k, (text, start, end, known) in enumerate(examples())
+        ]
+        chosen = chosen.unionByName(spark.createDataFrame(made, chosen.schema))
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     # A bounded number of rows, in one order, so that the forest is the same every time.
-    training = assemble.transform(chosen.withColumn("label", F.col("label").cast("double")).coalesce(1).sort(*keep[:1], *keep[2:]))
+    training = assemble.transform(chosen.withColumn("label", F.col("label").cast("double")).coalesce(1).sort("doc_id", "start", "length"))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label").fit(training)
     judged = forest.transform(assemble.transform(found))
     probability = vector_to_array("probability").getItem(1)
     return judged.select(
         *keep,
         probability.alias("probability"),
-        F.coalesce(F.col("label") == 1, probability >= 0.5).alias("is_secret"),
+        F.coalesce(F.col("given") == 1, probability >= 0.5).alias("is_secret"),
     )
 
 
@@ -206,9 +327,11 @@ def redact(docs: DataFrame) -> DataFrame:
         if not spans:
             return text
         parts, at = [], 0
-        for span in spans:
-            parts += [text[at : span["start"]], REPLACEMENT]
-            at = span["start"] + span["length"]
+        end = 0
+        for span in spans:  # spans that overlap are one
+            if span["start"] >= end:
+                parts += [text[at : span["start"]], REPLACEMENT]
+            at = end = max(end, span["start"] + span["length"])
         return "".join([*parts, text[at:]])
 
     same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id")) & (

@@ -54,3 +54,22 @@ def test_awkward_rows(spark):
     assert rows and not any(r.is_secret for r in rows)
     assert secret_scan.secrets(none(spark)).count() == 0
     assert secret_scan.redact(none(spark)).count() == 0
+
+
+def hit(spark, lines):
+    """What is found in each line, between common words, with no findings of the table to learn from."""
+    front = "stone river light over under "
+    docs = spark.createDataFrame([(k, front + x, "src") for k, x in enumerate(lines)], "doc_id bigint, text string, source string")
+    rows = secret_scan.secrets(docs).filter("is_secret").collect()
+    texts = dict(enumerate(lines))
+    return {k: {(front + texts[k])[r.start : r.start + r.length] for r in rows if r.doc_id == k} for k in texts}
+
+
+def test_forest_removes_what_the_rule_takes(spark):
+    good = ['api_key = "8fKd02mXzQp71LwYt5Rb9sVu"', 'client_secret = "Zk39dLq0Pw84nTx7Rb2sVu61"']
+    bad = ['cache_key = "static_image_index_table2"', 'sort_key = "order-value-table-data-12"', 'key = "user-config-order-name-7"']
+    taken = [secret_scan.label("stone " + x, x.index('"') + 7, len(x) + 5) for x in bad]
+    assert taken == [1] * len(bad)  # the rule takes them
+    found = hit(spark, good + bad + ["commit 4763f013fbe3b5709da284fe28fdba0b7138b89d", "id fe624e7f-a919-6d23-aad8-645a843b335d"])
+    assert all(found[k] for k in range(len(good)))
+    assert not any(found[k] for k in range(len(good), len(found)))
