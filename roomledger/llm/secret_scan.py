@@ -24,7 +24,12 @@ ENDINGS = ("password", "passwd", "secret", "token", "apikey")
 # Parts of names of digests and other things that look like keys.
 DIGESTS = {"sha", "md", "md5", "sha1", "sha256", "commit", "checksum", "digest", "hash", "etag", "revision", "uuid", "id", "path", "file", "url"}
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+# Any value assigned to such a name, and what stands for a user in a URL.
+OPERATOR = re.compile(r":=|=>|==?|:")
+NAME_END = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}$")
+VALUE = re.compile(r"[ \t]{0,16}(?:(?:bearer|basic)[ \t]+)?(?:\"([^\"\n]*[^\"\s][^\"\n]*)\"|'([^'\n]*[^'\s][^'\n]*)'|([^\s\"'`]+))", re.I)
 NAMED = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}(:=|=>|==?|:)[ \t]{0,16}(?:(?:bearer|basic)[ \t]+)?[\"']?$", re.I)
+URL_USER = re.compile(r"://([^\s/:@\"'<>]*)(?::([^\s/\"'<>]+))?@")
 URL_BEFORE = re.compile(r"://[^\s/:@\"'<>]*:?$")
 KEY_ID = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}$")
 UUID = re.compile(r"[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
@@ -95,8 +100,30 @@ def named(name: str) -> int:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Places of all candidates, in order: long runs of key characters."""
-    return [m.span() for m in CANDIDATE.finditer(text)]
+    """Places of all candidates, in order: assigned to a secret's name, in URLs, and long runs of key characters."""
+    found: dict[int, int] = {}
+    at = 0
+    while m := OPERATOR.search(text, at):
+        at = m.end()
+        name = NAME_END.search(text[max(0, m.start() - AROUND) : m.start()])
+        if not name or not named(name[1]) or text.startswith("//", at):
+            continue
+        value = VALUE.match(text, at)
+        if not value:
+            continue
+        low, high = value.span(value.lastindex)
+        if value.lastindex == 3:
+            high = low + len(value[3].rstrip(",;.)]}>")) or high
+        at = max(high, at)
+        if not text.startswith(REPLACEMENT, low):
+            found[low] = high
+    for m in URL_USER.finditer(text):
+        low, high = m.span(2 if m[2] else 1)
+        if high > low and not text.startswith(REPLACEMENT, low):
+            found[low] = max(high, found.get(low, 0))
+    for m in CANDIDATE.finditer(text):
+        found.setdefault(m.start(), m.end())
+    return sorted(found.items())
 
 
 def features(text: str, start: int, end: int, path: int, common: np.ndarray) -> tuple[float, ...]:
@@ -258,7 +285,9 @@ def secrets(
 ) -> DataFrame:
     """One row per candidate: doc_id, text_hash, start, length, probability, is_secret.
 
-    Candidates are runs of 16 or more key characters anywhere in a text. A random forest on length, transitions between kinds of characters,
+    Candidates are runs of 16 or more key characters anywhere in a text, any value that is not
+    blank and assigned to a name with a part that names a secret, and users and passwords in
+    URLs; they may overlap. A random forest on length, transitions between kinds of characters,
     dictionary coverage, path and the words beside decides them. It learns from labelled findings:
     columns doc_id, start and label (1 secret, 0 none) where given in both kinds, else also
     from examples() and from the findings that label() knows; about most_labelled of the

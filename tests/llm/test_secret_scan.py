@@ -73,3 +73,17 @@ def test_forest_removes_what_the_rule_takes(spark):
     found = hit(spark, good + bad + ["commit 4763f013fbe3b5709da284fe28fdba0b7138b89d", "id fe624e7f-a919-6d23-aad8-645a843b335d"])
     assert all(found[k] for k in range(len(good)))
     assert not any(found[k] for k in range(len(good), len(found)))
+
+
+def test_short_odd_and_url_credentials(spark):
+    lines = {
+        'password = "hunter2abc"': "hunter2abc", "db_password=p@ss.w0rd!x": "p@ss.w0rd!x",
+        "at postgres://bob:s3c@r!et9@db.host/main": "s3c@r!et9", 'access_token = "qhzkvwpxmrtbnlsdgjyc"': "qhzkvwpxmrtbnlsdgjyc",
+        'client_secret: "k$3:v.9#qX"': "k$3:v.9#qX", 'token = "829104756301928"': "829104756301928",
+    }
+    found = hit(spark, list(lines))
+    for k, value in enumerate(lines.values()):
+        assert value in found[k]
+    text = "stone password = 'abcdefghijklmnop1234!x' river"
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert secret_scan.redact(docs).first().text == "stone password = '[secret]' river"
