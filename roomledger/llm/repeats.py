@@ -7,10 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger.llm.passages import INDEX_BYTES, LAST, Covered, Segment, Unit, segments_of, without_covered
+from roomledger.session import work_folder
 
 # Seeds of this many bytes; shorter if the least length is.
 SEED = 32
@@ -153,18 +154,21 @@ def repeat_groups(
     """All occurrences of repeated strings: group, length, doc_id, start (in UTF-8 bytes).
 
     A group is a string of `least` or more bytes found in several places of different texts or
-    of one text. It is maximal within its neighbourhood: it ends where the windows
-    around its seed do, so a longer repeat shows as groups that overlap. Of equal texts the
-    one with the smallest id is searched. NULL and empty texts have no occurrences, NULL
-    ids come as NULL. Other columns are not read.
+    of one text. Groups are found around seeds, and those whose occurrences are the same but
+    for a shift are one as far as they touch. Where a part of a long repeat occurs elsewhere
+    too, that part has other occurrences, and the long repeat shows as groups around it. Of
+    equal texts one is searched, and its occurrences are given for all ids; a text of `least` or
+    more bytes with several ids is a group itself. group is a hash of the first occurrence and
+    length. NULL and empty texts have no occurrences, NULL ids come as NULL. Other columns are not read.
     """
+    spark = docs.sparkSession
     rows = docs.select(
         F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST)).alias("id"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
     ).withColumn("cls", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contents: dict[bytes, list[tuple[int, int]]] = {}
+        contents: dict[bytes, list[tuple[int, int]]] = {}  # classes and starts
         seed, size = None, 0
 
         def flush() -> pa.RecordBatch:
@@ -181,22 +185,70 @@ def repeat_groups(
                 if len(places) > 1:
                     out += [(name, length, *p) for p in places]
             columns = list(zip(*out)) or [()] * 4
-            return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["group", "length", "id", "start"])
+            return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["name", "length", "cls", "start"])
 
         for batch in batches:
-            for s, id_, _, starts, _, content in zip(*(c.to_pylist() for c in batch.columns)):
+            for s, _, cls, starts, _, content in zip(*(c.to_pylist() for c in batch.columns)):
                 if s != seed and size >= INDEX_BYTES:
                     yield flush()
                     contents, size = {}, 0
                 seed = s
                 if content not in contents:
                     size += len(content)
-                contents.setdefault(content, []).extend((id_, start) for start in starts)
+                contents.setdefault(content, []).extend((cls, start) for start in starts)
         yield flush()
 
     dealt = segments_of(rows, unit(least), within_document=True, collapse=False)
-    found = dealt.mapInArrow(run, "group bigint, length bigint, id bigint, start bigint").distinct()
-    return found.select("group", "length", F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"), "start")
+    folder = work_folder(spark, "groups")
+    dealt.mapInArrow(run, "name bigint, length bigint, cls bigint, start bigint").distinct().write.parquet(f"{folder}/found")
+    _merged(spark.read.parquet(f"{folder}/found")).write.parquet(f"{folder}/merged")
+    groups = spark.read.parquet(f"{folder}/merged")
+
+    copied = (
+        rows.groupBy("cls")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max(F.octet_length("text")).cast("bigint").alias("length"))
+        .filter((F.col("low") < F.col("high")) & (F.col("length") >= least))
+    )
+    start = F.lit(0).cast("bigint")
+    whole = copied.join(groups.filter("start = 0"), ["cls", "length"], "left_anti").select(
+        F.xxhash64("cls", start, "length").alias("group"), "length", "cls", start.alias("start")
+    )
+    places = groups.unionByName(whole).join(rows.select("cls", "id").distinct(), "cls")
+    return places.select("group", "length", F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"), "start")
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """group, length, cls, start: groups with the same occurrences but for a shift, merged where they touch.
+
+    found: name, length, cls, start. Occurrences are compared relative to the first of a group
+    by combined hashes, so no group is held anywhere; the groups of one window start in one text.
+    """
+    of_group = ["name", "length"]
+    firsts = found.groupBy(*of_group).agg(F.min(F.struct("cls", "start")).alias("first"))
+    shapes = (
+        found.join(firsts, of_group)
+        .groupBy(*of_group, F.col("first.cls").alias("first_cls"), F.col("first.start").alias("first_start"))
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("cls", F.col("start") - F.col("first.start"))).alias("shape"),
+        )
+        .select(*of_group, F.col("first_cls").alias("cls"), F.col("first_start").alias("start"), "n", "shape")
+    )
+    along = Window.partitionBy("cls", "n", "shape").orderBy("start", "length", "name")
+    end = F.col("start") + F.col("length")
+    before = F.max(end).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("start") <= before, 0).otherwise(1)
+    runs = shapes.withColumn("opens", opens).withColumn("run", F.sum("opens").over(along))
+    longest = (
+        runs.groupBy("cls", "n", "shape", "run")
+        .agg(F.min(F.struct("start", "length", "name")).alias("first"), F.max(end).alias("end"))
+        .withColumn("whole", F.col("end") - F.col("first.start"))
+        .select(
+            F.col("first.name").alias("name"), F.col("first.length").alias("length"), "whole",
+            F.xxhash64("cls", F.col("first.start"), "whole").alias("group"),
+        )
+    )
+    return found.join(longest, of_group).select("group", F.col("whole").alias("length"), "cls", "start")
 
 
 def _name(text: bytes) -> int:

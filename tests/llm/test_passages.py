@@ -156,3 +156,26 @@ def test_matching_statistics_and_wavelet():
     matrix = fmindex.WaveletMatrix(symbols)
     ends, which = rng.integers(0, 501, 300), rng.integers(0, 37, 300)
     assert matrix.rank(which, ends).tolist() == [(symbols[:e] == s).sum() for s, e in zip(which, ends)]
+
+
+def test_groups_name_copies_and_long_repeats_whole(spark):
+    rng = np.random.default_rng(12)
+
+    def noise(n):
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n))
+
+    long, alone, short = noise(5000), noise(300), noise(40)
+    one, other = noise(200) + long + noise(150), noise(90) + long + noise(300)
+    texts_ = {1: one, 2: other, 3: one, 4: one, 5: alone, 6: alone, 7: noise(400), 8: short, 9: short}
+    docs = spark.createDataFrame(list(texts_.items()), "doc_id bigint, text string")
+    groups = defaultdict(set)
+    for r in repeats.repeat_groups(docs, 100).collect():
+        groups[r.group, r.length].add((r.doc_id, r.start))
+    places = {texts_[min(p)[0]][min(p)[1] :][:n]: p for (_, n), p in groups.items()}
+    left = len(long)
+    assert len(groups) == len(places) == 3
+    assert places[alone] == {(5, 0), (6, 0)} and places[one] == {(1, 0), (3, 0), (4, 0)}
+    (repeat,) = set(places) - {alone, one}
+    assert long in repeat and left <= len(repeat) < left + 5
+    assert {d for d, _ in places[repeat]} == {1, 2, 3, 4}
+    assert all(texts_[d][s : s + len(repeat)] == repeat for d, s in places[repeat])
