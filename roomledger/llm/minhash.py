@@ -130,7 +130,9 @@ def near_duplicates(
 
     candidates = members.select("id").distinct()
     wanted = sifted(rows, "id", candidates).join(candidates, "id", "left_semi")
-    sets = stored(wanted.mapInArrow(_sets(shingle), "id bigint, shingles binary").dropDuplicates(["id"]), "sets")
+    # An id with several texts has several sets, each of which may make a link.
+    own_sets = wanted.mapInArrow(_sets(shingle), "id bigint, digest binary, shingles binary")
+    sets = stored(own_sets.filter("octet_length(shingles) > 0").dropDuplicates(["id", "digest"]).drop("digest"), "sets")
 
     star = members.filter("id > least").select(F.col("least").alias("u"), F.col("id").alias("v")).distinct()
     links = stored(_confirmed(star, sets, percent), "star")
@@ -146,7 +148,10 @@ def near_duplicates(
         .filter("low < high")
         .select("band")
     )
-    signatures = sketch.select("id", "n", "sig", "odd").join(candidates, "id", "left_semi").dropDuplicates(["id"])
+    signatures = (
+        sketch.filter("n > 0").select("id", "n", "digest", "sig", "odd")
+        .join(candidates, "id", "left_semi").dropDuplicates(["id", "digest"]).drop("digest")
+    )
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     across = (
         labelled.join(open_bands, "band", "left_semi")
@@ -192,13 +197,16 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The documents that stay, all columns: one of each group, the one with the smallest id.
 
-    Of rows that repeat a kept id one stays. Rows without id stay.
+    Of rows that repeat a kept id the one whose text has the smallest hash stays. Rows without id stay.
     """
     kept = near_duplicates(docs, shingle, percent, id_column, text_column).filter("kept").select(
         F.col("doc_id").alias("_kept_id")
     )
     found = docs.join(kept.distinct(), docs[id_column].cast("bigint") == F.col("_kept_id"), "left_semi")
-    return found.dropDuplicates([id_column]).unionByName(docs.filter(docs[id_column].isNull()))
+    row = F.struct(*[found[c] for c in docs.columns])
+    text_hash = F.xxhash64(F.coalesce(found[text_column].cast("string"), F.lit("")))
+    smallest = found.groupBy(found[id_column].alias("_id")).agg(F.min_by(row, text_hash).alias("_row"))
+    return smallest.select("_row.*").unionByName(docs.filter(docs[id_column].isNull()))
 
 
 def _sketches(shingle: int, bands: int):
@@ -236,7 +244,11 @@ def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in together(batches):
             sets = [own.tobytes() for own in shingle_sets(texts, shingle)]
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "shingles"])
+            digests = [hashlib.md5(own).digest() for own in sets]
+            yield pa.record_batch(
+                [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())],
+                names=["id", "digest", "shingles"],
+            )
 
     return run
 

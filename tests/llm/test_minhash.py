@@ -93,3 +93,19 @@ def test_odd_sketches_differ_in_no_more_than_the_sets_do():
             x, y = (np.frombuffer(minhash.odd_sketch(s), "u1") for s in (a, b))
             assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
     assert len(minhash.odd_sketch(pool[:0])) * 8 == minhash.ODD_BITS
+
+
+def test_an_id_with_two_texts_has_the_links_of_both(spark):
+    def text(name, changed=0):
+        return " ".join(f"{name}{k}" if k >= changed else f"other{name}{k}" for k in range(200))
+
+    stayed = set()
+    for order in (1, -1):
+        rows = [(7, text("a")), (7, text("b")), (8, text("a", 3)), (9, text("b", 3)), (10, text("c"))][::order]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+        found = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+        assert found == {(7, 7), (8, 7), (9, 7), (10, 10)}
+        left = {r.doc_id: r.text for r in minhash.drop_near_duplicates(docs).collect()}
+        assert set(left) == {7, 10}
+        stayed.add(left[7])
+    assert len(stayed) == 1
