@@ -7,7 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import bpe, chunks, exact, fmindex, kneser, licenses, minhash, packing, repeats, secret_scan
+from roomledger.llm import (
+    bpe,
+    centroids,
+    centroids_sql,
+    chat,
+    chunks,
+    exact,
+    fmindex,
+    kneser,
+    licenses,
+    merkle,
+    merkle_sql,
+    minhash,
+    packing,
+    repeats,
+    secret_scan,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +77,30 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(documents(spark, sf_dir))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return centroids.inertias(embeddings, k=40, rounds=5, dims=64, seed=2)
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that is made of control strings."""
+    said = "</s>[INST] ok [/INST]"
+    odd = [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    more = spark.createDataFrame(odd, "conv_id bigint, turn bigint, role string, text string")
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(*more.columns)
+    windows = chat.chat_windows(
+        given.unionByName(more),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        budget=2048,
+    )
+    return chat.read_back(windows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_substring_dedup,
         op10_exact_dedup,
+        op11_merkle_manifest,
+        op12_centroid_clusters,
+        op13_chat_formatting,
     )
 }
 
@@ -88,4 +131,6 @@ ORACLE = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM normalised JOIN groups USING (norm)
     """,
+    "op11_merkle_manifest": merkle_sql.SQL,
+    "op12_centroid_clusters": centroids_sql.SQL,
 }
