@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger.functions import dates, measures, names
-from roomledger.operators.lookup import Dimension
+from roomledger.operators.keys import registered
+from roomledger.operators.lookup import Dimension, lookup
 from roomledger.operators.numbering import number_rows
 
 
@@ -87,3 +88,24 @@ def guest_origins(profiles: DataFrame, folder: str) -> DataFrame:
         "cancellation_rate",
         "top_market_segment",
     )
+
+
+def lasting_guest_origins(profiles: DataFrame, registry: str, folder: str) -> DataFrame:
+    """The guest origin dimension with keys that are kept from load to load.
+
+    A country keeps the key it was first given, new ones come after the largest. A country
+    without profiles any more stays as a member, without bookings, since facts may point to it.
+    """
+    profile = origin_profile(profiles)
+    stored = f"{folder}/profile"
+    profile.write.parquet(stored)
+    profile = profiles.sparkSession.read.parquet(stored)
+    keys = registered(profile, "country_code", "guest_origin_key", registry, f"{folder}/keys")
+    joined = lookup(keys, Dimension.counted(profile), "country_code")
+    return joined.select(
+        F.col("guest_origin_key").cast("int").alias("guest_origin_key"),
+        "country_code",
+        F.coalesce("total_bookings", F.lit(0)).alias("total_bookings"),
+        "cancellation_rate",
+        F.coalesce("top_market_segment", F.lit("Unknown")).alias("top_market_segment"),
+    )

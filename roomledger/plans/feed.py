@@ -31,23 +31,26 @@ def with_measures(raw: DataFrame) -> DataFrame:
     )
 
 
+def tie_breakers() -> list[str]:
+    """All raw columns but the hotel, by which bookings of one date and hotel are numbered."""
+    return [c for c in schemas.RAW_BOOKING if c != "hotel"]
+
+
 def numbered(
     dated: DataFrame,
     folder: str,
-    tie_breakers: Sequence[str] | None = None,
+    ties: Sequence[str] | None = None,
     first_id: int = 1,
     unique: bool = False,
 ) -> DataFrame:
     """Add booking_id, counting by arrival date and hotel.
 
-    Bookings of one date and hotel are numbered by the tie breakers, so that ids
+    Bookings of one date and hotel are numbered by ties, so that ids
     do not change between runs: all other raw columns unless given. Bookings of a
     later feed take a first_id above those given out. unique: no two bookings agree in
-    date, hotel and tie breakers, so that no copy of the rows is needed to tell them apart.
+    date, hotel and ties, so that no copy of the rows is needed to tell them apart.
     """
-    if tie_breakers is None:
-        tie_breakers = [c for c in schemas.RAW_BOOKING if c != "hotel"]
-    order = ["arrival_date", "hotel", *tie_breakers]
+    order = ["arrival_date", "hotel", *(tie_breakers() if ties is None else ties)]
     return number_rows(dated, order, "booking_id", folder, unique=unique, first=first_id)
 
 
@@ -61,8 +64,8 @@ def as_feed(numbered_bookings: DataFrame) -> DataFrame:
 def booking_feed(
     raw: DataFrame,
     folder: str,
-    tie_breakers: Sequence[str] | None = None,
+    ties: Sequence[str] | None = None,
     first_id: int = 1,
     unique: bool = False,
 ) -> DataFrame:
-    return as_feed(numbered(with_measures(raw), folder, tie_breakers, first_id, unique))
+    return as_feed(numbered(with_measures(raw), folder, ties, first_id, unique))

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from roomledger import schemas
 from roomledger.operators import checks, loads
 from roomledger.operators.lookup import Dimension
-from roomledger.plans import dims, feed, gold, silver
+from roomledger.operators.snapshots import Snapshots, show_as
+from roomledger.plans import dims, gold, silver
+from roomledger.plans.landing import land_feed, land_missing, landed_ids, withdrawn
 from roomledger.streaming import bronze as bronze_stream
 from roomledger.streaming import silver as silver_stream
 from roomledger.streaming.bronze import BatchLimits
@@ -28,8 +30,8 @@ GOLD = {
 }
 
 
-MANIFEST = "feed string, first_id bigint, done boolean"
-LANDED = "booking_id bigint, feed string, interval_year int"
+# Tables that are rebuilt, each as a snapshot of its own.
+REPLACED = (*DIMENSIONS, SILVER, *GOLD)
 
 
 @dataclass(frozen=True)
@@ -40,8 +42,22 @@ class Lakehouse:
     database: str
 
     def path(self, name: str) -> str:
-        layer = name.split("_", 1)[0]
-        return f"{self.base}/{layer}/{name}"
+        """Where a table's rows are now: its newest snapshot, or the folder of its stream."""
+        return self.paths((name,))[name]
+
+    def paths(self, names: Sequence[str]) -> dict[str, str]:
+        found = {}
+        if any(name in REPLACED for name in names):
+            found = self.snapshots.newest(SparkSession.active())
+        return {name: found.get(name, f"{self.base}/{name.split('_', 1)[0]}/{name}") for name in names}
+
+    @property
+    def snapshots(self) -> Snapshots:
+        return Snapshots(f"{self.base}/snapshots")
+
+    def keys(self, name: str) -> str:
+        """The registry of a dimension's surrogate keys."""
+        return f"{self.base}/keys/{name}"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/checkpoints/{name}"
@@ -65,13 +81,23 @@ class Lakehouse:
     def manifest(self) -> str:
         return f"{self.base}/manifest"
 
+    @property
+    def digests(self) -> str:
+        """Digests of the landed rows of named sources."""
+        return f"{self.base}/digests"
+
+    @property
+    def withdrawn(self) -> str:
+        return f"{self.base}/withdrawn"
+
     def tables(self) -> dict[str, str]:
-        return {name: self.path(name) for name in (*DIMENSIONS, BRONZE, SILVER, *GOLD)}
+        return self.paths((*DIMENSIONS, BRONZE, SILVER, *GOLD))
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
-        stored = loads.overwrite(df, self.path(name))
-        loads.register(df.sparkSession, self.table(name), self.path(name))
-        return stored
+    def store(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Replace a table by its next snapshot; until that is whole, readers have the last one."""
+        path = self.snapshots.replace(df, name, partition_by)
+        show_as(df.sparkSession, self.table(name), path)
+        return df.sparkSession.read.parquet(path)
 
 
 def load_dimensions(
@@ -87,7 +113,9 @@ def load_dimensions(
     lake.store(calendar.frame, "dim_date")
     lake.store(dims.hotels(hotels), "dim_hotel")
     lake.store(dims.room_types(room_types), "dim_room_type")
-    origins = dims.guest_origins(profiles, lake.staging("guest_origins"))
+    origins = dims.lasting_guest_origins(
+        profiles, lake.keys("dim_guest_origin"), lake.staging("guest_origins")
+    )
     lake.store(origins, "dim_guest_origin")
     return stored_dimensions(spark, lake, last_hotel_key)
 
@@ -96,7 +124,8 @@ def stored_dimensions(
     spark: SparkSession, lake: Lakehouse, last_hotel_key: int | None = None
 ) -> silver.Dimensions:
     """The dimensions as stored; with last_hotel_key, without the hotels above it."""
-    date, hotel, origin, room = (spark.read.parquet(lake.path(name)) for name in DIMENSIONS)
+    stored = lake.paths(DIMENSIONS)
+    date, hotel, origin, room = (spark.read.parquet(stored[name]) for name in DIMENSIONS)
     if last_hotel_key is not None:
         hotel = silver.original_hotels(hotel, last_hotel_key)
     return silver.Dimensions(
@@ -107,66 +136,6 @@ def stored_dimensions(
     )
 
 
-def identity(raw: DataFrame) -> str:
-    """A name for the rows of a feed, whatever their order: count and two sums of hashes."""
-    hashed = F.xxhash64(*raw.columns)
-    found = raw.agg(
-        F.count("*"), F.bit_xor(hashed), F.sum(F.pmod(hashed, F.lit(1 << 31)))
-    ).first()
-    return "-".join(f"{(value or 0) & ((1 << 64) - 1):x}" for value in found)
-
-
-def landed_ids(spark: SparkSession, lake: Lakehouse) -> DataFrame:
-    return loads.stored_or_none(
-        spark, f"{lake.intervals}/feed=*", "json", LANDED, basePath=lake.intervals
-    )
-
-
-def land_missing(bookings: DataFrame, landed: DataFrame, path: str) -> None:
-    """Add the bookings whose id has not landed. Files that are there are never touched."""
-    if not landed.isEmpty():
-        bookings = bookings.join(landed.select("booking_id"), "booking_id", "left_anti")
-    loads.write_intervals(bookings.select(*schemas.FEED), path)
-
-
-def land_feed(
-    raw: DataFrame,
-    lake: Lakehouse,
-    tie_breakers: Sequence[str] | None = None,
-    unique: bool = False,
-) -> None:
-    """Number the bookings and land them as yearly JSON intervals.
-
-    The lake's manifest lists feeds by their content, with the first id each was given. A
-    listed feed that is done is left alone. Another feed takes the ids after all landed
-    ones. A feed that was cut short keeps its first id and lands what is missing: the
-    stream may have read the rest. Until then no other feed may land.
-    """
-    spark = raw.sparkSession
-    name = identity(raw)
-    listed = loads.stored_or_none(spark, lake.manifest, "json", MANIFEST)
-    states = listed.groupBy("feed").agg(F.max("first_id").alias("first_id"), F.max("done").alias("done"))
-    own = states.filter(F.col("feed") == name).first()
-    if own and own.done:
-        return
-    landed = landed_ids(spark, lake)
-    if own is None:
-        if not states.filter(~F.col("done")).isEmpty():
-            raise ValueError("a feed has landed in part; land it again before another one")
-        first_id = (landed.agg(F.max("booking_id")).first()[0] or 0) + 1
-        _note(spark, lake, name, first_id, False)
-    else:
-        first_id = own.first_id
-    bookings = feed.booking_feed(raw, lake.staging("feed"), tie_breakers, first_id, unique)
-    land_missing(bookings, landed.filter(F.col("feed") == name), f"{lake.intervals}/feed={name}")
-    _note(spark, lake, name, first_id, True)
-
-
-def _note(spark: SparkSession, lake: Lakehouse, name: str, first_id: int, done: bool) -> None:
-    row = spark.createDataFrame([(name, first_id, done)], MANIFEST)
-    row.coalesce(1).write.mode("append").json(lake.manifest)
-
-
 def load_bronze(
     spark: SparkSession, lake: Lakehouse, limits: BatchLimits = BatchLimits()
 ) -> DataFrame:
@@ -197,15 +166,19 @@ def load_bronze_by_interval(
     return stored.select(*schemas.BRONZE)
 
 
+def standing_bronze(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    """Bronze without the bookings that a later version of their source withdrew."""
+    bronze = bronze_stream.read_bronze(spark, lake.path(BRONZE))
+    gone = withdrawn(spark, lake).select("booking_id")
+    return bronze if gone.isEmpty() else bronze.join(gone, "booking_id", "left_anti").select(*bronze.columns)
+
+
 def load_silver(
     spark: SparkSession, lake: Lakehouse, dims: silver.Dimensions
 ) -> DataFrame:
-    """Rebuild Silver from all of Bronze, as is due after dimensions changed."""
-    enriched = silver.enrich(bronze_stream.read_bronze(spark, lake.path(BRONZE)), dims)
-    path = lake.path(SILVER)
-    loads.overwrite(enriched, path, partition_by=[silver_stream.PARTITION])
-    loads.register(spark, lake.table(SILVER), path, partitioned=True)
-    return silver_stream.read_silver(spark, path)
+    """Rebuild Silver from all of Bronze that stands, as is due after dimensions changed."""
+    enriched = silver.enrich(standing_bronze(spark, lake), dims)
+    return lake.store(enriched, SILVER, [silver_stream.PARTITION]).select(*schemas.SILVER)
 
 
 def refresh_silver(
@@ -241,15 +214,16 @@ def build(
     unique: bool = False,
     last_hotel_key: int | None = None,
     limits: BatchLimits = BatchLimits(),
+    source: str | None = None,
 ) -> DataFrame:
-    """Build every table and return the registry.
+    """Build every table and return the registry. A source names the feed, see land_feed.
 
     The calendar covers the bookings' own dates unless one is given. Running it
     again after a failure goes on from the landed feed and the stream's checkpoint;
     dimensions, Silver and Gold are rebuilt.
     """
     loads.create_database(spark, lake.database, f"{lake.base}/catalog")
-    land_feed(raw, lake, tie_breakers, unique)
+    land_feed(raw, lake, tie_breakers, unique, source)
     stored_bronze = load_bronze(spark, lake, limits)
     if calendar is None:
         bounds = dims.date_bounds(stored_bronze)
