@@ -321,6 +321,30 @@ ORACLE: dict[str, str] = {
     "customers_incremental": """
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
     """,
+    "customers_merged": """
+        SELECT c_custkey, c_name, c_nationkey,
+            CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+        FROM customer
+        UNION ALL
+        SELECT c_custkey + 10000000, c_name, c_nationkey, c_acctbal, c_mktsegment
+        FROM customer WHERE c_custkey % 7 = 2
+    """,
+    "customer_merge_counts": """
+        SELECT load::INT AS load,
+            count(*) FILTER (load = 0 AND c_custkey % 7 = 2) AS inserted,
+            count(*) FILTER (load = 0 AND c_custkey % 7 = 0) AS updated,
+            count(*) FILTER (c_custkey % 7 = 1 OR (load = 1 AND c_custkey % 7 IN (0, 2))) AS unchanged,
+            count(*) FILTER (c_custkey % 7 = 3) AS refused
+        FROM customer CROSS JOIN range(2) AS loads(load) GROUP BY load
+    """,
+    "bronze_corrected": _with(
+        _BOOKINGS,
+        select="""
+        SELECT arrival_date_year, hotel, l_linenumber = 3 AS corrected, count(*) AS "rows",
+            CAST(sum(total_guests + CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END) AS BIGINT) AS guests
+        FROM dated WHERE l_linenumber <> 7 GROUP BY arrival_date_year, hotel, l_linenumber = 3
+        """,
+    ),
     "bronze_rows": _with(
         _BOOKINGS, _NUMBERED, select=f"SELECT {_FEED_COLUMNS}, _source_file FROM numbered"
     ),
@@ -382,6 +406,27 @@ ORACLE: dict[str, str] = {
         GROUP BY hotel_key, year
         """,
     ),
+    "silver_late_members": _with(
+        _FIXED,
+        _BOOKINGS,
+        _ORIGINS,
+        _CALENDAR,
+        """
+        kept_keys AS (
+            SELECT CAST(row_number() OVER (ORDER BY country_code = 'NATION_12', country_code) AS INT) AS kept,
+                country_code AS code
+            FROM origins
+        )
+        """,
+        _silver("dated", "l_orderkey * 8 + l_linenumber"),
+        select="""
+        SELECT hotel_key, hotel_name, coalesce(kept, 0) AS guest_origin_key, country_code,
+            country_code AS country_of_key, year, count(*) AS "rows",
+            CAST(sum(booking_id) AS BIGINT) AS id_sum, round(sum(total_revenue), 2) AS revenue
+        FROM silver LEFT JOIN kept_keys ON country_code = code
+        GROUP BY ALL
+        """,
+    ),
     "gold_revenue_by_hotel_year": _with(
         *_LAZY_SILVER, _GOLD_REVENUE, select="SELECT * FROM gold_revenue"
     ),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from roomledger import schemas
 from roomledger.catalog import sample
 from roomledger.functions import names
-from roomledger.operators import checks, loads
+from roomledger.operators import checks, loads, merge
 from roomledger.operators.lookup import Dimension
 from roomledger.plans import dims, feed, gold, reports, silver
 from roomledger.plans.lakehouse import (
@@ -21,7 +22,11 @@ from roomledger.plans.lakehouse import (
     land_feed,
     load_bronze,
     load_bronze_by_interval,
+    load_dimensions,
     refresh_silver,
+    resolve_late,
+    standing_bronze,
+    streamed_silver,
 )
 from roomledger.session import work_folder
 from roomledger.sources import files
@@ -201,6 +206,45 @@ def customers_incremental(spark, sf_dir):
     )
 
 
+def _changed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load: new balances for some customers, new customers, and two rows for some others."""
+    customers = sample.given(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    changed = customers.filter(key % 7 == 0).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    same = customers.filter(key % 7 == 1)
+    added = customers.filter(key % 7 == 2).withColumn("c_custkey", key + 10_000_000)
+    doubtful = customers.filter(key % 7 == 3)
+    other = doubtful.withColumn("c_name", F.lit("someone else"))
+    return reduce(DataFrame.unionByName, (changed, same, same, added, doubtful, other))
+
+
+def customers_merged(spark, sf_dir):
+    """Customers after a load of changed and new ones; those with two rows in it stay as they were."""
+    folder = work_folder(spark, "merge")
+    path = f"{folder}/customers"
+    merge.merge(sample.given(spark, sf_dir, "customer"), path, "c_custkey", f"{folder}/first")
+    for k in range(2):
+        merge.merge(_changed_customers(spark, sf_dir), path, "c_custkey", f"{folder}/again{k}")
+    return merge.read_merged(spark, path).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
+    )
+
+
+def customer_merge_counts(spark, sf_dir):
+    """What the first and the repeated load of changed customers did."""
+    folder = work_folder(spark, "merge")
+    path = f"{folder}/customers"
+    merge.merge(sample.given(spark, sf_dir, "customer"), path, "c_custkey", f"{folder}/first")
+    done = [
+        merge.merge(_changed_customers(spark, sf_dir), path, "c_custkey", f"{folder}/again{k}")
+        for k in range(2)
+    ]
+    rows = [(k, m.inserted, m.updated, m.unchanged, m.refused) for k, m in enumerate(done)]
+    return spark.createDataFrame(
+        rows, "load int, inserted bigint, updated bigint, unchanged bigint, refused bigint"
+    )
+
+
 # Bronze.
 
 def _bronze(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, DataFrame]:
@@ -227,6 +271,28 @@ def bronze_by_interval(spark, sf_dir):
     )
 
 
+def bronze_corrected(spark, sf_dir):
+    """Bookings that stand after a corrected feed of the same source, the corrected ones marked.
+
+    In the second version lines 3 have one more baby and lines 7 are gone.
+    """
+    lake = _lake(spark)
+    loads.create_database(spark, lake.database, f"{lake.base}/catalog")
+    bookings, line = sample.bookings(spark, sf_dir), F.col("l_linenumber")
+    babies = F.when(line == 3, F.col("babies") + 1).otherwise(F.col("babies"))
+    land_feed(bookings, lake, sample.TIE_BREAKERS, unique=True, source="bookings")
+    for _ in range(2):
+        corrected = bookings.filter(line != 7).withColumn("babies", babies)
+        land_feed(corrected, lake, sample.TIE_BREAKERS, unique=True, source="bookings")
+    first = bookings.count()
+    load_bronze(spark, lake)
+    return (
+        standing_bronze(spark, lake)
+        .groupBy("arrival_date_year", "hotel", (F.col("booking_id") > first).alias("corrected"))
+        .agg(F.count("*").alias("rows"), F.sum("total_guests").alias("guests"))
+    )
+
+
 def bronze_restart(spark, sf_dir):
     """Rows after a second run on the same checkpoint, beside the rows of the source."""
     lake, _ = _bronze(spark, sf_dir)
@@ -293,6 +359,54 @@ def hotel_added_before_silver(spark, sf_dir):
     return measured(listed, True).unionByName(measured(silver.original_hotels(listed), False))
 
 
+def silver_late_members(spark, sf_dir):
+    """Streamed Silver after a hotel and a country came later than bookings that name them.
+
+    The bookings before 1998 are streamed while only the resort hotel and the countries but
+    NATION_12 are known, the others afterwards. Keys are looked up in the dimension stored last.
+    """
+    lake = _lake(spark)
+    loads.create_database(spark, lake.database, f"{lake.base}/catalog")
+    keyed = _dated(spark, sf_dir).withColumn(
+        "booking_id", F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    )
+    bookings, profiles = feed.as_feed(keyed), sample.guest_profiles(spark, sf_dir)
+    early = F.col("arrival_date_year") < 1998
+    calendar, rooms = _calendar(spark, sf_dir), sample.room_types(spark)
+
+    def known(hotels: DataFrame, guests: DataFrame) -> silver.Dimensions:
+        return load_dimensions(spark, lake, calendar, hotels, rooms, guests)
+
+    def streamed(rows: DataFrame, dimensions: silver.Dimensions) -> None:
+        loads.write_intervals(rows, lake.intervals)
+        load_bronze(spark, lake)
+        refresh_silver(spark, lake, dimensions)
+        resolve_late(spark, lake, dimensions)
+
+    hotels = sample.hotels(spark)
+    streamed(
+        bookings.filter(early),
+        known(
+            hotels.filter(F.col("hotel_name") == "Resort Hotel"),
+            profiles.filter(F.col("country").isNull() | (F.col("country") != "NATION_12")),
+        ),
+    )
+    streamed(bookings.filter(~early), known(hotels, profiles))
+    named = spark.table(lake.table("dim_guest_origin")).select(
+        "guest_origin_key", F.col("country_code").alias("country_of_key")
+    )
+    return (
+        streamed_silver(spark, lake)
+        .join(named, "guest_origin_key", "left")
+        .groupBy("hotel_key", "hotel_name", "guest_origin_key", "country_code", "country_of_key", "year")
+        .agg(
+            F.count("*").alias("rows"),
+            F.sum("booking_id").alias("id_sum"),
+            F.round(F.sum("total_revenue"), 2).alias("revenue"),
+        )
+    )
+
+
 # Gold and reports.
 
 def gold_revenue_by_hotel_year(spark, sf_dir):
@@ -388,14 +502,18 @@ QUERIES: dict[str, Query] = {
         guest_origin_from_documents,
         dim_hotel_incremental,
         customers_incremental,
+        customers_merged,
+        customer_merge_counts,
         bronze_rows,
         bronze_by_interval,
+        bronze_corrected,
         bronze_restart,
         silver_enriched,
         silver_unresolved_keys,
         silver_null_keys,
         dimension_counts,
         silver_streamed,
+        silver_late_members,
         hotel_added_before_silver,
         gold_revenue_by_hotel_year,
         gold_top_countries,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A path that is not there, or a folder without data files.
 NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -94,7 +95,7 @@ def write_intervals(
 
 
 def stored_or_none(
-    spark: SparkSession, path: str, fmt: str, schema: str, **options: str
+    spark: SparkSession, path: str, fmt: str, schema: str | StructType, **options: str
 ) -> DataFrame:
     """A table in the given schema; without rows where nothing is stored yet."""
     try:

@@ -16,6 +16,7 @@ from roomledger.operators.snapshots import Snapshots, show_as
 from roomledger.plans import dims, gold, silver
 from roomledger.plans.landing import land_feed, land_missing, landed_ids, withdrawn
 from roomledger.streaming import bronze as bronze_stream
+from roomledger.streaming import late
 from roomledger.streaming import silver as silver_stream
 from roomledger.streaming.bronze import BatchLimits
 
@@ -23,6 +24,11 @@ DIMENSIONS = ("dim_date", "dim_hotel", "dim_guest_origin", "dim_room_type")
 BRONZE = "bronze_fact_bookings"
 SILVER = "silver_fact_bookings_enriched"
 STREAMED_SILVER = "silver_fact_bookings_streamed"
+# Damaged lines of the landed files.
+QUARANTINE = "bronze_refused_lines"
+# Streamed facts without a member, and the same facts joined again.
+PENDING = "silver_pending_bookings"
+LATE_SILVER = "silver_late_bookings"
 GOLD = {
     "gold_revenue_by_hotel_year": gold.revenue_by_hotel_year,
     "gold_top_countries_revenue": gold.top_countries,
@@ -31,7 +37,7 @@ GOLD = {
 
 
 # Tables that are rebuilt, each as a snapshot of its own.
-REPLACED = (*DIMENSIONS, SILVER, *GOLD)
+REPLACED = (*DIMENSIONS, SILVER, LATE_SILVER, *GOLD)
 
 
 @dataclass(frozen=True)
@@ -139,12 +145,29 @@ def stored_dimensions(
 def load_bronze(
     spark: SparkSession, lake: Lakehouse, limits: BatchLimits = BatchLimits()
 ) -> DataFrame:
+    """Bring landed files into Bronze, and damaged lines of them into a table beside it.
+
+    The Bronze stream counts damaged lines as it reads. Only if there are any are the files read
+    for them; that stream has a checkpoint of its own, so a run that was lost in between is
+    made up for by load_quarantine, which may be called at any time.
+    """
     path = lake.path(BRONZE)
-    bronze_stream.ingest(spark, lake.interval_files, path, lake.checkpoint(BRONZE), limits)
+    query = bronze_stream.ingest(spark, lake.interval_files, path, lake.checkpoint(BRONZE), limits)
+    if bronze_stream.saw_damage(query):
+        load_quarantine(spark, lake, limits)
     loads.register(spark, lake.table(BRONZE), path)
     return bronze_stream.read_bronze(spark, path)
 
 
+def load_quarantine(
+    spark: SparkSession, lake: Lakehouse, limits: BatchLimits = BatchLimits()
+) -> DataFrame:
+    """Lines of landed files that could not be read whole, each once: see read_damaged."""
+    path = lake.path(QUARANTINE)
+    bronze_stream.quarantine(spark, lake.interval_files, path, lake.checkpoint(QUARANTINE), limits)
+    return bronze_stream.read_quarantine(spark, path)
+
+
 def load_bronze_by_interval(
     bookings: DataFrame,
     lake: Lakehouse,
@@ -198,6 +221,37 @@ def refresh_silver(
     return silver_stream.read_silver(spark, path)
 
 
+def resolve_late(
+    spark: SparkSession,
+    lake: Lakehouse,
+    dims: silver.Dimensions,
+    limits: BatchLimits = BatchLimits(),
+) -> DataFrame:
+    """Streamed Silver with every member the dimensions have by now, as is due after they grew.
+
+    Facts that came without a member are pending: new ones are collected from the streamed
+    table, and all of them are joined again, into the next snapshot of a table of their own.
+    Its size follows the pending facts; other streamed rows are neither joined nor written.
+    """
+    paths = lake.paths((STREAMED_SILVER, PENDING))
+    streamed = late.read_streamed(spark, paths[STREAMED_SILVER])
+    late.collect_pending(
+        spark, paths[STREAMED_SILVER], paths[PENDING], lake.checkpoint(PENDING), limits
+    )
+    schema = streamed.select(*late.PENDING).schema
+    pending = loads.stored_or_none(spark, paths[PENDING], "parquet", schema)
+    lake.store(late.joined_again(pending, dims), LATE_SILVER)
+    return streamed_silver(spark, lake)
+
+
+def streamed_silver(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    """Streamed Silver, its late facts as they were last resolved."""
+    paths = lake.paths((STREAMED_SILVER, LATE_SILVER))
+    streamed = late.read_streamed(spark, paths[STREAMED_SILVER])
+    schema = streamed.select(*schemas.SILVER).schema
+    return late.with_late(streamed, loads.stored_or_none(spark, paths[LATE_SILVER], "parquet", schema))
+
+
 def load_gold(stored_silver: DataFrame, lake: Lakehouse) -> dict[str, DataFrame]:
     return {name: lake.store(build(stored_silver), name) for name, build in GOLD.items()}
 

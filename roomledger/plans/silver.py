@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +39,15 @@ def original_hotels(dim_hotel: DataFrame, last_key: int = 2) -> DataFrame:
 
 
 def enrich(
-    bronze: DataFrame, dims: Dimensions, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    bronze: DataFrame,
+    dims: Dimensions,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    keep: Mapping[str, str] = MappingProxyType({}),
 ) -> DataFrame:
     """Bronze rows with their dimension attributes, one row out for each row in.
 
-    Works on a batch or on a stream; the dimensions are static either way.
+    Works on a batch or on a stream; the dimensions are static either way. keep names
+    further columns of Bronze that come after Silver's, new name to name.
     """
     hotel = dims.hotel.select("hotel_key", "hotel_name", "hotel_type")
     origin = dims.guest_origin.select("guest_origin_key", "country_code")
@@ -68,6 +74,7 @@ def enrich(
     renamed = joined.withColumnsRenamed(
         {"meal": "meal_plan", "total_of_special_requests": "special_requests"}
     )
-    return renamed.select(*schemas.SILVER).fillna(
+    kept = [F.col(name).alias(new) for new, name in keep.items()]
+    return renamed.select(*schemas.SILVER, *kept).fillna(
         UNKNOWN_KEY, subset=["hotel_key", "guest_origin_key", "room_type_key"]
     )

@@ -57,14 +57,45 @@ def read_room_types_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.ROOM_TYPES)
 
 
+DAMAGED = "_corrupt_record"
+
+
+def _document_lines(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    schema = schemas.ddl({**columns, DAMAGED: "string"})
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", DAMAGED).json(path)
+
+
+def _is_refused(columns: dict[str, str]) -> Column:
+    """A damaged line that gave no value at all."""
+    nothing = F.coalesce(*[F.col(name).cast("string") for name in columns]).isNull()
+    return F.col(DAMAGED).isNotNull() & nothing
+
+
 def read_documents(
     spark: SparkSession,
     path: str,
     columns: dict[str, str] = schemas.GUEST_PROFILE,
     drop: tuple[str, ...] = ("_id",),
 ) -> DataFrame:
-    """A collection of JSON documents, one per line, without its internal id."""
-    return spark.read.schema(schemas.ddl(columns)).json(path).drop(*drop)
+    """A collection of JSON documents, one per line, without its internal id.
+
+    A line that is no document gives no row, a value of another type gives NULL;
+    `damaged_documents` has both.
+    """
+    lines = _document_lines(spark, path, columns)
+    return lines.filter(~_is_refused(columns)).drop(DAMAGED, *drop)
+
+
+def damaged_documents(
+    spark: SparkSession, path: str, columns: dict[str, str] = schemas.GUEST_PROFILE
+) -> DataFrame:
+    """Lines that could not be read whole: line, parsed (as JSON), kept, _source_path."""
+    return _document_lines(spark, path, columns).filter(F.col(DAMAGED).isNotNull()).select(
+        F.col(DAMAGED).alias("line"),
+        F.to_json(F.struct(*columns)).alias("parsed"),
+        (~_is_refused(columns)).alias("kept"),
+        F.col("_metadata.file_path").alias("_source_path"),
+    )
 
 
 def count_documents(documents: DataFrame) -> int:

@@ -9,6 +9,7 @@ from roomledger import schemas
 from roomledger.operators import loads
 from roomledger.plans.silver import Dimensions, enrich
 from roomledger.streaming.bronze import BatchLimits, append_stream, stream_bronze
+from roomledger.streaming.late import NATURAL
 
 PARTITION = "year"
 
@@ -23,12 +24,14 @@ def refresh(
 ) -> StreamingQuery:
     """Enrich the Bronze rows that Silver does not have yet; stored rows are not read.
 
+    Beside Silver's columns the table keeps those that facts were joined by, for late members.
+
     The path is the stream's own: readers of it see what the sink's log lists, so a
     table written there as a batch would vanish and is refused.
     """
     if loads.is_complete(spark, path):
         raise ValueError(f"{path} was written as a batch; give the stream a path of its own")
-    enriched = enrich(stream_bronze(spark, bronze_path, limits), dims)
+    enriched = enrich(stream_bronze(spark, bronze_path, limits), dims, keep=NATURAL)
     query = append_stream(enriched, path, checkpoint, PARTITION)
     query.awaitTermination()
     return query
