@@ -543,3 +543,5 @@ ORACLE |= {
         "monthly_bookings": "q5_monthly_bookings",
     }.items()
 }
+ORACLE["gold_kept_up_revenue"] = ORACLE["gold_revenue_by_hotel_year"]
+ORACLE["gold_kept_up_rooms"] = ORACLE["gold_room_performance"]

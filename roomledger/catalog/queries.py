@@ -14,7 +14,7 @@ from roomledger.catalog import sample
 from roomledger.functions import names
 from roomledger.operators import checks, loads, merge
 from roomledger.operators.lookup import Dimension
-from roomledger.plans import dims, feed, gold, reports, silver
+from roomledger.plans import dims, feed, gold, gold_state, reports, silver
 from roomledger.plans.lakehouse import (
     SILVER,
     Lakehouse,
@@ -23,6 +23,7 @@ from roomledger.plans.lakehouse import (
     load_bronze,
     load_bronze_by_interval,
     load_dimensions,
+    refresh_gold_state,
     refresh_silver,
     resolve_late,
     standing_bronze,
@@ -359,11 +360,11 @@ def hotel_added_before_silver(spark, sf_dir):
     return measured(listed, True).unionByName(measured(silver.original_hotels(listed), False))
 
 
-def silver_late_members(spark, sf_dir):
-    """Streamed Silver after a hotel and a country came later than bookings that name them.
+def _streamed_with_late_members(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """Silver streamed in two loads, the second one with a hotel and a country that came late.
 
     The bookings before 1998 are streamed while only the resort hotel and the countries but
-    NATION_12 are known, the others afterwards. Keys are looked up in the dimension stored last.
+    NATION_12 are known, the others afterwards. Gold's state is kept up after each load.
     """
     lake = _lake(spark)
     loads.create_database(spark, lake.database, f"{lake.base}/catalog")
@@ -372,26 +373,25 @@ def silver_late_members(spark, sf_dir):
     )
     bookings, profiles = feed.as_feed(keyed), sample.guest_profiles(spark, sf_dir)
     early = F.col("arrival_date_year") < 1998
-    calendar, rooms = _calendar(spark, sf_dir), sample.room_types(spark)
-
-    def known(hotels: DataFrame, guests: DataFrame) -> silver.Dimensions:
-        return load_dimensions(spark, lake, calendar, hotels, rooms, guests)
-
-    def streamed(rows: DataFrame, dimensions: silver.Dimensions) -> None:
+    calendar, rooms, hotels = _calendar(spark, sf_dir), sample.room_types(spark), sample.hotels(spark)
+    first_hotels = hotels.filter(F.col("hotel_name") == "Resort Hotel")
+    first_guests = profiles.filter(F.col("country").isNull() | (F.col("country") != "NATION_12"))
+    for rows, known_hotels, guests in (
+        (bookings.filter(early), first_hotels, first_guests),
+        (bookings.filter(~early), hotels, profiles),
+    ):
+        dimensions = load_dimensions(spark, lake, calendar, known_hotels, rooms, guests)
         loads.write_intervals(rows, lake.intervals)
         load_bronze(spark, lake)
         refresh_silver(spark, lake, dimensions)
+        refresh_gold_state(spark, lake)
         resolve_late(spark, lake, dimensions)
+    return lake
 
-    hotels = sample.hotels(spark)
-    streamed(
-        bookings.filter(early),
-        known(
-            hotels.filter(F.col("hotel_name") == "Resort Hotel"),
-            profiles.filter(F.col("country").isNull() | (F.col("country") != "NATION_12")),
-        ),
-    )
-    streamed(bookings.filter(~early), known(hotels, profiles))
+
+def silver_late_members(spark, sf_dir):
+    """Streamed Silver after late members came. Keys are looked up in the dimension stored last."""
+    lake = _streamed_with_late_members(spark, sf_dir)
     named = spark.table(lake.table("dim_guest_origin")).select(
         "guest_origin_key", F.col("country_code").alias("country_of_key")
     )
@@ -421,6 +421,17 @@ def gold_room_performance(spark, sf_dir):
     return gold.room_performance(_silver(spark, sf_dir))
 
 
+def gold_kept_up_revenue(spark, sf_dir):
+    """Gold from the state that streamed Silver is added to, after late members came."""
+    lake = _streamed_with_late_members(spark, sf_dir)
+    return gold_state.revenue_by_hotel_year(refresh_gold_state(spark, lake, compact=True))
+
+
+def gold_kept_up_rooms(spark, sf_dir):
+    lake = _streamed_with_late_members(spark, sf_dir)
+    return gold_state.room_performance(refresh_gold_state(spark, lake))
+
+
 def q1_revenue_trend(spark, sf_dir):
     return reports.revenue_trend(spark, gold_revenue_by_hotel_year(spark, sf_dir))
 
@@ -518,6 +529,8 @@ QUERIES: dict[str, Query] = {
         gold_revenue_by_hotel_year,
         gold_top_countries,
         gold_room_performance,
+        gold_kept_up_revenue,
+        gold_kept_up_rooms,
         q1_revenue_trend,
         q2_leading_countries,
         q3_weekend_share,

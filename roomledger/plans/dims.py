@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger.functions import dates, measures, names
@@ -13,22 +13,52 @@ from roomledger.operators.lookup import Dimension, lookup
 from roomledger.operators.numbering import number_rows
 
 
+# Arrivals outside are mistakes: they do not widen a calendar.
+PLAUSIBLE = (dt.date(1900, 1, 1), dt.date(2100, 12, 31))
+DAYS_PER_TASK = 100_000
+
+
 def calendar(spark: SparkSession, first: dt.date, last: dt.date) -> Dimension:
     """One row for every day from first to last, both included."""
-    day = F.explode(F.sequence(F.lit(first), F.lit(last)))
-    days = spark.range(0, 1, 1, 1).select(day.alias("full_date"))
+    days = max((last - first).days + 1, 0)
+    tasks = days // DAYS_PER_TASK + 1
+    numbered = spark.range(0, days, 1, tasks).select(
+        F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date")
+    )
     attributes = dates.calendar_attributes(F.col("full_date"))
-    frame = days.select(*[column.alias(name) for name, column in attributes.items()])
-    return Dimension(frame, (last - first).days + 1)
+    frame = numbered.select(*[column.alias(name) for name, column in attributes.items()])
+    return Dimension(frame, days)
+
+
+def _day(column: str) -> Column:
+    """A date column, or the date that text starts with; NULL for other text."""
+    return F.col(column).cast("string").try_cast("date")
 
 
-def date_bounds(df: DataFrame, column: str = "arrival_date") -> tuple[dt.date, dt.date] | None:
-    """First and last date of a column; None if it has no date."""
+def date_bounds(
+    df: DataFrame, column: str = "arrival_date", within: tuple[dt.date, dt.date] | None = None
+) -> tuple[dt.date, dt.date] | None:
+    """First and last date of a column, of those within bounds if given; None if there is none."""
     day = F.col(column).cast("date")
+    if within is not None:
+        day = _day(column)
+        day = F.when(day.between(*map(F.lit, within)), day)
     first, last = df.agg(F.min(day), F.max(day)).first()
     return (first, last) if first is not None else None
 
 
+def stray_dates(
+    df: DataFrame, column: str = "arrival_date", within: tuple[dt.date, dt.date] = PLAUSIBLE
+) -> DataFrame:
+    """The dates outside the bounds and how many rows have each: full_date, rows.
+
+    Facts on them find no day in the calendar, keep their date_key and show in unresolved_keys.
+    """
+    day = _day(column)
+    outside = df.select(day.alias("full_date")).filter(~F.col("full_date").between(*map(F.lit, within)))
+    return outside.groupBy("full_date").agg(F.count("*").alias("rows")).orderBy("full_date")
+
+
 def hotels(source: DataFrame) -> DataFrame:
     return source.select(
         F.col("hotel_id").alias("hotel_key"),

@@ -8,12 +8,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roomledger import schemas
 from roomledger.operators import checks, loads
 from roomledger.operators.lookup import Dimension
 from roomledger.operators.snapshots import Snapshots, show_as
-from roomledger.plans import dims, gold, silver
+from roomledger.plans import dims, gold, gold_state, silver
 from roomledger.plans.landing import land_feed, land_missing, landed_ids, withdrawn
 from roomledger.streaming import bronze as bronze_stream
 from roomledger.streaming import late
@@ -29,6 +30,9 @@ QUARANTINE = "bronze_refused_lines"
 # Streamed facts without a member, and the same facts joined again.
 PENDING = "silver_pending_bookings"
 LATE_SILVER = "silver_late_bookings"
+# What streamed Silver adds up to, batch by batch, and the merged batches.
+GOLD_STATE = "gold_state_batches"
+GOLD_BASE = "gold_state_merged"
 GOLD = {
     "gold_revenue_by_hotel_year": gold.revenue_by_hotel_year,
     "gold_top_countries_revenue": gold.top_countries,
@@ -37,7 +41,7 @@ GOLD = {
 
 
 # Tables that are rebuilt, each as a snapshot of its own.
-REPLACED = (*DIMENSIONS, SILVER, LATE_SILVER, *GOLD)
+REPLACED = (*DIMENSIONS, SILVER, LATE_SILVER, GOLD_BASE, *GOLD)
 
 
 @dataclass(frozen=True)
@@ -252,6 +256,36 @@ def streamed_silver(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     return late.with_late(streamed, loads.stored_or_none(spark, paths[LATE_SILVER], "parquet", schema))
 
 
+def refresh_gold_state(
+    spark: SparkSession, lake: Lakehouse, limits: BatchLimits = BatchLimits(), compact: bool = False
+) -> DataFrame:
+    """The state of Gold after the newly streamed Silver rows are added: see gold_state.
+
+    Only new Silver rows are read. Facts that resolve_late joined again count as they are now:
+    what they first counted is taken off, for as many facts as are pending. compact merges the
+    batches so far into one table, which later states start from.
+    """
+    paths = lake.paths((STREAMED_SILVER, PENDING, LATE_SILVER, GOLD_STATE, GOLD_BASE))
+    schema = late.read_streamed(spark, paths[STREAMED_SILVER]).schema
+    gold_state.add_new_rows(
+        spark, paths[STREAMED_SILVER], schema, paths[GOLD_STATE], lake.checkpoint(GOLD_STATE), limits
+    )
+    base = paths[GOLD_BASE] if GOLD_BASE in lake.snapshots.newest(spark) else None
+    if compact:
+        lake.snapshots.replace(gold_state.compacted(spark, paths[GOLD_STATE], base), GOLD_BASE)
+        base = lake.path(GOLD_BASE)
+    state = gold_state.read_state(spark, paths[GOLD_STATE], base)
+    if LATE_SILVER not in lake.snapshots.newest(spark):
+        return state
+    joined = spark.read.parquet(paths[LATE_SILVER])
+    first = loads.stored_or_none(
+        spark, paths[PENDING], "parquet", StructType([f for f in schema if f.name in late.PENDING])
+    ).join(joined.select("booking_id"), "booking_id", "left_semi")
+    return gold_state.merged(
+        state, gold_state.negated(gold_state.partials(first)), gold_state.partials(joined)
+    )
+
+
 def load_gold(stored_silver: DataFrame, lake: Lakehouse) -> dict[str, DataFrame]:
     return {name: lake.store(build(stored_silver), name) for name, build in GOLD.items()}
 
@@ -272,7 +306,8 @@ def build(
 ) -> DataFrame:
     """Build every table and return the registry. A source names the feed, see land_feed.
 
-    The calendar covers the bookings' own dates unless one is given. Running it
+    The calendar covers the bookings' own dates unless one is given; a date that is not plausible
+    does not widen it, see dims.stray_dates. Running it
     again after a failure goes on from the landed feed and the stream's checkpoint;
     dimensions, Silver and Gold are rebuilt.
     """
@@ -280,7 +315,7 @@ def build(
     land_feed(raw, lake, tie_breakers, unique, source)
     stored_bronze = load_bronze(spark, lake, limits)
     if calendar is None:
-        bounds = dims.date_bounds(stored_bronze)
+        bounds = dims.date_bounds(stored_bronze, within=dims.PLAUSIBLE)
         if bounds is None:
             raise ValueError("the feed has no arrival date to build a calendar from")
         calendar = dims.calendar(spark, *bounds)

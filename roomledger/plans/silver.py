@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomledger import schemas
-from roomledger.operators.lookup import MAX_BROADCAST_ROWS, Dimension, lookup
+from roomledger.operators.lookup import MAX_BROADCAST_ROWS, Dimension, lookup, lookup_dealt
 
 # Facts without a dimension row point to this member.
 UNKNOWN_KEY = 0
@@ -43,11 +43,13 @@ def enrich(
     dims: Dimensions,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     keep: Mapping[str, str] = MappingProxyType({}),
+    hot: Mapping[str, list] = MappingProxyType({}),
 ) -> DataFrame:
     """Bronze rows with their dimension attributes, one row out for each row in.
 
     Works on a batch or on a stream; the dimensions are static either way. keep names
-    further columns of Bronze that come after Silver's, new name to name.
+    further columns of Bronze that come after Silver's, new name to name. hot has the hot
+    values of join columns, as a stream needs them for dimensions too large to broadcast.
     """
     hotel = dims.hotel.select("hotel_key", "hotel_name", "hotel_type")
     origin = dims.guest_origin.select("guest_origin_key", "country_code")
@@ -63,14 +65,18 @@ def enrich(
         "is_weekend",
     )
     steps = (
-        (hotel, F.col("hotel") == F.col("hotel_name")),
-        (origin, F.col("country") == F.col("country_code")),
-        (room, F.col("reserved_room_type") == F.col("room_code")),
-        (date, "date_key"),
+        (hotel, "hotel", "hotel_name"),
+        (origin, "country", "country_code"),
+        (room, "reserved_room_type", "room_code"),
+        (date, "date_key", "date_key"),
     )
     joined = bronze
-    for dimension, on in steps:
-        joined = lookup(joined, dimension, on, max_broadcast_rows)
+    for dimension, own, member in steps:
+        if own in hot and dimension.rows > max_broadcast_rows and own != member:
+            joined = lookup_dealt(joined, dimension.frame, own, member, hot[own], "booking_id")
+        else:
+            on = own if own == member else F.col(own) == F.col(member)
+            joined = lookup(joined, dimension, on, max_broadcast_rows)
     renamed = joined.withColumnsRenamed(
         {"meal": "meal_plan", "total_of_special_requests": "special_requests"}
     )
