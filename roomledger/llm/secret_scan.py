@@ -27,7 +27,8 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 # Any value assigned to such a name, and what stands for a user in a URL.
 OPERATOR = re.compile(r":=|=>|==?|:")
 NAME_END = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}$")
-VALUE = re.compile(r"[ \t]{0,16}(?:(?:bearer|basic)[ \t]+)?(?:\"([^\"\n]*[^\"\s][^\"\n]*)\"|'([^'\n]*[^'\s][^'\n]*)'|([^\s\"'`]+))", re.I)
+# Quoted parts are taken whole or not at all, so a quote left open costs one look along its line.
+VALUE = re.compile(r"[ \t]{0,16}(?:(?:bearer|basic)[ \t]++)?(?:\"([^\"\n]*+)\"|'([^'\n]*+)'|([^\s\"'`]++))", re.I)
 NAMED = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}(:=|=>|==?|:)[ \t]{0,16}(?:(?:bearer|basic)[ \t]+)?[\"']?$", re.I)
 URL_USER = re.compile(r"://([^\s/:@\"'<>]*)(?::([^\s/\"'<>]+))?@")
 URL_BEFORE = re.compile(r"://[^\s/:@\"'<>]*:?$")
@@ -112,8 +113,11 @@ def candidates(text: str) -> list[tuple[int, int]]:
         if not value:
             continue
         low, high = value.span(value.lastindex)
-        if value.lastindex == 3:
-            high = low + len(value[3].rstrip(",;.)]}>")) or high
+        own = value[value.lastindex]
+        own = own.rstrip(",;.)]}>") if value.lastindex == 3 else own
+        if not own.strip():
+            continue
+        high = low + len(own)
         at = max(high, at)
         if not text.startswith(REPLACEMENT, low):
             found[low] = high
@@ -291,7 +295,10 @@ def secrets(
     dictionary coverage, path and the words beside decides them. It learns from labelled findings:
     columns doc_id, start and label (1 secret, 0 none) where given in both kinds, else also
     from examples() and from the findings that label() knows; about most_labelled of the
-    table's own by a hash of their place, evenly over both kinds.
+    table's own by a hash of their place, evenly over both kinds. What only the rule says
+    teaches less: a name that may name a secret makes no finding one, and findings of one kind
+    and sort of name are at most as many as the made ones, so that a false positive is not
+    learnt the better the more often it occurs.
 
     A place with a given label keeps it; no other rule decides. NULL and empty texts have no
     candidates; NULL path is an empty one. Rows that repeat are found each. Other columns are not read.
@@ -313,21 +320,30 @@ def secrets(
         taught = found.filter("given is not null").select("given").distinct().count() == 2
         found = found.withColumn("label", F.col("given") if taught else F.coalesce("given", "label"))
 
-    sizes = {r.label: r["count"] for r in found.filter("label is not null").groupBy("label").count().collect()}
     keep = ["doc_id", "text_hash", "start", "length"]
+    columns = [*keep[:1], *keep[2:], "label", *FEATURES]
+    made = [] if taught else [
+        (-1 - k, start, end - start, known, *features(text, start, end, k % 16, common))
+        for k, (text, start, end, known) in enumerate(examples())
+    ]
+    sure = F.col("given").isNotNull()
+    doubtful = (F.col("label") == 1) & (F.col("named") == 1) & (F.col("known_form") == 0) & ~sure
+    teaching = found.filter(F.col("label").isNotNull() & ~doubtful).withColumn("sure", sure)
+    # Six kinds of label and name at most, for given labels and for those of the rule.
+    at_named = columns.index("named")
+    sizes = teaching.groupBy("label", "named", "sure").count().collect()
+    totals = {k: sum(r["count"] for r in sizes if r.label == k) for k in (0, 1)}
+    share = F.lit(0.0)
+    for r in sizes:
+        part = most_labelled / 2 / totals[r.label]
+        if not r.sure:
+            part = min(part, sum(row[3] == r.label and row[at_named] == r.named for row in made) / r["count"])
+        kind_ = (F.col("label") == r.label) & (F.col("named") == r.named) & (F.col("sure") == F.lit(r.sure))
+        share = F.when(kind_, F.lit(min(part, 1.0))).otherwise(share)
     fine = 1 << 30
-    share = {k: min(1.0, most_labelled / 2 / sizes.get(k, 1)) for k in (0, 1)}
     at = F.pmod(F.xxhash64("doc_id", "start"), F.lit(fine))
-    chosen = found.filter(F.col("label").isNotNull()).filter(
-        at < F.when(F.col("label") == 1, F.lit(int(share[1] * fine))).otherwise(F.lit(int(share[0] * fine)))
-    )
-    columns = [*keep[:1], *keep[2:], "label", *FEATURES]
-    chosen = chosen.select(*columns)
-    if not taught:
-        made = [
-            (-1 - k, start, end - start, known, *features(text, start, end, k % 16, common))
-            for k, (text, start, end, known) in enumerate(examples())
-        ]
+    chosen = teaching.filter(at < share * fine).select(*columns)
+    if made:
         chosen = chosen.unionByName(spark.createDataFrame(made, chosen.schema))
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     # A bounded number of rows, in one order, so that the forest is the same every time.

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 
 from roomledger.llm import secret_scan
@@ -87,3 +89,96 @@ def test_short_odd_and_url_credentials(spark):
     text = "stone password = 'abcdefghijklmnop1234!x' river"
     docs = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     assert secret_scan.redact(docs).first().text == "stone password = '[secret]' river"
+
+
+def test_frequent_false_positives_are_not_learnt(spark):
+    """Identifiers behind a name that may name a secret stay, however many there are."""
+    rng = np.random.default_rng(11)
+    parts = ["stone", "river", "light", "over", "under", "walk", "near", "again"]
+    rows = [(k, f'we set cache_key = "{"_".join(rng.choice(parts, 3))}_{k % 90}" and walk on', "src") for k in range(1500)]
+    rows += [(5000 + k, f'then api_key = "{"".join(rng.choice(list("abcdefXYZ0123456789"), 24))}" is used', "src") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = secret_scan.secrets(docs)
+    assert found.filter("doc_id < 5000").count() >= 1500
+    assert found.filter("doc_id < 5000 and is_secret").count() == 0
+    assert found.filter("doc_id >= 5000 and is_secret").select("doc_id").distinct().count() >= 38
+
+
+def test_open_quotes_in_long_lines_take_no_time():
+    for text in ('token="' + "x, y; " * 170_000, "a = token='" + "{}:b," * 200_000, 'token = "' * 100_000, "://a:" * 200_000):
+        began = time.perf_counter()
+        secret_scan.candidates(text)
+        assert time.perf_counter() - began < 5
+    assert secret_scan.candidates('password = "' + " " * 1000 + '"') == []
+
+
+def value_at(text, place):
+    """Ends of the value that starts at a place, without quotes and closing signs; None without one."""
+    if text[place : place + 1] in ('"', "'"):
+        close = text[place + 1 :].split("\n")[0].find(text[place])
+        return None if close < 0 else (place + 1, place + 1 + close)
+    high = place
+    while high < len(text) and not text[high].isspace() and text[high] not in "\"'`":
+        high += 1
+    return (place, place + len(text[place:high].rstrip(",;.)]}>"))) if high > place else None
+
+
+def slow_candidates(text):
+    """All candidates by looking at every place, one rule after the other."""
+    found = {}
+    quiet = 0
+    for at in range(len(text)):
+        for sign in (":=", "=>", "==", "=", ":"):
+            if at >= quiet and text.startswith(sign, at):
+                end = at + len(sign)
+                quiet = end
+                front = text[max(0, at - secret_scan.AROUND) : at]
+                blank = len(front) - len(front.rstrip(" \t"))
+                front = front.rstrip(" \t")
+                for _ in range(2):
+                    front = front[:-1] if front[-1:] in tuple("\"'])}") else front
+                name = ""
+                while front and (front[-1].isalnum() or front[-1] in "_.-"):
+                    name, front = front[-1] + name, front[:-1]
+                if not name or blank > 16 or not secret_scan.named(name) or text.startswith("//", end):
+                    break
+                place = end
+                while place < len(text) and text[place] in " \t" and place - end < 16:
+                    place += 1
+                value = None
+                for word in ("bearer", "basic"):
+                    rest = text[place : place + len(word) + 1].lower()
+                    if rest[:-1] == word and rest[-1:] in (" ", "\t"):
+                        after = place + len(word)
+                        while text[after : after + 1] in (" ", "\t"):
+                            after += 1
+                        value = value_at(text, after)
+                low, high = value or value_at(text, place) or (0, 0)
+                if not text[low:high].strip():
+                    break
+                quiet = max(high, end)
+                if not text.startswith(secret_scan.REPLACEMENT, low):
+                    found[low] = high
+                break
+    keys = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_+/-")
+    at = 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in keys:
+            end += 1
+        stop = end
+        if end - at >= 16:
+            while stop < len(text) and text[stop] == "=" and stop - end < 2:
+                stop += 1
+            found.setdefault(at, stop)
+        at = max(stop, at + 1)
+    return sorted(found.items())
+
+
+def test_candidates_equal_a_slow_scan():
+    rng = np.random.default_rng(12)
+    bits = ["password", "db_token", "cache_key", "name", "=", ":", " = ", ": ", "=>", '"', "'", " ", "\n", "\t", "hunter2", "abc.def", ",",
+            "x" * 17, "A1b2C3d4E5f6G7h8", "==", "bearer ", "Basic\t", "[secret]", "//", ")", "é", "}", "secret"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits, int(rng.integers(1, 14))))
+        assert secret_scan.candidates(text) == slow_candidates(text), text
