@@ -26,7 +26,7 @@ DIGESTS = {"sha", "md", "md5", "sha1", "sha256", "commit", "checksum", "digest",
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 # Any value assigned to such a name, and what stands for a user in a URL.
 OPERATOR = re.compile(r":=|=>|==?|:")
-NAME_END = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}$")
+NAME_END = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}\Z")
 # Quoted parts are taken whole or not at all, so a quote left open costs one look along its line.
 VALUE = re.compile(r"[ \t]{0,16}(?:(?:bearer|basic)[ \t]++)?(?:\"([^\"\n]*+)\"|'([^'\n]*+)'|([^\s\"'`]++))", re.I)
 NAMED = re.compile(r"([\w.\-]+)[\"'\])]{0,2}[ \t]{0,16}(:=|=>|==?|:)[ \t]{0,16}(?:(?:bearer|basic)[ \t]+)?[\"']?$", re.I)

@@ -136,7 +136,7 @@ def slow_candidates(text):
                 blank = len(front) - len(front.rstrip(" \t"))
                 front = front.rstrip(" \t")
                 for _ in range(2):
-                    front = front[:-1] if front[-1:] in tuple("\"'])}") else front
+                    front = front[:-1] if front[-1:] in tuple("\"'])") else front
                 name = ""
                 while front and (front[-1].isalnum() or front[-1] in "_.-"):
                     name, front = front[-1] + name, front[:-1]
