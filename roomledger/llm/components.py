@@ -10,26 +10,33 @@ from roomledger.session import work_folder
 MOST_ROUNDS = 100
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """Each u with the smallest of its neighbours: combined before the shuffle."""
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _least(edges: DataFrame, path: str | None) -> DataFrame:
+    """Each u with the smallest of its neighbours: combined before the shuffle.
+
+    Stored if a path is given: only a join of two tables is split at run time on a hot node.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    if path is None:
+        return least
+    least.write.parquet(path)
+    return edges.sparkSession.read.parquet(path)
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def large_star(edges: DataFrame, path: str | None = None) -> DataFrame:
     """Link every larger neighbour of u to the smallest of u and its neighbours."""
     ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
     both = edges.select(F.inline(ways))
-    least = _least(both).select("u", F.least("u", "m").alias("m"))
+    least = _least(both, path).select("u", F.least("u", "m").alias("m"))
     return (
         both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     ).distinct()
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(edges: DataFrame, path: str | None = None) -> DataFrame:
     """Link u and its smaller neighbours to the smallest of them. Edges have u > v."""
     smallest = F.col("m").alias("v")
     links = F.array(F.struct("u", smallest), F.struct(F.col("v").alias("u"), smallest))
-    return edges.join(_least(edges), "u").select(F.inline(links)).filter("u > v").distinct()
+    return edges.join(_least(edges, path), "u").select(F.inline(links)).filter("u > v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -46,7 +53,8 @@ def components(edges: DataFrame) -> DataFrame:
     def written(frame: DataFrame, round_: int) -> tuple[DataFrame, tuple]:
         frame.write.parquet(f"{folder}/{round_}")
         stored = spark.read.parquet(f"{folder}/{round_}")
-        state = stored.agg(F.count("*"), F.sum(F.hash("u", "v").cast("bigint"))).first()
+        sums = [F.sum(F.xxhash64(F.lit(seed), "u", "v").cast("decimal(38,0)")) for seed in (0, 1)]
+        state = stored.agg(F.count("*"), *sums).first()
         return stored, tuple(state)
 
     now, state = written(
@@ -60,8 +68,8 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
         large = f"{folder}/large{round_}"
-        large_star(now).write.parquet(large)
-        now, state = written(small_star(spark.read.parquet(large)), round_)
+        large_star(now, f"{folder}/least{round_}").write.parquet(large)
+        now, state = written(small_star(spark.read.parquet(large), f"{folder}/smaller{round_}"), round_)
         if state == before:
             break
     else:

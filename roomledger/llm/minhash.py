@@ -116,7 +116,10 @@ def near_duplicates(
         "sketch",
     )
     named = F.col("id") < LAST
-    classes = sketch.filter((F.col("n") > 0) & named).groupBy("digest").agg(F.min("id").alias("class_id"))
+    # Stored, so that the join is one of two tables, whose hot digests are split at run time.
+    classes = stored(
+        sketch.filter((F.col("n") > 0) & named).groupBy("digest").agg(F.min("id").alias("class_id")), "least"
+    )
     own = sketch.select("id", "n", "digest").join(classes, "digest", "left")
     all_rows = stored(
         own.select("id", "n", F.when(named, F.coalesce("class_id", "id")).otherwise(F.col("id")).alias("class_id"), (named & F.col("class_id").isNotNull()).alias("linked")),

@@ -424,7 +424,9 @@ def without_covered(
     changed = affected.mapInArrow(
         cut, "id bigint, cls bigint, removed bigint, n_spans bigint, left_sha256 string"
     ).dropDuplicates(["id", "cls"])
-    least = digests.groupBy("md5").agg(F.min("id").alias("least"))
+    # Stored, so that the join is one of two tables, whose hot digests are split at run time.
+    digests.groupBy("md5").agg(F.min("id").alias("least")).write.parquet(f"{folder}/least")
+    least = spark.read.parquet(f"{folder}/least")
     nothing = hashlib.sha256(b"").hexdigest()
     copy = (F.col("id") > F.col("least")) & (F.col("symbols") >= unit.window)
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +39,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 # Bytes hashed at once.
 PIECE = 1 << 20
+# Words of more bytes are hashed one by one.
+LONG_WORD = 256
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -82,6 +85,11 @@ def words(data: np.ndarray, lower: bool) -> Words:
         sums *= powers(_INVERSE, size)[local]
         hashes[at:to] = sums
         at = to
+    # Long words with regular parts can agree in such a sum: they have a digest of their bytes.
+    for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        own = data[starts[k] : ends[k]]
+        raw = (_LOWER[own] if lower else own).tobytes()
+        hashes[k] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
     return Words(mixed(hashes + (ends - starts).astype("u8")), starts, ends)
 
 

@@ -2,7 +2,9 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+from roomledger.llm.components import large_star
 from roomledger.llm.exact import drop_copies, exact_copies
+from roomledger.session import work_folder
 from tests.llm.rows import awkward, none, texts, with_repeats
 
 
@@ -39,3 +41,38 @@ def test_hot_text_is_dealt_over_tasks(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same  text', concat('t ', id)) as text")
     found = exact_copies(docs).filter("group_size > 1").collect()
     assert len(found) == 1000 and {r.keep_id for r in found} == {0} and sum(r.kept for r in found) == 1
+
+
+def test_joins_on_a_hot_digest_are_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.files.maxPartitionBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.files.openCostInBytes": "1KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        docs = spark.range(0, 20000, 1, 8).selectExpr("id as doc_id", "if(id % 50 > 0, 'same  text', concat('t ', id)) as text")
+        found = exact_copies(docs)
+        assert len(found.collect()) == 20000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+        edges = spark.range(0, 30000, 1, 8).selectExpr("id + 1 as u", "0L as v")
+        path = work_folder(spark, "edges")
+        edges.write.parquet(path)
+        linked = large_star(spark.read.parquet(path), f"{path}-least")
+        assert linked.count() == len(linked.collect()) == 30000
+        assert "skew=true" in linked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_no_whole_text_is_sampled(spark):
+    docs = spark.createDataFrame([(1, "x " * 5000), (2, "x\t" * 5000)], "doc_id bigint, text string")
+    plan = exact_copies(docs)
+    assert {(r.doc_id, r.keep_id) for r in plan.collect()} == {(1, 1), (2, 1)}
+    same_front = [(k, "y" * 5000 + str(k % 3)) for k in range(30)]
+    found = exact_copies(spark.createDataFrame(same_front, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in found} == {(k, k % 3, 10) for k in range(30)}
