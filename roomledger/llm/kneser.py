@@ -29,7 +29,8 @@ PRIOR = 16
 BLOCK_IDS = 8192
 # Symbols worked on at once, and grams held before they are merged.
 PIECE, HELD = 1 << 20, 1 << 21
-NO_ID = -1
+# Blocks that rows without id are dealt over.
+NO_BLOCK, UNNAMED_BLOCKS = -(1 << 60), 256
 
 
 def grams_of(text: str) -> Iterator[np.ndarray]:
@@ -114,31 +115,49 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Bits are those of the whole model and of the model that has not seen the half.
     """
-    key, grams, bits, known = None, [], [], None
+    key, held, known = None, [], None
     names = ["doc_id", "lang", "text_hash", "symbols", "bits", "unseen"]
     for batch in batches:
         out = []
-        for block, lang, half, gram, whole, unseen, doc, hash_, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if key != (block, lang, half):
-                key, grams, bits, known = (block, lang, half), [], [], None
-            if gram is not None:
-                grams.append(gram)
-                bits.append((whole, unseen))
+        own = list(zip(*(batch.column(name).to_pylist() for name in ("block", "lang", "half"))))
+        given = batch.column("gram").is_valid().to_numpy(zero_copy_only=False)
+        texts = batch.select(["doc_id", "text_hash", "text"])
+        # Runs of rows that are a group's grams (kept as arrays), or that are its texts.
+        edges = [0, *(k for k in range(1, len(own)) if own[k] != own[k - 1] or given[k] != given[k - 1]), len(own)]
+        for start, end in zip(edges, edges[1:]):
+            if start == end:
+                continue
+            if key != own[start]:
+                key, held, known = own[start], [], None
+            lang = key[1]
+            if given[start]:
+                part = batch.slice(start, end - start)
+                held.append([part.column(name).to_numpy(zero_copy_only=False) for name in ("gram", "whole", "unseen")])
                 continue
             if known is None:
-                order = np.argsort(np.array(grams, "i8"))
-                known = np.array(grams, "i8")[order], np.array(bits).reshape(-1, 2)[order]
-            total, symbols = np.zeros(2), 0
-            for found in grams_of(text):
-                distinct, counts = np.unique(found.view("i8"), return_counts=True)
-                total += counts @ known[1][np.searchsorted(known[0], distinct)]
-                symbols += len(found)
-            out.append((doc, lang, hash_, symbols, *total.tolist()))
+                columns = [np.concatenate(c) for c in zip(*held)] or [np.zeros(0, "i8"), np.zeros(0), np.zeros(0)]
+                order = np.argsort(columns[0])
+                known = columns[0][order], np.stack([columns[1][order], columns[2][order]], axis=1)
+                held = []
+            out += _bits(texts.slice(start, end - start), lang, known)
         types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         columns = list(zip(*out)) or [()] * 6
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
+def _bits(texts: pa.RecordBatch, lang: str, known: tuple[np.ndarray, np.ndarray]) -> list[tuple]:
+    """doc_id, lang, text_hash, symbols and the two sums of bits of each text."""
+    out = []
+    for doc, hash_, text in zip(*(c.to_pylist() for c in texts.columns)):
+        total, symbols = np.zeros(2), 0
+        for found in grams_of(text):
+            distinct, counts = np.unique(found.view("i8"), return_counts=True)
+            total += counts @ known[1][np.searchsorted(known[0], distinct)]
+            symbols += len(found)
+        out.append((doc, lang, hash_, symbols, *total.tolist()))
+    return out
+
+
 def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
     """lang, model, gram, p of each wanted gram, order by order from the shortest.
 
@@ -227,7 +246,9 @@ def perplexities(
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang_column).cast("string"), F.lit("")).alias("lang"),
     )
-    rows = rows.withColumn("block", F.floor(F.coalesce("doc_id", F.lit(NO_ID)) / BLOCK_IDS)).withColumn(
+    # Rows without id are dealt over blocks of their own, below those of all ids.
+    unnamed = F.lit(NO_BLOCK) - F.pmod(F.xxhash64("text"), F.lit(UNNAMED_BLOCKS))
+    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("doc_id") / BLOCK_IDS), unnamed)).withColumn(
         "half", (1 + F.pmod(F.xxhash64("text"), F.lit(2))).cast("int")
     )
     trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("trusted_id")).distinct()

@@ -54,9 +54,9 @@ def test_joins_on_a_hot_digest_are_split(spark):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        docs = spark.range(0, 20000, 1, 8).selectExpr("xxhash64(id) as doc_id", "if(id % 50 > 0, 'same  text', concat('t ', id)) as text")
+        docs = spark.range(0, 200000, 1, 8).selectExpr("xxhash64(id) as doc_id", "if(id % 50 > 0, 'same  text', concat('t ', id)) as text")
         found = exact_copies(docs)
-        assert len(found.collect()) == 20000
+        assert len(found.collect()) == 200_000
         assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
         edges = spark.range(0, 30000, 1, 8).selectExpr("id + 1 as u", "0L as v")
         path = work_folder(spark, "edges")

@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from roomledger.llm import kneser
@@ -57,6 +58,58 @@ def test_bits_equal_the_definition(spark):
     assert found[0].kept and found[0].perplexity is None
 
 
+def test_unseen_bits_threshold_and_kept_equal_the_definition(spark):
+    rng = np.random.default_rng(3)
+    parts = ["stone", "river", "light", "over", "under", "the", "and", "walk", "near"]
+    rows = [(k, " ".join(rng.choice(parts, int(rng.integers(1, 30)))), "aa") for k in range(60)]
+    rows += [(100 + k, "".join(rng.choice(list("xyzqw "), 40)), "aa") for k in range(6)] + [(200, "", "aa"), (None, "qqqq qqq", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(40)], LABELS)
+    found = {r.doc_id: r for r in kneser.perplexities(docs, labels).collect()}
+    halves = {r.doc_id: r.half for r in docs.selectExpr("doc_id", "1 + pmod(xxhash64(text), 2) as half").collect()}
+    texts_ = {k: t for k, t, _ in rows}
+    unseen = {}
+    for half in (1, 2):
+        train = [texts_[k] for k in range(40) if halves[k] == 3 - half]
+        own = [k for k in texts_ if halves[k] == half and texts_[k]]
+        unseen |= dict(zip(own, brute_bits(train, [texts_[k] for k in own])))
+    each = sorted(unseen[k] / len(texts_[k]) for k in range(40))
+    threshold = each[min(math.ceil(kneser.QUANTILE * 40), 40) - 1]
+    usual = each[math.ceil(0.5 * 40) - 1]
+    for k, r in found.items():
+        assert r.threshold == pytest.approx(threshold)
+        if not texts_[k]:
+            assert r.kept and r.unseen_bits is None
+            continue
+        assert r.unseen_bits == pytest.approx(unseen[k] / len(texts_[k]))
+        judged = (unseen[k] + kneser.PRIOR * usual) / (len(texts_[k]) + kneser.PRIOR)
+        assert abs(judged - threshold) < 1e-9 or r.kept == (judged <= threshold)
+    assert not all(r.kept for r in found.values())
+
+
+def test_a_block_holds_its_grams_as_arrays():
+    """8,192 grams come in batches, texts after them; a group is known from its neighbours by its key."""
+    grams = np.concatenate(list(kneser.grams_of("abcabd" * 10)))
+    distinct = np.unique(grams).view("i8")
+    names = ["block", "lang", "half", "gram", "whole", "unseen", "doc_id", "text_hash", "text"]
+
+    def batch(rows):
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    def group(block):
+        rows = [(block, "l", 1, int(g), 1.0 + block, 2.0, None, None, None) for g in distinct[::-1]]
+        return rows + [(block, "l", 1, None, None, None, 7, 8, "abcabd" * 10), (block, "l", 1, None, None, None, 9, 8, "")]
+
+    rows = group(0) + group(1)
+    for size in (1, 3, len(rows)):
+        cut = [batch(rows[k : k + size]) for k in range(0, len(rows), size)]
+        out = [r for b in kneser._scored(iter(cut)) for r in b.to_pylist()]
+        assert [(r["doc_id"], r["symbols"], r["bits"], r["unseen"]) for r in out] == [
+            (7, 60, 60.0, 120.0), (9, 0, 0.0, 0.0), (7, 60, 120.0, 120.0), (9, 0, 0.0, 0.0)
+        ]
+
+
 def test_grams_do_not_depend_on_pieces(monkeypatch):
     text = "".join(chr(c) for c in np.random.default_rng(2).integers(1, 3000, 500))
     whole = np.concatenate(list(kneser.grams_of(text)))
