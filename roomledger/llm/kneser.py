@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.session import work_folder
@@ -20,17 +20,21 @@ SHARED, SHARED_SIZE = 0xD800, 0x2100
 MOST_WORDS = 1_000_000
 # A text is rejected if its bits per symbol are above this quantile of trusted texts that its model has not seen.
 QUANTILE = 0.99
-# The model of all trusted texts; those of the two halves are 1 and 2.
-WHOLE = 0
-MODEL = ["lang", "model"]
+# The model of all trusted texts is 0, those of the two halves are 1 and 2. A row holds all three.
+MODELS = (0, 1, 2)
 # So many symbols of usual text are added to each, so that a short one is not judged by chance.
 PRIOR = 16
 # Documents whose ids share this quotient ask for probabilities together.
 BLOCK_IDS = 8192
+# Texts longer than this many characters have blocks of fewer ids, so that a block holds about
+# BLOCK_IDS * BLOCK_CHARS characters at most, or one text.
+BLOCK_CHARS = 1 << 12
 # Symbols worked on at once, and grams held before they are merged.
 PIECE, HELD = 1 << 20, 1 << 21
+# Characters of texts that are packed together before they are shuffled.
+PACKED = 1 << 22
 # Blocks that rows without id are dealt over.
-NO_BLOCK, UNNAMED_BLOCKS = -(1 << 60), 256
+UNNAMED_BLOCKS = 256
 
 
 def grams_of(text: str) -> Iterator[np.ndarray]:
@@ -78,19 +82,33 @@ class Tally:
     def keys(self) -> list[tuple]:
         return list({**self.done, **self.held})
 
+    def full(self) -> bool:
+        """Whether many grams are held over all keys, also after they are merged."""
+        if sum(self.size.values()) + sum(len(g) for g, _ in self.done.values()) < 2 * HELD:
+            return False
+        return sum(len(self.merge(key)[0]) for key in self.keys()) >= HELD
+
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows block, lang, half, text, trusted: the grams each block asks for, and trusted counts.
 
-    Trusted counts have no block. Both are merged over the whole task before they leave it.
+    Requests have half 0, trusted counts have no block. Both are merged over the task, as far as
+    it can hold them, before they leave it.
     """
     tally = Tally()
     for batch in batches:
+        added = 0
         for block, lang, half, text, trusted in zip(*(c.to_pylist() for c in batch.columns)):
             for grams in grams_of(text):
-                tally.add((block, lang, half), grams)
+                tally.add((block, lang, 0), grams)
                 if trusted:
                     tally.add((None, lang, half), grams)
+                added += len(grams)
+            if added >= PIECE:
+                added = 0
+                if tally.full():
+                    yield from _tallied(tally)
+                    tally = Tally()
         if len(tally.keys()) > 256:  # ids in no order: blocks are let go, not piled up
             yield from _tallied(tally)
             tally = Tally()
@@ -110,6 +128,80 @@ def _tallied(tally: Tally) -> Iterator[pa.RecordBatch]:
         )
 
 
+_TEXTS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("text", pa.string())])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows block, lang, half, doc_id, text_hash, text: the texts of each key together, compressed."""
+    held: dict[tuple, list[tuple]] = {}
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (block, lang, half), texts in held.items():
+            sink = pa.BufferOutputStream()
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+            with pa.ipc.new_stream(sink, _TEXTS, options=options) as out:
+                out.write_batch(pa.record_batch([pa.array(c, t) for c, t in zip(zip(*texts), _TEXTS.types)], schema=_TEXTS))
+            yield pa.record_batch(
+                [
+                    pa.array([block], pa.int64()), pa.array([lang], pa.string()), pa.array([half], pa.int32()),
+                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                ],
+                names=["block", "lang", "half", "texts"],
+            )
+
+    for batch in batches:
+        for block, lang, half, doc, hash_, text in zip(*(c.to_pylist() for c in batch.columns)):
+            held.setdefault((block, lang, half), []).append((doc, hash_, text))
+            size += len(text)
+            if size >= PACKED:
+                yield from flush()
+                held, size = {}, 0
+    yield from flush()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What _scored takes: for each half of a block and language its grams, then its texts.
+
+    Rows of a block and language come together: grams with the bits of three models, then texts
+    by half. A gram may come several times, once from each task that asked for it.
+    """
+    names = ["block", "lang", "half", "gram", "whole", "unseen", "doc_id", "text_hash", "text"]
+    key, half, held, known = None, None, [], None
+
+    def rows(n: int, **columns) -> pa.RecordBatch:
+        filled = {"block": pa.array([key[0]] * n, pa.int64()), "lang": pa.array([key[1]] * n, pa.string())}
+        filled |= {"half": pa.array([half] * n, pa.int32()), **columns}
+        types = {"gram": pa.int64(), "whole": pa.float64(), "unseen": pa.float64(), **dict(zip(_TEXTS.names, _TEXTS.types))}
+        return pa.record_batch([filled[c] if c in filled else pa.nulls(n, types[c]) for c in names], names=names)
+
+    for batch in batches:
+        own = list(zip(batch.column("block").to_pylist(), batch.column("lang").to_pylist()))
+        given = batch.column("gram").is_valid().to_numpy(zero_copy_only=False)
+        edges = [0, *(k for k in range(1, len(own)) if own[k] != own[k - 1] or given[k] != given[k - 1]), len(own)]
+        for start, end in zip(edges, edges[1:]):
+            if start == end:
+                continue
+            if key != own[start]:
+                key, half, held, known = own[start], None, [], None
+            if given[start]:
+                part = batch.slice(start, end - start)
+                held.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "bits0", "bits1", "bits2")])
+                continue
+            if known is None:  # a group of empty texts has asked for nothing
+                columns = [np.concatenate(c) for c in zip(*held)] or [np.zeros(0, "i8"), *[np.zeros(0)] * 3]
+                _, first = np.unique(columns[0], return_index=True)
+                known, held = [c[first] for c in columns], []
+            for k in range(start, end):
+                if half != batch.column("half")[k].as_py():
+                    half = batch.column("half")[k].as_py()
+                    gram, whole, unseen = known[0], known[1], known[1 + (3 - half)]
+                    yield rows(len(gram), gram=pa.array(gram), whole=pa.array(whole), unseen=pa.array(unseen))
+                with pa.ipc.open_stream(batch.column("texts")[k].as_buffer()) as packs:
+                    for texts in packs:
+                        yield rows(len(texts), **{c: texts.column(c) for c in _TEXTS.names})
+
+
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a block, language and half come together: first its grams' bits, then its texts.
 
@@ -159,8 +251,9 @@ def _bits(texts: pa.RecordBatch, lang: str, known: tuple[np.ndarray, np.ndarray]
 
 
 def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
-    """lang, model, gram, p of each wanted gram, order by order from the shortest.
+    """lang, gram, p0, p1, p2 of each wanted gram by the three models, order by order from the shortest.
 
+    wanted: lang, gram; counts: lang, gram, n0, n1, n2. A gram is one row for all models.
     The counts of the longest grams are those of the text; of a shorter one, the different
     symbols that stand before it. Three discounts per order come from the counts of counts.
     What they take off is given to the next shorter order. A context never seen leaves
@@ -168,51 +261,63 @@ def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFra
     """
 
     def stored(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.parquet(f"{folder}/{name}")
+        frame.write.option("compression", "zstd").parquet(f"{folder}/{name}")
         return frame.sparkSession.read.parquet(f"{folder}/{name}")
 
     # Each order is a table of its own: plans stay small, and a lost task repeats little.
     own, asked = {ORDER: stored(counts, f"counts{ORDER}")}, {ORDER: stored(wanted, "wanted")}
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
-        own[order] = stored(own[order + 1].groupBy(*MODEL, suffix).agg(F.count("*").alias("n")), f"counts{order}")
-        asked[order] = asked[ORDER].select(*MODEL, suffix).distinct()
+        before = [F.count_if(F.col(f"n{m}") > 0).alias(f"n{m}") for m in MODELS]
+        own[order] = stored(own[order + 1].groupBy("lang", suffix).agg(*before), f"counts{order}")
+        asked[order] = stored(asked[order + 1].select("lang", suffix).distinct(), f"wanted{order}")
 
-    lower = asked[1].select(*MODEL, F.lit(0).cast("bigint").alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")).distinct()
+    even = [F.lit(1.0 / SYMBOLS).alias(f"p{m}") for m in MODELS]
+    lower = asked[1].select("lang", F.lit(0).cast("bigint").alias("gram"), *even).distinct()
     for order in range(1, ORDER + 1):
-        seen = own[order].withColumn("kind", F.least("n", F.lit(3)))
-        tally = seen.groupBy(*MODEL).agg(*[F.count_if(F.col("n") == k).cast("double").alias(f"t{k}") for k in (1, 2, 3, 4)])
-        y = F.col("t1") / F.greatest(F.col("t1") + 2 * F.col("t2"), F.lit(1.0))
-        discounts = tally.select(
-            *MODEL,
-            *[
-                F.greatest(
-                    F.lit(0.01),
-                    F.least(F.lit(k - 0.01), k - (k + 1) * y * F.col(f"t{k + 1}") / F.greatest(f"t{k}", F.lit(1.0))),
-                ).alias(f"d{k}")
-                for k in (1, 2, 3)
-            ],
+        seen = own[order]
+        tally = seen.groupBy("lang").agg(
+            *[F.count_if(F.col(f"n{m}") == k).cast("double").alias(f"t{m}{k}") for m in MODELS for k in (1, 2, 3, 4)]
         )
+
+        def discount(m: int, k: int) -> Column:
+            t = {j: F.col(f"t{m}{j}") for j in (1, 2, 3, 4)}
+            y = t[1] / F.greatest(t[1] + 2 * t[2], F.lit(1.0))
+            off = k - (k + 1) * y * t[k + 1] / F.greatest(t[k], F.lit(1.0))
+            return F.greatest(F.lit(0.01), F.least(F.lit(k - 0.01), off)).alias(f"d{m}{k}")
+
+        discounts = F.broadcast(tally.select("lang", *[discount(m, k) for m in MODELS for k in (1, 2, 3)]))
         prefix = F.shiftrightunsigned("gram", BITS)
+        sums = [F.sum(f"n{m}").alias(f"total{m}") for m in MODELS]
+        kinds = [
+            F.count_if(F.col(f"n{m}") == k if k < 3 else F.col(f"n{m}") >= k).alias(f"k{m}{k}")
+            for m in MODELS
+            for k in (1, 2, 3)
+        ]
         contexts = (
-            seen.groupBy(*MODEL, prefix.alias("prefix"))
-            .agg(F.sum("n").alias("total"), *[F.count_if(F.col("kind") == k).alias(f"k{k}") for k in (1, 2, 3)])
-            .join(discounts, MODEL)
-            .withColumn("rest", sum((F.col(f"d{k}") * F.col(f"k{k}") for k in (1, 2, 3)), F.lit(0.0)))
+            seen.groupBy("lang", prefix.alias("prefix")).agg(*sums, *kinds).join(discounts, "lang").select(
+                "lang", "prefix", *[f"total{m}" for m in MODELS],
+                *[sum((F.col(f"d{m}{k}") * F.col(f"k{m}{k}") for k in (1, 2, 3)), F.lit(0.0)).alias(f"rest{m}") for m in MODELS],
+            )
         )
         suffix = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
         rows = (
             asked[order]
             .withColumn("prefix", prefix)
             .withColumn("suffix", suffix)
-            .join(seen.select(*MODEL, "gram", "n", "kind"), [*MODEL, "gram"], "left")
-            .join(contexts, [*MODEL, "prefix"], "left")
-            .join(lower.select(*MODEL, F.col("gram").alias("suffix"), F.col("p").alias("below")), [*MODEL, "suffix"])
+            .join(seen, ["lang", "gram"], "left")
+            .join(contexts, ["lang", "prefix"], "left")
+            .join(lower.withColumnRenamed("gram", "suffix"), ["lang", "suffix"])
+            .join(discounts, "lang", "left")
         )
-        off = F.when(F.col("kind") == 1, F.col("d1")).when(F.col("kind") == 2, F.col("d2")).otherwise(F.col("d3"))
-        kept = F.coalesce(F.col("n") - off, F.lit(0.0))
-        p = F.when(F.col("total").isNull(), F.col("below")).otherwise((kept + F.col("rest") * F.col("below")) / F.col("total"))
-        lower = stored(rows.select(*MODEL, "gram", p.alias("p")), f"p{order}")
+
+        def probability(m: int) -> Column:
+            n, total, below = F.col(f"n{m}"), F.col(f"total{m}"), F.col(f"p{m}")
+            off = F.when(n == 1, F.col(f"d{m}1")).when(n == 2, F.col(f"d{m}2")).otherwise(F.col(f"d{m}3"))
+            kept = F.when(n > 0, n - off).otherwise(F.lit(0.0))
+            return F.when(total > 0, (kept + F.col(f"rest{m}") * below) / total).otherwise(below).alias(f"p{m}")
+
+        lower = stored(rows.select("lang", "gram", *map(probability, MODELS)), f"p{order}")
     return lower
 
 
@@ -246,11 +351,12 @@ def perplexities(
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang_column).cast("string"), F.lit("")).alias("lang"),
     )
-    # Rows without id are dealt over blocks of their own, below those of all ids.
-    unnamed = F.lit(NO_BLOCK) - F.pmod(F.xxhash64("text"), F.lit(UNNAMED_BLOCKS))
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("doc_id") / BLOCK_IDS), unnamed)).withColumn(
-        "half", (1 + F.pmod(F.xxhash64("text"), F.lit(2))).cast("int")
-    )
+    # A block is ids of one quotient and texts of one class of length; rows without id are dealt out.
+    level = F.least(F.length(F.bin(F.floor(F.length("text") / BLOCK_CHARS).cast("bigint"))), F.lit(BLOCK_IDS.bit_length())) - 1
+    quotient = F.floor(F.col("doc_id") * F.pow(F.lit(2.0), level) / BLOCK_IDS)
+    unnamed = F.pmod(F.xxhash64("text"), F.lit(UNNAMED_BLOCKS))
+    block = F.xxhash64(level, F.col("doc_id").isNull(), F.coalesce(quotient, unnamed))
+    rows = rows.withColumn("block", block).withColumn("half", (1 + F.pmod(F.xxhash64("text"), F.lit(2))).cast("int"))
     trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("trusted_id")).distinct()
     word = F.shiftright("trusted_id", 6).alias("word")
     marks = trusted.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(trusted_id & 63 as int))")).alias("marks"))
@@ -263,37 +369,32 @@ def perplexities(
     is_trusted = F.expr("coalesce(shiftrightunsigned(marks, cast(doc_id & 63 as int)) & 1, 0) = 1")
     marked.select("block", "lang", "half", "text", is_trusted.alias("trusted")).mapInArrow(
         _gathered, "block bigint, lang string, half int, gram bigint, n bigint"
-    ).write.parquet(f"{folder}/grams")
+    ).write.option("compression", "zstd").parquet(f"{folder}/grams")
     gathered = spark.read.parquet(f"{folder}/grams")
 
-    def of_models(frame: DataFrame, *models) -> DataFrame:
-        return frame.withColumn("model", F.explode(F.array(*models)))
-
-    other = 3 - F.col("half")
-    trained = gathered.filter("block is null")
-    counts = of_models(trained, F.lit(WHOLE), "half").groupBy(*MODEL, "gram").agg(F.sum("n").alias("n"))
-    requests = gathered.filter("block is not null").select("block", "lang", "half", "gram").distinct()
-    wanted = of_models(requests, F.lit(WHOLE), other).select(*MODEL, "gram").distinct()
-    bits = _probabilities(wanted, counts, folder).select(*MODEL, "gram", (-F.log2("p")).alias("bits"))
-    of_both = bits.groupBy("lang", "gram").agg(
-        *[F.max(F.when(F.col("model") == k, F.col("bits"))).alias(f"bits{k}") for k in (WHOLE, 1, 2)]
+    of_half = [F.sum(F.when(F.col("half") == m, F.col("n")).otherwise(0)).alias(f"n{m}") for m in (1, 2)]
+    counts = gathered.filter("block is null").groupBy("lang", "gram").agg(F.sum("n").alias("n0"), *of_half)
+    requests = gathered.filter("block is not null").select("block", "lang", "gram")
+    wanted = requests.select("lang", "gram").distinct()
+    bits = _probabilities(wanted, counts, folder).select(
+        "lang", "gram", *[(-F.log2(f"p{m}")).alias(f"bits{m}") for m in MODELS]
     )
-    answers = requests.join(of_both, ["lang", "gram"])
-
-    asked = answers.select(
-        "block", "lang", "half", "gram", F.col("bits0").alias("whole"),
-        F.when(F.col("half") == 1, F.col("bits2")).otherwise(F.col("bits1")).alias("unseen"),
-        F.lit(None).cast("bigint").alias("doc_id"),
-        F.lit(None).cast("bigint").alias("text_hash"), F.lit(None).cast("string").alias("text"),
+    asked = requests.join(bits, ["lang", "gram"]).select(
+        "block", "lang", F.lit(None).cast("int").alias("half"), "gram", *[f"bits{m}" for m in MODELS],
+        F.lit(None).cast("binary").alias("texts"),
+    )
+    # Texts travel once, compressed with their neighbours.
+    packs = rows.select("block", "lang", "half", "doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        _packed, "block bigint, lang string, half int, texts binary"
     )
-    texts = rows.select(
+    packs = packs.select(
         "block", "lang", "half", F.lit(None).cast("bigint").alias("gram"),
-        F.lit(None).cast("double").alias("whole"), F.lit(None).cast("double").alias("unseen"),
-        "doc_id", F.xxhash64("text").alias("text_hash"), "text",
+        *[F.lit(None).cast("double").alias(f"bits{m}") for m in MODELS], "texts",
     )
-    order = ["block", "lang", "half", F.col("gram").asc_nulls_last()]
-    asked.unionByName(texts).repartition("block", "lang", "half").sortWithinPartitions(*order).mapInArrow(
-        _scored, "doc_id bigint, lang string, text_hash bigint, symbols bigint, bits double, unseen double"
+    order = ["block", "lang", F.col("gram").asc_nulls_last(), "half"]
+    asked.unionByName(packs).repartition("block", "lang").sortWithinPartitions(*order).mapInArrow(
+        lambda batches: _scored(_unpacked(batches)),
+        "doc_id bigint, lang string, text_hash bigint, symbols bigint, bits double, unseen double",
     ).write.parquet(f"{folder}/scores")
     scores = spark.read.parquet(f"{folder}/scores")
 
