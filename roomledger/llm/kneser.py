@@ -31,6 +31,9 @@ BLOCK_IDS = 8192
 BLOCK_CHARS = 1 << 12
 # Symbols worked on at once, and grams held before they are merged.
 PIECE, HELD = 1 << 20, 1 << 21
+# So many grams, those that most blocks ask for, are broadcast with their bits (32 bytes each) and
+# asked for no more; all others go by shuffle.
+COMMON = 1 << 18
 # Characters of texts that are packed together before they are shuffled.
 PACKED = 1 << 22
 # Blocks that rows without id are dealt over.
@@ -160,11 +163,23 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+# Grams with their bits by the three models.
+Bits = list[np.ndarray]
+
+
+def _by_lang(common: pa.Table) -> dict[str, Bits]:
+    """The common grams of each language as arrays."""
+    langs = np.array(common.column("lang").to_pylist(), object)
+    columns = [common.column(c).to_numpy() for c in ("gram", "bits0", "bits1", "bits2")]
+    return {lang: [c[langs == lang] for c in columns] for lang in set(langs)}
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], common: dict[str, Bits]) -> Iterator[pa.RecordBatch]:
     """What _scored takes: for each half of a block and language its grams, then its texts.
 
     Rows of a block and language come together: grams with the bits of three models, then texts
-    by half. A gram may come several times, once from each task that asked for it.
+    by half. A gram may come several times, once from each task that asked for it; common ones
+    do not come.
     """
     names = ["block", "lang", "half", "gram", "whole", "unseen", "doc_id", "text_hash", "text"]
     key, half, held, known = None, None, [], None
@@ -188,8 +203,9 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = batch.slice(start, end - start)
                 held.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "bits0", "bits1", "bits2")])
                 continue
-            if known is None:  # a group of empty texts has asked for nothing
-                columns = [np.concatenate(c) for c in zip(*held)] or [np.zeros(0, "i8"), *[np.zeros(0)] * 3]
+            if known is None:
+                held.append(common.get(key[1], [np.zeros(0, "i8"), *[np.zeros(0)] * 3]))
+                columns = [np.concatenate(c) for c in zip(*held)]
                 _, first = np.unique(columns[0], return_index=True)
                 known, held = [c[first] for c in columns], []
             for k in range(start, end):
@@ -253,7 +269,7 @@ def _bits(texts: pa.RecordBatch, lang: str, known: tuple[np.ndarray, np.ndarray]
 def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
     """lang, gram, p0, p1, p2 of each wanted gram by the three models, order by order from the shortest.
 
-    wanted: lang, gram; counts: lang, gram, n0, n1, n2. A gram is one row for all models.
+    wanted: lang, gram, stored; counts: lang, gram, n0, n1, n2. A gram is one row for all models.
     The counts of the longest grams are those of the text; of a shorter one, the different
     symbols that stand before it. Three discounts per order come from the counts of counts.
     What they take off is given to the next shorter order. A context never seen leaves
@@ -265,7 +281,7 @@ def _probabilities(wanted: DataFrame, counts: DataFrame, folder: str) -> DataFra
         return frame.sparkSession.read.parquet(f"{folder}/{name}")
 
     # Each order is a table of its own: plans stay small, and a lost task repeats little.
-    own, asked = {ORDER: stored(counts, f"counts{ORDER}")}, {ORDER: stored(wanted, "wanted")}
+    own, asked = {ORDER: stored(counts, f"counts{ORDER}")}, {ORDER: wanted}
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")
         before = [F.count_if(F.col(f"n{m}") > 0).alias(f"n{m}") for m in MODELS]
@@ -333,7 +349,8 @@ def perplexities(
     Trusted are the documents with labels.quality = 1; all of them train the models of their
     language. Documents ask in blocks: a block's distinct
     grams are joined with the sharded counts, order by order, and the answers meet its
-    texts, which are shuffled once and streamed. No task or broadcast holds the model.
+    texts, which are shuffled once, compressed, and streamed. No task or broadcast holds the model:
+    the COMMON grams that most blocks ask for are broadcast, at most 8 MB of them.
 
     No document is judged by a model that has seen its text: texts fall into two halves by
     their hash, and each half has unseen_bits per symbol by the model of the other half's
@@ -375,11 +392,19 @@ def perplexities(
     of_half = [F.sum(F.when(F.col("half") == m, F.col("n")).otherwise(0)).alias(f"n{m}") for m in (1, 2)]
     counts = gathered.filter("block is null").groupBy("lang", "gram").agg(F.sum("n").alias("n0"), *of_half)
     requests = gathered.filter("block is not null").select("block", "lang", "gram")
-    wanted = requests.select("lang", "gram").distinct()
-    bits = _probabilities(wanted, counts, folder).select(
+    asks = requests.groupBy("lang", "gram").agg(F.count("*").alias("asks"))
+    asks.write.option("compression", "zstd").parquet(f"{folder}/wanted")
+    wanted = spark.read.parquet(f"{folder}/wanted")
+    bits = _probabilities(wanted.select("lang", "gram"), counts, folder).select(
         "lang", "gram", *[(-F.log2(f"p{m}")).alias(f"bits{m}") for m in MODELS]
     )
-    asked = requests.join(bits, ["lang", "gram"]).select(
+    # What most blocks ask for is not sent to each of them by shuffle.
+    wanted.filter("asks > 1").orderBy(F.desc("asks"), "lang", "gram").limit(COMMON).select("lang", "gram").write.parquet(
+        f"{folder}/common"
+    )
+    usual = F.broadcast(spark.read.parquet(f"{folder}/common"))
+    common = spark.sparkContext.broadcast(_by_lang(bits.join(usual, ["lang", "gram"]).toArrow()))
+    asked = requests.join(usual, ["lang", "gram"], "left_anti").join(bits, ["lang", "gram"]).select(
         "block", "lang", F.lit(None).cast("int").alias("half"), "gram", *[f"bits{m}" for m in MODELS],
         F.lit(None).cast("binary").alias("texts"),
     )
@@ -393,7 +418,7 @@ def perplexities(
     )
     order = ["block", "lang", F.col("gram").asc_nulls_last(), "half"]
     asked.unionByName(packs).repartition("block", "lang").sortWithinPartitions(*order).mapInArrow(
-        lambda batches: _scored(_unpacked(batches)),
+        lambda batches: _scored(_unpacked(batches, common.value)),
         "doc_id bigint, lang string, text_hash bigint, symbols bigint, bits double, unseen double",
     ).write.parquet(f"{folder}/scores")
     scores = spark.read.parquet(f"{folder}/scores")

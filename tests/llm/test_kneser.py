@@ -188,3 +188,64 @@ def test_junk_in_other_scripts_and_all_trusted_train(spark, monkeypatch):
     again = kneser.perplexities(few, labels.selectExpr("doc_id - 100 as doc_id", "quality", "toxic"))
     for r in again.collect():
         assert r.bits_per_symbol == pytest.approx(found[r.doc_id + 100].bits_per_symbol)
+
+
+def test_common_grams_are_broadcast_and_others_asked_for(spark, monkeypatch):
+    """Blocks of one id, long texts' own blocks, no common grams or many: the bits are the same."""
+    rng = np.random.default_rng(12)
+    parts = ["stone", "river", "light", "over", "under", "the", "and", "walk", "near"]
+    rows = [(k, " ".join(rng.choice(parts, int(rng.integers(1, 60)))), "aa" if k % 3 else None) for k in range(40)]
+    rows += [(50, "long text " * 2000, "aa"), (None, "no id", "aa"), (51, "", "bb"), (51, None, "bb")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(30)], LABELS)
+
+    def found():
+        return sorted(
+            (r.text_hash, r.doc_id or -1, r.symbols, round(r.bits_per_symbol or 0, 9), round(r.unseen_bits or 0, 9), r.kept)
+            for r in kneser.perplexities(docs, labels).collect()
+        )
+
+    usual = found()
+    assert len(usual) == len(rows)
+    monkeypatch.setattr(kneser, "BLOCK_IDS", 4)
+    monkeypatch.setattr(kneser, "COMMON", 0)
+    assert found() == usual
+    monkeypatch.setattr(kneser, "COMMON", 20)
+    monkeypatch.setattr(kneser, "PACKED", 100)
+    assert found() == usual
+
+
+def test_packs_hold_every_text():
+    kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+    rows = [(k // 5, "l", 1 + k % 2, k, -k, "abcabd" * k) for k in range(20)]
+    names = ["block", "lang", "half", "doc_id", "text_hash", "text"]
+    packs = list(kneser._packed([pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)]))
+    assert len(packs) == 8  # a block's halves
+    found = []
+    for pack in packs:
+        key = [pack.column(c)[0].as_py() for c in ("block", "lang", "half")]
+        with pa.ipc.open_stream(pack.column("texts")[0].as_buffer()) as texts:
+            found += [(*key, *r.values()) for b in texts for r in b.to_pylist()]
+    assert sorted(found) == sorted(rows)
+
+
+def test_a_tally_lets_go_when_it_is_full(monkeypatch):
+    monkeypatch.setattr(kneser, "HELD", 64)
+    monkeypatch.setattr(kneser, "PIECE", 32)
+    rng = np.random.default_rng(8)
+    letters = [chr(c) for c in range(0x4E00, 0x5E00)]
+    rows = [(k // 10, "l", 1, "".join(rng.choice(letters, 50)), k % 2 == 0) for k in range(30)]
+    names = ["block", "lang", "half", "text", "trusted"]
+    kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.bool_()]
+    out = list(kneser._gathered(iter([pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)])))
+    assert max(len(b) for b in out) < 10 * 50
+    found = Counter()
+    for r in (r for b in out for r in b.to_pylist()):
+        found[r["block"], r["half"], r["gram"]] += r["n"]
+    slow = Counter()
+    for block, _, half, text, trusted in rows:
+        for gram in np.concatenate(list(kneser.grams_of(text))).view("i8").tolist():
+            slow[block, 0, gram] += 1
+            if trusted:
+                slow[None, half, gram] += 1
+    assert found == slow
