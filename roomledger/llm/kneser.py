@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,6 +175,21 @@ def _by_lang(common: pa.Table) -> dict[str, Bits]:
     return {lang: [c[langs == lang] for c in columns] for lang in set(langs)}
 
 
+def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, bool, int, int]]:
+    """Key, whether they are grams, start and end of the runs of rows that are a group's grams, or its texts."""
+    given = batch.column("gram").is_valid().to_numpy(zero_copy_only=False)
+    n = len(given)
+    if not n:
+        return
+    changes = given[1:] != given[:-1]
+    for name in keys:
+        column = batch.column(name)
+        changes = changes | pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    edges = [0, *(np.flatnonzero(changes) + 1).tolist(), n]
+    for start, end in zip(edges, edges[1:]):
+        yield tuple(batch.column(name)[start].as_py() for name in keys), bool(given[start]), start, end
+
+
 def _unpacked(batches: Iterator[pa.RecordBatch], common: dict[str, Bits]) -> Iterator[pa.RecordBatch]:
     """What _scored takes: for each half of a block and language its grams, then its texts.
 
@@ -185,21 +201,16 @@ def _unpacked(batches: Iterator[pa.RecordBatch], common: dict[str, Bits]) -> Ite
     key, half, held, known = None, None, [], None
 
     def rows(n: int, **columns) -> pa.RecordBatch:
-        filled = {"block": pa.array([key[0]] * n, pa.int64()), "lang": pa.array([key[1]] * n, pa.string())}
-        filled |= {"half": pa.array([half] * n, pa.int32()), **columns}
+        filled = {"block": pa.repeat(pa.scalar(key[0], pa.int64()), n), "lang": pa.repeat(pa.scalar(key[1], pa.string()), n)}
+        filled |= {"half": pa.repeat(pa.scalar(half, pa.int32()), n), **columns}
         types = {"gram": pa.int64(), "whole": pa.float64(), "unseen": pa.float64(), **dict(zip(_TEXTS.names, _TEXTS.types))}
         return pa.record_batch([filled[c] if c in filled else pa.nulls(n, types[c]) for c in names], names=names)
 
     for batch in batches:
-        own = list(zip(batch.column("block").to_pylist(), batch.column("lang").to_pylist()))
-        given = batch.column("gram").is_valid().to_numpy(zero_copy_only=False)
-        edges = [0, *(k for k in range(1, len(own)) if own[k] != own[k - 1] or given[k] != given[k - 1]), len(own)]
-        for start, end in zip(edges, edges[1:]):
-            if start == end:
-                continue
-            if key != own[start]:
-                key, half, held, known = own[start], None, [], None
-            if given[start]:
+        for own, given, start, end in _runs(batch, ["block", "lang"]):
+            if key != own:
+                key, half, held, known = own, None, [], None
+            if given:
                 part = batch.slice(start, end - start)
                 held.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "bits0", "bits1", "bits2")])
                 continue
@@ -227,18 +238,12 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "lang", "text_hash", "symbols", "bits", "unseen"]
     for batch in batches:
         out = []
-        own = list(zip(*(batch.column(name).to_pylist() for name in ("block", "lang", "half"))))
-        given = batch.column("gram").is_valid().to_numpy(zero_copy_only=False)
         texts = batch.select(["doc_id", "text_hash", "text"])
-        # Runs of rows that are a group's grams (kept as arrays), or that are its texts.
-        edges = [0, *(k for k in range(1, len(own)) if own[k] != own[k - 1] or given[k] != given[k - 1]), len(own)]
-        for start, end in zip(edges, edges[1:]):
-            if start == end:
-                continue
-            if key != own[start]:
-                key, held, known = own[start], [], None
+        for own, given, start, end in _runs(batch, ["block", "lang", "half"]):
+            if key != own:
+                key, held, known = own, [], None
             lang = key[1]
-            if given[start]:
+            if given:
                 part = batch.slice(start, end - start)
                 held.append([part.column(name).to_numpy(zero_copy_only=False) for name in ("gram", "whole", "unseen")])
                 continue
