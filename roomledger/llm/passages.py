@@ -4,7 +4,8 @@ A window is some consecutive symbols (bytes or words). Each window has a seed: t
 few symbols in it whose hash is least. Equal windows have equal seeds at equal places, and
 neighbouring windows mostly share theirs. So a window that occurs twice lies, both times, in a
 segment (the windows of one seed) with that seed, and an index over the segments of a seed
-sees all its occurrences. Seeds that occur in one place only are dropped first.
+sees all its occurrences. Seeds that occur in one place only are dropped first. A seed with too
+many different contents for one index is parted by its windows' digests.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from roomledger.session import work_folder
 LAST = (1 << 63) - 1
 # Windows looked at together; their places must fit PLACE bits.
 PIECE, PLACE = 1 << 19, 20
-# Bytes of segments in one index. A seed's segments are never parted.
+# Bytes of segments in one index. A seed with more different contents is hot: its segments are let go
+# and their windows dealt out by digest.
 INDEX_BYTES = 1 << 21
 # A seed's number in its text, modulo this, shares a long with the seed's hash.
 NUMBER_BITS = 16
@@ -126,12 +128,59 @@ def covered_spans(
     rows: id, cls, text of distinct texts at least once each. An earlier place has a smaller
     id or, within_document, the same id and text and an earlier start. index gets segments
     of some seeds with several different contents each and names the covered stretches.
+    The contents of a seed that would make an index of more than INDEX_BYTES are not indexed:
+    equal windows share their digest too, so the windows of such a seed are dealt out by it.
     """
+    spark = rows.sparkSession
+    folder = work_folder(spark, "indexed")
     dealt = segments_of(rows, unit, within_document)
-    spans = dealt.mapInArrow(_indexed(index, within_document), "id bigint, cls bigint, low bigint, high bigint")
+    dealt.mapInArrow(
+        _indexed(index, within_document), "id bigint, cls bigint, low bigint, high bigint, starts array<bigint>, content binary"
+    ).write.parquet(f"{folder}/found")
+    found = spark.read.parquet(f"{folder}/found")
+    spans = found.filter("content is null").select("id", "cls", "low", "high")
+    hot = found.filter("content is not null").select("id", "cls", "starts", "content")
+    if not hot.isEmpty():
+        spans = spans.unionByName(_hot_spans(hot, unit, within_document, folder))
     return spans.groupBy("id", "cls").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
+def _hot_spans(hot: DataFrame, unit: Unit, within_document: bool, folder: str) -> DataFrame:
+    """id, cls, low, high of the windows in segments of hot seeds that occur in an earlier place too.
+
+    The earliest place of a window is combined before the shuffle, and the join with it is one of
+    stored tables, so neither a hot seed nor a hot window is held anywhere.
+    """
+    spark = hot.sparkSession
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        for batch in batches:
+            out = []
+            for id_, cls, starts, content in zip(*(c.to_pylist() for c in batch.columns)):
+                symbols = content if unit.kind == "byte" else content.split()
+                for k in range(len(symbols) - unit.window + 1):
+                    own = symbols[k : k + unit.window]
+                    digest = hashlib.md5(own if unit.kind == "byte" else b" ".join(own)).digest()
+                    out.extend((digest, id_, cls, start + k) for start in starts)
+                if len(out) >= 1 << 16:
+                    yield _columns(out, types, ["digest", "id", "cls", "low"])
+                    out = []
+            yield _columns(out, types, ["digest", "id", "cls", "low"])
+
+    hot.mapInArrow(windows, "digest binary, id bigint, cls bigint, low bigint").write.parquet(f"{folder}/windows")
+    found = spark.read.parquet(f"{folder}/windows")
+    place = F.struct("id", "cls", "low") if within_document else F.struct("id")
+    least = found.groupBy("digest").agg(F.min(place).alias("least"), F.max(place).alias("last"))
+    least.filter("least < last").select("digest", "least").write.parquet(f"{folder}/least")
+    later = found.join(spark.read.parquet(f"{folder}/least"), "digest").filter(place > F.col("least"))
+    return later.select("id", "cls", "low", (F.col("low") + unit.window).alias("high"))
+
+
+def _columns(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(types), types)], names=names)
+
+
 def segments_of(rows: DataFrame, unit: Unit, within_document: bool, collapse: bool = True) -> DataFrame:
     """The segments of all repeated seeds, brought together and sorted by seed."""
     candidates = _repeated(rows, unit)
@@ -269,18 +318,25 @@ def _segments(unit: Unit, within_document: bool, collapse: bool):
 
 
 def _indexed(index: Callable[[list[Segment]], Covered], within_document: bool):
+    names = ["id", "cls", "low", "high", "starts", "content"]
+    types = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by seed. Whole seeds are gathered until they make up an index."""
+        """Rows come by seed. Whole seeds are gathered until they make up an index.
+
+        Rows out are covered stretches, or segments of seeds that are too hot for an index.
+        """
         held: list[Segment] = []
         size, spans = 0, []
-        seed, own = None, {}
+        seed, own, own_size = None, {}, 0
+        hot, passed = False, []
 
         def close_seed() -> None:
-            nonlocal own, size
+            nonlocal own, own_size, size, hot
             if len(own) > 1:  # a single content has no other place where it may be found
                 held.extend(own.values())
-                size += sum(len(content) for content, _ in own)
-            own = {}
+                size += own_size
+            own, own_size, hot = {}, 0, False
 
         def covered(segment: Segment, low: int = 0, high: int | None = None) -> None:
             high = segment.size if high is None else high
@@ -293,10 +349,16 @@ def _indexed(index: Callable[[list[Segment]], Covered], within_document: bool):
             by_doc: dict[tuple, list] = {}
             for id_, cls, low, high in spans:
                 by_doc.setdefault((id_, cls), []).append((low, high))
-            out = [(*doc, low, high) for doc, stretches in by_doc.items() for low, high in merged(stretches)]
-            yield pa.record_batch([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=["id", "cls", "low", "high"])
+            out = [(*doc, *stretch, None, None) for doc, stretches in by_doc.items() for stretch in merged(stretches)]
+            yield _columns(out, types, names)
             held, size, spans = [], 0, []
 
+        def let_go() -> pa.RecordBatch:
+            nonlocal passed
+            out = [(s.doc, s.cls, None, None, s.starts.tolist(), s.content) for s in passed]
+            passed = []
+            return _columns(out, types, names)
+
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             for s, id_, cls, starts, n, content in zip(*columns):
@@ -309,14 +371,22 @@ def _indexed(index: Callable[[list[Segment]], Covered], within_document: bool):
                     seed = s
                     if size >= INDEX_BYTES or len(spans) > 100_000:
                         yield from flush()
+                if hot:
+                    passed.append(segment)
+                    continue
                 # Rows come in order of id, so the first with a content is the earliest.
                 earlier = own.setdefault((content, 0), segment)
-                if earlier is segment:
-                    continue
-                if earlier.doc < id_ or within_document:
-                    covered(segment)
-                else:
+                if earlier is not segment:
+                    if earlier.doc < id_ or within_document:
+                        covered(segment)
+                        continue
                     own[content, len(own)] = segment
+                own_size += len(content)
+                if own_size > INDEX_BYTES:
+                    passed.extend(own.values())
+                    own, own_size, hot = {}, 0, True
+            if passed:
+                yield let_go()
         close_seed()
         yield from flush()
 
