@@ -21,6 +21,7 @@ from roomledger.llm import (
     merkle_sql,
     minhash,
     packing,
+    passages_sql,
     repeats,
     secret_scan,
 )
@@ -121,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE = {
+    "op3_minhash_near_dedup": passages_sql.NEAR,
+    "op7_suffix_array_dedup": passages_sql.REPEATS,
+    "op9_substring_dedup": passages_sql.SHARED,
     "op10_exact_dedup": r"""
         WITH normalised AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
