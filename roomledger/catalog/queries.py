@@ -43,7 +43,11 @@ def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "feed")
-    return feed.numbered(_dated(spark, sf_dir), folder, sample.TIE_BREAKERS, unique=True)
+    dated = feed.with_arrival(sample.bookings(spark, sf_dir))
+    lines = sample.given(spark, sf_dir, "lineitem").count()
+    return feed.measured(
+        feed.numbered(dated, folder, sample.TIE_BREAKERS, unique=True, rows=lines)
+    )
 
 
 def _calendar(spark: SparkSession, sf_dir: str) -> Dimension:

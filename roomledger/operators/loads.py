@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Files that a task may have open at once when it writes a partitioned table.
+OPEN_FILES = 64
 # A path that is not there, or a folder without data files.
 NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+@contextmanager
+def open_files(spark: SparkSession, most: int = OPEN_FILES) -> Iterator[None]:
+    """Within it, partitioned writes and streams that start keep a file open for each partition.
+
+    Otherwise Spark sorts the rows of every task by partition first, which spills them to disk
+    where a task reads many rows from little input. Tasks with more partitions than files still do.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def overwrite(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -75,23 +94,25 @@ def write_intervals(
     years: Sequence[int | None] | None = None,
     mode: str = "append",
     max_records_per_file: int = 0,
-    compression: str = "none",
+    compression: str = "gzip",
 ) -> None:
     """Write the feed as JSON lines, one directory per arrival year, in one parallel pass.
 
-    The year is copied into the partition column because that column leaves the
+    Lines are mostly the names of columns, so they are compressed. A compressed file is read by
+    one task: each task that writes gives files of its own. The year is copied into the partition column because that column leaves the
     files. Appending lets intervals land one at a time.
     """
     if years is not None:
         feed = feed.filter(in_years(F.col("arrival_date_year"), years))
-    (
-        feed.withColumn("interval_year", F.col("arrival_date_year"))
-        .write.mode(mode)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .option("compression", compression)
-        .partitionBy("interval_year")
-        .json(path)
-    )
+    with open_files(feed.sparkSession):
+        (
+            feed.withColumn("interval_year", F.col("arrival_date_year"))
+            .write.mode(mode)
+            .option("maxRecordsPerFile", max_records_per_file)
+            .option("compression", compression)
+            .partitionBy("interval_year")
+            .json(path)
+        )
 
 
 def stored_or_none(

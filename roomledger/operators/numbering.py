@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # monotonically_increasing_id keeps the row's position in its partition in these bits.
 _POSITION_BITS = 33
+# Rows that a task may sort: some hundred bytes each, so that they fit its memory.
+ROWS_PER_TASK = 1_000_000
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int | None:
+    """Range partitions for so many rows; None where the session's own number is enough."""
+    wanted = -(-rows // ROWS_PER_TASK)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def number_rows(
     df: DataFrame,
-    order_by: Sequence[str],
+    order_by: Sequence[str | Column],
     name: str,
     folder: str,
     unique: bool = False,
     partitions: int | None = None,
     first: int = 1,
 ) -> DataFrame:
-    """Add a bigint column counting 1..n in ascending order of the given columns.
+    """Add a bigint column counting 1..n in ascending order of the given columns or expressions.
 
     Equal to row_number() over the whole frame ordered the same way, NULL first.
     Rows that come later may go on from another first number.
@@ -40,11 +48,12 @@ def number_rows(
     keys = list(order_by)
     if not unique:
         landed = f"{folder}/landed"
-        df.withColumn("_tie", F.monotonically_increasing_id()).write.parquet(landed)
+        tied = df.withColumn("_tie", F.monotonically_increasing_id())
+        tied.write.option("compression", "zstd").parquet(landed)
         df = spark.read.parquet(landed)
         keys.append("_tie")
 
-    ranges = [F.col(key).asc_nulls_first() for key in keys]
+    ranges = [(F.col(key) if isinstance(key, str) else key).asc_nulls_first() for key in keys]
     ranged = (
         df.repartitionByRange(partitions, *ranges)
         if partitions
@@ -57,7 +66,8 @@ def number_rows(
         .drop("_tie")
         .withColumn("_place", place)
         .withColumn("_part", F.shiftright("_place", _POSITION_BITS).cast("int"))
-        .write.parquet(sorted_path)
+        .write.option("compression", "zstd")
+        .parquet(sorted_path)
     )
     placed = spark.read.parquet(sorted_path)
 

@@ -42,7 +42,8 @@ class Snapshots:
         """Write a table's next version and return its folder."""
         spark = df.sparkSession
         path = f"{self.folder}/{name}/{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        with loads.open_files(spark):
+            df.write.partitionBy(*partition_by).parquet(path)
         log = loads.stored_or_none(spark, f"{self.folder}/log", "json", LOG)
         last = log.filter(F.col("name") == name).agg(F.max("version")).first()[0]
         row = spark.createDataFrame([(name, (last or 0) + 1, path)], LOG)

@@ -9,19 +9,27 @@ from pyspark.sql import functions as F
 
 from roomledger import schemas
 from roomledger.functions import dates, measures
-from roomledger.operators.numbering import number_rows
+from roomledger.operators.numbering import number_rows, partitions_for
+
+
+def with_arrival(raw: DataFrame) -> DataFrame:
+    """Add the arrival date."""
+    month = dates.month_number(F.col("arrival_date_month"))
+    day = F.col("arrival_date_day_of_month")
+    return raw.withColumn(
+        "arrival_date", dates.date_from_parts(F.col("arrival_date_year"), month, day)
+    )
 
 
 def with_measures(raw: DataFrame) -> DataFrame:
     """Add arrival date, date key, nights, guests and revenue; clean the rate."""
-    month = dates.month_number(F.col("arrival_date_month"))
-    dated = raw.withColumn(
-        "arrival_date",
-        dates.date_from_parts(
-            F.col("arrival_date_year"), month, F.col("arrival_date_day_of_month")
-        ),
-    ).withColumn("total_nights", F.col("stays_in_weekend_nights") + F.col("stays_in_week_nights"))
-    return dated.withColumns(
+    return measured(with_arrival(raw))
+
+
+def measured(dated: DataFrame) -> DataFrame:
+    """Add date key, nights, guests and revenue to bookings with an arrival date; clean the rate."""
+    nights = F.col("stays_in_weekend_nights") + F.col("stays_in_week_nights")
+    return dated.withColumn("total_nights", nights).withColumns(
         {
             "date_key": dates.date_key(F.col("arrival_date")),
             "total_guests": F.col("adults") + F.col("children") + F.col("babies"),
@@ -42,16 +50,26 @@ def numbered(
     ties: Sequence[str] | None = None,
     first_id: int = 1,
     unique: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Add booking_id, counting by arrival date and hotel.
+    """Add booking_id, counting by arrival date and hotel, to bookings with an arrival date.
 
     Bookings of one date and hotel are numbered by ties, so that ids
     do not change between runs: all other raw columns unless given. Bookings of a
     later feed take a first_id above those given out. unique: no two bookings agree in
     date, hotel and ties, so that no copy of the rows is needed to tell them apart.
+    rows: about how many there are, from which the number of tasks that sort them follows.
+
+    Measures are best added afterwards, so that they are neither shuffled nor stored; a rate
+    counts in the order as it is after cleaning, whether it was cleaned before or not.
     """
     order = ["arrival_date", "hotel", *(tie_breakers() if ties is None else ties)]
-    return number_rows(dated, order, "booking_id", folder, unique=unique, first=first_id)
+    clean = measures.clamp_rate(F.col("adr")) if "adr" in order else None
+    by = [clean if name == "adr" else name for name in order]
+    partitions = None if rows is None else partitions_for(dated.sparkSession, rows)
+    return number_rows(
+        dated, by, "booking_id", folder, unique=unique, partitions=partitions, first=first_id
+    )
 
 
 def as_feed(numbered_bookings: DataFrame) -> DataFrame:
@@ -68,4 +86,4 @@ def booking_feed(
     first_id: int = 1,
     unique: bool = False,
 ) -> DataFrame:
-    return as_feed(numbered(with_measures(raw), folder, ties, first_id, unique))
+    return as_feed(measured(numbered(with_arrival(raw), folder, ties, first_id, unique)))

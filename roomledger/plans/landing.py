@@ -38,16 +38,20 @@ def row_digest(rows: DataFrame) -> dict[str, Column]:
     return {half: F.xxhash64(F.lit(seed), *fields) for seed, half in enumerate(DIGEST)}
 
 
-def staged(raw: DataFrame, folder: str) -> tuple[DataFrame, str]:
-    """A written copy of a feed with the digest of each row, and a name for its contents.
+def staged(raw: DataFrame, folder: str, keep: Sequence[str] = (*DIGEST, "_place")) -> tuple[DataFrame, str]:
+    """A written copy of a feed with the digest and place of each row, and a name for its contents.
 
     The source is read once: the copy's writer counts the rows and adds up their digests. The
-    name does not depend on the order of rows or columns.
+    name does not depend on the order of rows or columns. Digests compress badly, so only
+    what is needed of digest and place is kept.
     """
     seen = Observation()
-    marked = raw.withColumns(row_digest(raw)).withColumn("_place", F.monotonically_increasing_id())
+    marked = raw.withColumns(row_digest(raw))
     sums = [F.sum(F.col(half).cast("decimal(38,0)")).alias(half) for half in DIGEST]
-    marked.observe(seen, F.count("*").alias("rows"), *sums).write.parquet(folder)
+    counted = marked.observe(seen, F.count("*").alias("rows"), *sums).drop(*[c for c in DIGEST if c not in keep])
+    if "_place" in keep:
+        counted = counted.withColumn("_place", F.monotonically_increasing_id())
+    counted.write.option("compression", "zstd").parquet(folder)
     found = [int(seen.get[name] or 0) for name in ("rows", *DIGEST)]
     name = "-".join(f"{value & ((1 << 64) - 1):x}" for value in found)
     return raw.sparkSession.read.parquet(folder), name
@@ -135,7 +139,8 @@ def land_feed(
     """
     spark = raw.sparkSession
     folder = lake.staging("feed")
-    rows, name = staged(raw, f"{folder}/raw")
+    marks = [*(DIGEST if source is not None or not unique else ()), *(() if unique else ("_place",))]
+    rows, name = staged(raw, f"{folder}/raw", marks)
     listed = loads.stored_or_none(spark, lake.manifest, "json", MANIFEST)
     if source is not None:
         version = F.regexp_extract("feed", r"-v(\d+)$", 1).cast("int")
@@ -163,8 +168,15 @@ def land_feed(
     if not unique:
         # Copies of a row are told apart by their place in the staged copy.
         tie_breakers = [*(tie_breakers or feed.tie_breakers()), *DIGEST, "_place"]
-    dated = feed.with_measures(rows)
-    bookings = feed.numbered(dated, f"{folder}/numbered", tie_breakers, first_id, unique=True)
+    ties = feed.tie_breakers() if tie_breakers is None else tie_breakers
+    # What the feed does not list and no order needs is neither shuffled nor stored again.
+    used = {*schemas.FEED, "arrival_date", *ties, *(DIGEST if source is not None else ())}
+    dated = feed.with_arrival(rows)
+    dated = dated.select(*[c for c in dated.columns if c in used])
+    count = rows.count() if source is None else None
+    bookings = feed.measured(
+        feed.numbered(dated, f"{folder}/numbered", ties, first_id, unique=True, rows=count)
+    )
     if source is not None:
         digests = bookings.select("booking_id", *DIGEST, F.lit(source).alias("source"))
         digests.write.mode("overwrite").parquet(f"{lake.digests}/feed={name}")

@@ -112,7 +112,8 @@ def append_stream(
     )
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    return writer.start(path)
+    with loads.open_files(rows.sparkSession):
+        return writer.start(path)
 
 
 def ingest(
