@@ -18,7 +18,7 @@ NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 @contextmanager
 def open_files(spark: SparkSession, most: int = OPEN_FILES) -> Iterator[None]:
-    """Within it, partitioned writes and streams that start keep a file open for each partition.
+    """Within it, partitioned writes and batches of streams keep a file open for each partition.
 
     Otherwise Spark sorts the rows of every task by partition first, which spills them to disk
     where a task reads many rows from little input. Tasks with more partitions than files still do.

@@ -38,20 +38,20 @@ def row_digest(rows: DataFrame) -> dict[str, Column]:
     return {half: F.xxhash64(F.lit(seed), *fields) for seed, half in enumerate(DIGEST)}
 
 
-def staged(raw: DataFrame, folder: str, keep: Sequence[str] = (*DIGEST, "_place")) -> tuple[DataFrame, str]:
-    """A written copy of a feed with the digest and place of each row, and a name for its contents.
+def staged(raw: DataFrame, folder: str, places: bool = True) -> tuple[DataFrame, str]:
+    """A written copy of a feed with the place of each row, if asked for, and a name for its contents.
 
     The source is read once: the copy's writer counts the rows and adds up their digests. The
-    name does not depend on the order of rows or columns. Digests compress badly, so only
-    what is needed of digest and place is kept.
+    name does not depend on the order of rows or columns. Digests compress badly, so they are
+    not kept: they follow from the copy wherever they are needed.
     """
     seen = Observation()
-    marked = raw.withColumns(row_digest(raw))
     sums = [F.sum(F.col(half).cast("decimal(38,0)")).alias(half) for half in DIGEST]
-    counted = marked.observe(seen, F.count("*").alias("rows"), *sums).drop(*[c for c in DIGEST if c not in keep])
-    if "_place" in keep:
-        counted = counted.withColumn("_place", F.monotonically_increasing_id())
-    counted.write.option("compression", "zstd").parquet(folder)
+    marked = raw.withColumns(row_digest(raw)).observe(seen, F.count("*").alias("rows"), *sums)
+    copy = marked.drop(*DIGEST)
+    if places:
+        copy = copy.withColumn("_place", F.monotonically_increasing_id())
+    copy.write.option("compression", "zstd").parquet(folder)
     found = [int(seen.get[name] or 0) for name in ("rows", *DIGEST)]
     name = "-".join(f"{value & ((1 << 64) - 1):x}" for value in found)
     return raw.sparkSession.read.parquet(folder), name
@@ -87,22 +87,24 @@ def changes(rows: DataFrame, known: DataFrame, folder: str) -> tuple[DataFrame,
     """The rows that known ones lack, and the known ids that rows lack; both count copies.
 
     Copies are counted per digest before any shuffle, so a row that a third of the feed repeats
-    is one row here; it is repeated again only as often as copies are missing.
+    is one row here; it is repeated again only as often as copies are missing. Only digests are
+    compared, and only those that differ are written; whole rows follow for the new ones.
     """
-    columns = [c for c in rows.columns if c not in (*DIGEST, "_place")]
-    here = rows.groupBy(*DIGEST).agg(
-        F.count("*").alias("_here"), F.any_value(F.struct(*columns)).alias("_row")
+    spark = rows.sparkSession
+    here = rows.select(*DIGEST, F.lit(1).alias("_here"), F.lit(0).alias("_there"))
+    there = known.select(*DIGEST, F.lit(0).alias("_here"), F.lit(1).alias("_there"))
+    both = here.unionByName(there).groupBy(*DIGEST).agg(
+        F.sum("_here").alias("_here"), F.sum("_there").alias("_there")
     )
-    there = known.groupBy(*DIGEST).agg(F.count("*").alias("_there"))
-    there.write.parquet(f"{folder}/known")
-    here.join(known.sparkSession.read.parquet(f"{folder}/known"), list(DIGEST), "full").write.parquet(
-        f"{folder}/compared"
+    both.filter("_here != _there").write.parquet(f"{folder}/compared")
+    compared = spark.read.parquet(f"{folder}/compared")
+    more = compared.filter("_here > _there").select(*DIGEST, (F.col("_here") - F.col("_there")).alias("_more"))
+    columns = [c for c in rows.columns if c not in (*DIGEST, "_place")]
+    picked = rows.join(more, list(DIGEST)).groupBy(*DIGEST).agg(
+        F.any_value("_more").alias("_more"), F.any_value(F.struct(*columns)).alias("_row")
     )
-    compared = known.sparkSession.read.parquet(f"{folder}/compared").fillna(0, ["_here", "_there"])
-    new = compared.filter("_here > _there").select(
-        *DIGEST,
-        "_row.*",
-        F.explode(F.sequence(F.lit(1), F.col("_here") - F.col("_there"))).alias("_place"),
+    new = picked.select(
+        *DIGEST, "_row.*", F.explode(F.sequence(F.lit(1), F.col("_more"))).alias("_place")
     )
     fewer = compared.filter("_here < _there").select(*DIGEST, "_here")
     standing = known.join(fewer, list(DIGEST))
@@ -139,8 +141,7 @@ def land_feed(
     """
     spark = raw.sparkSession
     folder = lake.staging("feed")
-    marks = [*(DIGEST if source is not None or not unique else ()), *(() if unique else ("_place",))]
-    rows, name = staged(raw, f"{folder}/raw", marks)
+    rows, name = staged(raw, f"{folder}/raw", places=not unique)
     listed = loads.stored_or_none(spark, lake.manifest, "json", MANIFEST)
     if source is not None:
         version = F.regexp_extract("feed", r"-v(\d+)$", 1).cast("int")
@@ -162,24 +163,28 @@ def land_feed(
         _note(spark, lake, name, first_id, False, source)
     else:
         first_id = own.first_id
-    if source is not None:
-        rows, gone = changes(rows, known_rows(spark, lake, source, name), f"{folder}/changes")
+    count = rows.count()
+    rows = rows.withColumns(row_digest(rows.drop("_place")))
+    known = None if source is None else known_rows(spark, lake, source, name)
+    # A source's first version is new as a whole: there is nothing to compare it with.
+    if known is not None and not known.isEmpty():
+        rows, gone = changes(rows, known, f"{folder}/changes")
         gone.write.mode("overwrite").parquet(f"{lake.withdrawn}/feed={name}")
     if not unique:
         # Copies of a row are told apart by their place in the staged copy.
         tie_breakers = [*(tie_breakers or feed.tie_breakers()), *DIGEST, "_place"]
     ties = feed.tie_breakers() if tie_breakers is None else tie_breakers
-    # What the feed does not list and no order needs is neither shuffled nor stored again.
-    used = {*schemas.FEED, "arrival_date", *ties, *(DIGEST if source is not None else ())}
+    # What the feed does not list and no order needs is neither shuffled nor stored again. The
+    # columns of a source stay, since the digests follow from them.
+    used = {*schemas.FEED, "arrival_date", *ties, *(raw.columns if source is not None else ())}
     dated = feed.with_arrival(rows)
     dated = dated.select(*[c for c in dated.columns if c in used])
-    count = rows.count() if source is None else None
-    bookings = feed.measured(
-        feed.numbered(dated, f"{folder}/numbered", ties, first_id, unique=True, rows=count)
-    )
+    ids = feed.numbered(dated, f"{folder}/numbered", ties, first_id, unique=True, rows=count)
     if source is not None:
-        digests = bookings.select("booking_id", *DIGEST, F.lit(source).alias("source"))
+        digests = ids.select("booking_id", *row_digest(raw).values(), F.lit(source).alias("source"))
+        digests = digests.toDF("booking_id", *DIGEST, "source")
         digests.write.mode("overwrite").parquet(f"{lake.digests}/feed={name}")
+    bookings = feed.measured(ids)
     own_landed = landed.filter(F.col("feed") == name)
     land_missing(feed.as_feed(bookings), own_landed, f"{lake.intervals}/feed={name}")
     _note(spark, lake, name, first_id, True, source)

@@ -99,7 +99,7 @@ def with_lineage(feed: DataFrame) -> DataFrame:
 def append_stream(
     rows: DataFrame, path: str, checkpoint: str, partition_by: str | None = None
 ) -> StreamingQuery:
-    """Append all that is available to Parquet files, then stop.
+    """Append all that is available to Parquet files, and return when that is done.
 
     The checkpoint and the sink's own log let every source file through once,
     whatever fails in between; both must live as long as the table.
@@ -112,8 +112,11 @@ def append_stream(
     )
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    # The sink looks the setting up batch by batch, so it holds until the last one.
     with loads.open_files(rows.sparkSession):
-        return writer.start(path)
+        query = writer.start(path)
+        query.awaitTermination()
+    return query
 
 
 def ingest(
@@ -125,9 +128,7 @@ def ingest(
 ) -> StreamingQuery:
     """Bring all landed and not yet seen files into Bronze. Run once per interval."""
     stream = with_lineage(read_intervals(spark, files, limits))
-    query = append_stream(stream, path, checkpoint, PARTITION)
-    query.awaitTermination()
-    return query
+    return append_stream(stream, path, checkpoint, PARTITION)
 
 
 def counted_lines(query: StreamingQuery) -> dict[str, int]:
@@ -152,9 +153,7 @@ def quarantine(
     limits: BatchLimits = BatchLimits(),
 ) -> StreamingQuery:
     """Set aside the damaged lines of all files that this was not yet done for."""
-    query = append_stream(read_damaged(spark, files, limits), path, checkpoint)
-    query.awaitTermination()
-    return query
+    return append_stream(read_damaged(spark, files, limits), path, checkpoint)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

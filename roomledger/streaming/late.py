@@ -49,9 +49,7 @@ def collect_pending(
     """
     schema = read_streamed(spark, silver_path).schema
     rows = spark.readStream.schema(schema).options(**limits.options()).parquet(silver_path)
-    query = append_stream(rows.filter(unresolved()).select(*PENDING), path, checkpoint)
-    query.awaitTermination()
-    return query
+    return append_stream(rows.filter(unresolved()).select(*PENDING), path, checkpoint)
 
 
 def joined_again(pending: DataFrame, dims: Dimensions) -> DataFrame:

@@ -44,9 +44,7 @@ def refresh(
     hot = {own: hot_keys(read_bronze(spark, bronze_path), own) for own in large}
     facts = stream_bronze(spark, bronze_path, limits)
     enriched = enrich(facts, dims, max_broadcast_rows, NATURAL, hot)
-    query = append_stream(enriched, path, checkpoint, PARTITION)
-    query.awaitTermination()
-    return query
+    return append_stream(enriched, path, checkpoint, PARTITION)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

@@ -70,3 +70,29 @@ def test_the_setting_for_open_files_is_restored(spark):
         assert spark.conf.get(name) == str(loads.OPEN_FILES)
         raise ValueError
     assert spark.conf.get(name) == before
+
+
+def test_of_a_corrected_source_only_digests_that_differ_are_stored(spark, lake):
+    first = raw(spark, 3_000)
+    second = first.filter("l_key != 7").withColumn("babies", F.when(F.col("l_key") == 3, 1).cast("int"))
+    lakehouse.land_feed(first, lake, ("l_key",), unique=True, source="web")
+    assert not list(Path(f"{lake.base}/staging").rglob("compared"))
+    lakehouse.land_feed(second, lake, ("l_key",), unique=True, source="web")
+    compared = [str(p) for p in Path(f"{lake.base}/staging").rglob("compared")]
+    assert len(compared) == 1
+    stored = spark.read.parquet(*compared)
+    assert stored.columns == ["_first_half", "_second_half", "_here", "_there"] and stored.count() == 3
+    lakehouse.load_bronze(spark, lake)
+    standing = lakehouse.standing_bronze(spark, lake)
+    assert standing.count() == 2_999 and standing.filter("babies = 1").count() == 1
+
+
+def test_a_corrected_source_keeps_copies(spark, lake):
+    rows = raw(spark, 40).drop("l_key")
+    lakehouse.land_feed(rows.unionByName(rows), lake, source="web")
+    lakehouse.land_feed(rows.unionByName(rows).unionByName(rows.limit(5)), lake, source="web")
+    assert lakehouse.load_bronze(spark, lake).count() == 85
+    assert lakehouse.standing_bronze(spark, lake).count() == 85
+    lakehouse.land_feed(rows, lake, source="web")
+    assert lakehouse.load_bronze(spark, lake).count() == 85
+    assert lakehouse.standing_bronze(spark, lake).count() == 40
