@@ -170,9 +170,10 @@ Bits = list[np.ndarray]
 
 def _by_lang(common: pa.Table) -> dict[str, Bits]:
     """The common grams of each language as arrays."""
-    langs = np.array(common.column("lang").to_pylist(), object)
+    coded = common.column("lang").combine_chunks().dictionary_encode()
+    codes = coded.indices.to_numpy()
     columns = [common.column(c).to_numpy() for c in ("gram", "bits0", "bits1", "bits2")]
-    return {lang: [c[langs == lang] for c in columns] for lang in set(langs)}
+    return {lang: [c[codes == k] for c in columns] for k, lang in enumerate(coded.dictionary.to_pylist())}
 
 
 def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, bool, int, int]]:

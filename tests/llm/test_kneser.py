@@ -249,3 +249,20 @@ def test_a_tally_lets_go_when_it_is_full(monkeypatch):
             if trusted:
                 slow[None, half, gram] += 1
     assert found == slow
+
+
+def test_common_grams_take_no_object_per_row():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n = 100_000
+    values = {c: pa.array(np.arange(n, dtype=t)) for c, t in (("gram", "i8"), ("bits0", "f8"), ("bits1", "f8"), ("bits2", "f8"))}
+    table = pa.table({"lang": pa.array(["de", "en"] * (n // 2)), **values})
+    tracemalloc.start()
+    found = kneser._by_lang(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * n
+    assert set(found) == {"de", "en"} and found["en"][0][:2].tolist() == [1, 3]
+    assert kneser._by_lang(table.slice(0, 0)) == {}
