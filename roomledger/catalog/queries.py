@@ -41,12 +41,14 @@ def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.with_measures(sample.bookings(spark, sf_dir))
 
 
-def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _numbered(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """Numbered bookings with the columns to keep: those of the feed, unless given."""
     folder = work_folder(spark, "feed")
     dated = feed.with_arrival(sample.bookings(spark, sf_dir))
     lines = sample.given(spark, sf_dir, "lineitem").count()
-    return feed.measured(
-        feed.numbered(dated, folder, sample.TIE_BREAKERS, unique=True, rows=lines)
+    kept = feed.feed_sources(dated) if keep is None else keep
+    return feed.numbered(
+        dated, folder, sample.TIE_BREAKERS, unique=True, rows=lines, keep=kept, codec="lz4_raw"
     )
 
 
@@ -110,13 +112,12 @@ def _built(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, DataFrame]:
 # Feed.
 
 def booking_feed(spark, sf_dir):
-    return feed.as_feed(_numbered(spark, sf_dir))
+    return feed.as_feed(feed.measured(_numbered(spark, sf_dir)))
 
 
 def booking_ids(spark, sf_dir):
-    return _numbered(spark, sf_dir).select(
-        "booking_id", "arrival_date", "hotel", *sample.TIE_BREAKERS
-    )
+    columns = ("arrival_date", "hotel", *sample.TIE_BREAKERS)
+    return _numbered(spark, sf_dir, columns).select("booking_id", *columns)
 
 
 def booking_csv_scan(spark, sf_dir):
@@ -309,7 +310,7 @@ def bronze_restart(spark, sf_dir):
 # Silver.
 
 def silver_enriched(spark, sf_dir):
-    bronze = _as_bronze(_numbered(spark, sf_dir))
+    bronze = _as_bronze(feed.measured(_numbered(spark, sf_dir)))
     return silver.enrich(bronze, _dimensions(spark, sf_dir)).drop("_ingest_timestamp")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger import schemas
+from roomledger.functions import dates
 from roomledger.sources import files
 
 # The reference tables of hotels and room types.
@@ -53,7 +54,14 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw booking transactions, one per order line, with their tie breakers."""
     orders = given(spark, sf_dir, "orders").withColumn("arrival", F.to_date("o_orderdate"))
     guests = _guests(spark, sf_dir)
-    lines = given(spark, sf_dir, "lineitem")
+    # What a line's columns are read as is computed before the shuffle: it is narrower than they are.
+    lines = given(spark, sf_dir, "lineitem").select(
+        *TIE_BREAKERS,
+        _int(F.col("l_quantity").cast("int") % 6).alias("week_nights"),
+        F.to_date("l_shipdate").alias("shipped"),
+        (F.col("l_returnflag") == "R").alias("canceled"),
+        (F.col("l_linestatus") == "O").alias("resort"),
+    )
     parts = given(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
     placed = orders.join(guests, F.col("o_custkey") == F.col("c_custkey"))
     # Lines and orders both grow with the data: they are shuffled on their key at any
@@ -62,16 +70,16 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
     arrival = F.col("arrival")
-    canceled = F.col("l_returnflag") == "R"
+    canceled = F.col("canceled")
     columns = {
-        "hotel": F.when(F.col("l_linestatus") == "O", "Resort Hotel").otherwise("City Hotel"),
+        "hotel": F.when(F.col("resort"), "Resort Hotel").otherwise("City Hotel"),
         "is_canceled": F.when(canceled, 1).otherwise(0),
-        "lead_time": _int(F.abs(F.datediff(F.to_date("l_shipdate"), arrival))),
+        "lead_time": _int(F.abs(F.datediff(F.col("shipped"), arrival))),
         "arrival_date_year": F.year(arrival),
-        "arrival_date_month": F.date_format(arrival, "MMMM"),
+        "arrival_date_month": F.element_at(F.array(*map(F.lit, dates.MONTHS)), F.month(arrival)),
         "arrival_date_day_of_month": F.dayofmonth(arrival),
         "stays_in_weekend_nights": _int(F.col("l_linenumber") % 3),
-        "stays_in_week_nights": _int(F.col("l_quantity").cast("int") % 6),
+        "stays_in_week_nights": F.col("week_nights"),
         "adults": _int(1 + F.col("l_suppkey") % 3),
         "children": _int(F.col("l_partkey") % 2),
         "babies": F.lit(0),

@@ -33,10 +33,13 @@ def month_number(name: Column) -> Column:
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     """The date, or NULL if a part is missing or there is no such day.
 
-    Built from numbers: no text is padded, joined and parsed per row.
+    Built from numbers: no text is padded, joined and parsed per row. Days that every month has
+    need no check; a timestamp, whose seconds are a decimal per row, is only made of others.
     """
     midnight = (F.lit(0), F.lit(0), F.lit(0))
-    return F.try_make_timestamp_ntz(year, month, day, *midnight).cast("date")
+    checked = F.try_make_timestamp_ntz(year, month, day, *midnight).cast("date")
+    plain = year.between(1, 9999) & month.between(1, 12) & day.between(1, 28)
+    return F.when(plain, F.make_date(year, month, day)).otherwise(checked)
 
 
 def date_key(day: Column) -> Column:

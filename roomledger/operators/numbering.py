@@ -27,6 +27,8 @@ def number_rows(
     unique: bool = False,
     partitions: int | None = None,
     first: int = 1,
+    keep: Sequence[str] | None = None,
+    codec: str = "zstd",
 ) -> DataFrame:
     """Add a bigint column counting 1..n in ascending order of the given columns or expressions.
 
@@ -42,7 +44,11 @@ def number_rows(
     and a task that runs again sees them in the same place. Set unique when no two
     rows are equal in the order columns: that copy is then left out.
 
-    folder: a fresh path on storage that all executors share.
+    keep: the columns that come out beside the number, all unless given. Others that the order
+    needs are shuffled, but not stored; those it does not need are not even shuffled.
+
+    codec: how the stored sorted rows are compressed. folder: a fresh path on storage that all
+    executors share.
     """
     spark = df.sparkSession
     keys = list(order_by)
@@ -60,13 +66,13 @@ def number_rows(
         else df.repartitionByRange(*ranges)
     )
     place = F.monotonically_increasing_id()
+    in_order = ranged.sortWithinPartitions(*ranges).drop("_tie")
     sorted_path = f"{folder}/sorted"
     (
-        ranged.sortWithinPartitions(*ranges)
-        .drop("_tie")
+        (in_order if keep is None else in_order.select(*keep))
         .withColumn("_place", place)
         .withColumn("_part", F.shiftright("_place", _POSITION_BITS).cast("int"))
-        .write.option("compression", "zstd")
+        .write.option("compression", codec)
         .parquet(sorted_path)
     )
     placed = spark.read.parquet(sorted_path)

@@ -51,6 +51,8 @@ def numbered(
     first_id: int = 1,
     unique: bool = False,
     rows: int | None = None,
+    keep: Sequence[str] | None = None,
+    codec: str = "zstd",
 ) -> DataFrame:
     """Add booking_id, counting by arrival date and hotel, to bookings with an arrival date.
 
@@ -59,6 +61,8 @@ def numbered(
     later feed take a first_id above those given out. unique: no two bookings agree in
     date, hotel and ties, so that no copy of the rows is needed to tell them apart.
     rows: about how many there are, from which the number of tasks that sort them follows.
+    keep: the columns that come out beside booking_id, all unless given. codec: how the sorted
+    rows are compressed while they are staged.
 
     Measures are best added afterwards, so that they are neither shuffled nor stored; a rate
     counts in the order as it is after cleaning, whether it was cleaned before or not.
@@ -68,10 +72,16 @@ def numbered(
     by = [clean if name == "adr" else name for name in order]
     partitions = None if rows is None else partitions_for(dated.sparkSession, rows)
     return number_rows(
-        dated, by, "booking_id", folder, unique=unique, partitions=partitions, first=first_id
+        dated, by, "booking_id", folder, unique=unique, partitions=partitions, first=first_id,
+        keep=keep, codec=codec,
     )
 
 
+def feed_sources(dated: DataFrame) -> list[str]:
+    """The columns of bookings with an arrival date that the feed and its measures follow from."""
+    return [c for c in dated.columns if c in schemas.FEED]
+
+
 def as_feed(numbered_bookings: DataFrame) -> DataFrame:
     """The 26 feed columns in order and type."""
     return numbered_bookings.select(
@@ -86,4 +96,6 @@ def booking_feed(
     first_id: int = 1,
     unique: bool = False,
 ) -> DataFrame:
-    return as_feed(measured(numbered(with_arrival(raw), folder, ties, first_id, unique)))
+    dated = with_arrival(raw)
+    ids = numbered(dated, folder, ties, first_id, unique, keep=feed_sources(dated))
+    return as_feed(measured(ids))

@@ -262,3 +262,13 @@ def test_schema_listing(spark):
         "added": ["hotel_key", "hotel_type"],
         "dropped": ["hotel_id"],
     }
+
+
+def test_dates_of_all_days_and_odd_parts(spark):
+    years, days = (None, -1, 0, 1, 1900, 2000, 2023, 9999, 10000, 2**31 - 1), (None, -5, 0, 1, 28, 29, 30, 31, 32)
+    rows = [(y, m, d) for y in years for m in (None, 0, 1, 2, 4, 12, 13) for d in days]
+    df = spark.createDataFrame(rows, "y int, m int, d int")
+    parts = [F.col(c) for c in "ymd"]
+    checked = F.try_make_timestamp_ntz(*parts, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    found = df.select(dates.date_from_parts(*parts).eqNullSafe(checked).alias("same"))
+    assert found.filter("same").count() == len(rows)

@@ -1,5 +1,6 @@
 """What a build shuffles and writes follows the bookings, not the names of their columns."""
 
+import os
 import uuid
 from pathlib import Path
 
@@ -7,10 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from roomledger import schemas
+from roomledger.catalog import queries
 from roomledger.operators import loads, numbering
 from roomledger.plans import feed, lakehouse
 from roomledger.session import work_folder
 
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+
 
 @pytest.fixture
 def lake(spark):
@@ -96,3 +100,14 @@ def test_a_corrected_source_keeps_copies(spark, lake):
     lakehouse.land_feed(rows, lake, source="web")
     assert lakehouse.load_bronze(spark, lake).count() == 85
     assert lakehouse.standing_bronze(spark, lake).count() == 40
+
+
+def test_queries_number_no_wider_rows_than_they_return(spark, monkeypatch):
+    folder = work_folder(spark, "test")
+    monkeypatch.setattr(queries, "work_folder", lambda _, label: f"{folder}/{label}")
+    assert "l_orderkey" not in queries.booking_feed(spark, SF_DIR).columns
+    stored = set(spark.read.parquet(f"{folder}/feed/sorted").columns)
+    assert stored <= {*schemas.FEED, "_place", "_part"}
+    shuffled = queries.sample.bookings(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    lines = shuffled.split("Join Inner, (l_orderkey")[1].split("Relation")[0]
+    assert "to_date" in lines or "cast(l_shipdate" in lines
