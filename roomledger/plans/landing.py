@@ -176,10 +176,13 @@ def land_feed(
     ties = feed.tie_breakers() if tie_breakers is None else tie_breakers
     # What the feed does not list and no order needs is neither shuffled nor stored again. The
     # columns of a source stay, since the digests follow from them.
-    used = {*schemas.FEED, "arrival_date", *ties, *(raw.columns if source is not None else ())}
     dated = feed.with_arrival(rows)
-    dated = dated.select(*[c for c in dated.columns if c in used])
-    ids = feed.numbered(dated, f"{folder}/numbered", ties, first_id, unique=True, rows=count)
+    kept = {*feed.feed_sources(dated), *(raw.columns if source is not None else ())}
+    dated = dated.select(*[c for c in dated.columns if c in {*kept, *ties}])
+    ids = feed.numbered(
+        dated, f"{folder}/numbered", ties, first_id, unique=True, rows=count,
+        keep=[c for c in dated.columns if c in kept],
+    )
     if source is not None:
         digests = ids.select("booking_id", *row_digest(raw).values(), F.lit(source).alias("source"))
         digests = digests.toDF("booking_id", *DIGEST, "source")

@@ -102,6 +102,12 @@ def test_a_corrected_source_keeps_copies(spark, lake):
     assert lakehouse.standing_bronze(spark, lake).count() == 40
 
 
+def test_columns_that_only_order_are_not_stored_by_the_numbering(spark, lake):
+    lakehouse.land_feed(raw(spark, 50), lake, ("l_key",), unique=True)
+    copies = {p.parent.name: p.parent for p in Path(f"{lake.base}/staging").rglob("_SUCCESS")}
+    assert set(spark.read.parquet(str(copies["sorted"])).columns) <= {*schemas.FEED, "_place", "_part"}
+
+
 def test_queries_number_no_wider_rows_than_they_return(spark, monkeypatch):
     folder = work_folder(spark, "test")
     monkeypatch.setattr(queries, "work_folder", lambda _, label: f"{folder}/{label}")
