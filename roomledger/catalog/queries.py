@@ -365,6 +365,17 @@ def hotel_added_before_silver(spark, sf_dir):
     return measured(listed, True).unionByName(measured(silver.original_hotels(listed), False))
 
 
+def _staged_bookings(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The feed under keys of its own, staged by year: what is landed in parts is joined once."""
+    keyed = feed.with_arrival(sample.bookings(spark, sf_dir)).withColumn(
+        "booking_id", F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    )
+    kept = keyed.select(*feed.feed_sources(keyed))
+    with loads.open_files(spark):
+        kept.write.partitionBy("arrival_date_year").option("compression", "zstd").parquet(folder)
+    return feed.as_feed(feed.measured(spark.read.schema(kept.schema).parquet(folder)))
+
+
 def _streamed_with_late_members(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Silver streamed in two loads, the second one with a hotel and a country that came late.
 
@@ -373,10 +384,8 @@ def _streamed_with_late_members(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """
     lake = _lake(spark)
     loads.create_database(spark, lake.database, f"{lake.base}/catalog")
-    keyed = _dated(spark, sf_dir).withColumn(
-        "booking_id", F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    )
-    bookings, profiles = feed.as_feed(keyed), sample.guest_profiles(spark, sf_dir)
+    bookings = _staged_bookings(spark, sf_dir, lake.staging("bookings"))
+    profiles = sample.guest_profiles(spark, sf_dir)
     early = F.col("arrival_date_year") < 1998
     calendar, rooms, hotels = _calendar(spark, sf_dir), sample.room_types(spark), sample.hotels(spark)
     first_hotels = hotels.filter(F.col("hotel_name") == "Resort Hotel")

@@ -43,7 +43,7 @@ class Snapshots:
         spark = df.sparkSession
         path = f"{self.folder}/{name}/{uuid.uuid4().hex}"
         with loads.open_files(spark):
-            df.write.partitionBy(*partition_by).parquet(path)
+            df.write.partitionBy(*partition_by).option("compression", loads.CODEC).parquet(path)
         log = loads.stored_or_none(spark, f"{self.folder}/log", "json", LOG)
         last = log.filter(F.col("name") == name).agg(F.max("version")).first()[0]
         row = spark.createDataFrame([(name, (last or 0) + 1, path)], LOG)

@@ -243,7 +243,7 @@ def resolve_late(
         spark, paths[STREAMED_SILVER], paths[PENDING], lake.checkpoint(PENDING), limits
     )
     schema = streamed.select(*late.PENDING).schema
-    pending = loads.stored_or_none(spark, paths[PENDING], "parquet", schema)
+    pending = late.read_pending(spark, paths[PENDING], schema)
     lake.store(late.joined_again(pending, dims), LATE_SILVER)
     return streamed_silver(spark, lake)
 
@@ -278,9 +278,10 @@ def refresh_gold_state(
     if LATE_SILVER not in lake.snapshots.newest(spark):
         return state
     joined = spark.read.parquet(paths[LATE_SILVER])
-    first = loads.stored_or_none(
-        spark, paths[PENDING], "parquet", StructType([f for f in schema if f.name in late.PENDING])
-    ).join(joined.select("booking_id"), "booking_id", "left_semi")
+    pending = late.read_pending(
+        spark, paths[PENDING], StructType([f for f in schema if f.name in late.PENDING])
+    )
+    first = late.first_counted(pending, joined)
     return gold_state.merged(
         state, gold_state.negated(gold_state.partials(first)), gold_state.partials(joined)
     )

@@ -108,6 +108,7 @@ def append_stream(
         rows.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
+        .option("compression", loads.CODEC)
         .trigger(availableNow=True)
     )
     if partition_by:

@@ -8,12 +8,15 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from roomledger import schemas
+from roomledger.operators import loads
 from roomledger.plans.silver import UNKNOWN_KEY, Dimensions, enrich
 from roomledger.streaming.bronze import BatchLimits, append_stream
 
 # The columns a fact is joined by that Silver has not, kept beside it in the streamed table.
 NATURAL = {"_hotel": "hotel", "_country": "country", "_room": "reserved_room_type"}
 PENDING = (*schemas.SILVER, *NATURAL)
+# The file of the pending table that a fact lies in, kept beside it once it is joined again.
+ORIGIN = "_pending_file"
 
 
 def unresolved() -> Column:
@@ -52,15 +55,35 @@ def collect_pending(
     return append_stream(rows.filter(unresolved()).select(*PENDING), path, checkpoint)
 
 
+def read_pending(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Pending facts, each with the name of its file. Files are added whole and never written again."""
+    stored = loads.stored_or_none(spark, path, "parquet", schema)
+    own = F.col("_metadata.file_name") if stored.inputFiles() else F.lit(None).cast("string")
+    return stored.withColumn(ORIGIN, own)
+
+
 def joined_again(pending: DataFrame, dims: Dimensions) -> DataFrame:
-    """Pending facts with the members that the dimensions have now: Silver's columns."""
+    """Pending facts with the members that the dimensions have now: Silver's columns, and the file."""
+    keep = {ORIGIN: ORIGIN} if ORIGIN in pending.columns else {}
     facts = pending.select(
         *[F.col(own).alias(name) for own, name in NATURAL.items()],
         F.col("meal_plan").alias("meal"),
         F.col("special_requests").alias("total_of_special_requests"),
         *[c for c in schemas.SILVER if c in schemas.BRONZE],
+        *keep,
     )
-    return enrich(facts, dims)
+    return enrich(facts, dims, keep=keep)
+
+
+def first_counted(pending: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pending facts that those joined again were made of, as they were before.
+
+    They were made of whole files, so that names of files are compared, a row for each: no fact is
+    shuffled, or sent to all tasks, for its id. Tables stored without the names are compared by id.
+    """
+    if ORIGIN not in joined.columns:
+        return pending.join(joined.select("booking_id"), "booking_id", "left_semi")
+    return pending.join(F.broadcast(joined.select(ORIGIN).distinct()), ORIGIN, "left_semi")
 
 
 def with_late(streamed: DataFrame, joined: DataFrame) -> DataFrame:

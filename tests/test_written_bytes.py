@@ -117,3 +117,23 @@ def test_queries_number_no_wider_rows_than_they_return(spark, monkeypatch):
     shuffled = queries.sample.bookings(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     lines = shuffled.split("Join Inner, (l_orderkey")[1].split("Relation")[0]
     assert "to_date" in lines or "cast(l_shipdate" in lines
+
+
+def test_what_is_landed_in_two_loads_is_joined_once(spark):
+    folder = work_folder(spark, "test")
+    bookings = queries._staged_bookings(spark, SF_DIR, folder)
+    for part in (bookings.filter("arrival_date_year < 1998"), bookings.filter("arrival_date_year >= 1998")):
+        assert part.inputFiles() and all(folder in file for file in part.inputFiles())
+    dated = feed.with_measures(queries.sample.bookings(spark, SF_DIR))
+    keyed = feed.as_feed(dated.withColumn("booking_id", F.col("l_orderkey") * 8 + F.col("l_linenumber")))
+    assert bookings.dtypes == keyed.dtypes
+    assert sorted(map(repr, bookings.collect())) == sorted(map(repr, keyed.collect()))
+
+
+def test_streamed_tables_and_snapshots_are_compressed_alike(spark, lake):
+    loads.write_intervals(feed.booking_feed(raw(spark, 50), work_folder(spark, "test"), ["l_key"]), lake.intervals)
+    lakehouse.load_bronze(spark, lake)
+    lake.store(spark.range(5), "dim_hotel")
+    for path in (lake.path(lakehouse.BRONZE), lake.path("dim_hotel")):
+        names = [p.name for p in Path(path).rglob("part-*")]
+        assert names and all(name.endswith(".zstd.parquet") for name in names)
