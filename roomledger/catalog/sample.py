@@ -30,6 +30,9 @@ ROOM_CODES = "ABCDEFGHLPXY"
 # No two sample bookings agree in all of these.
 TIE_BREAKERS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
+# Above so many parts Spark no longer broadcasts their four columns by its own threshold.
+MOST_PARTS = 5_000_000
+
 REPORT_COUNTRIES = tuple(f"NATION_{n}" for n in range(5))
 REPORT_YEAR = 1996
 
@@ -66,9 +69,13 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = orders.join(guests, F.col("o_custkey") == F.col("c_custkey"))
     # Lines and orders both grow with the data: they are shuffled on their key at any
     # size, hot keys being split at run time. Other sides are broadcast while small.
-    joined = lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
-    )
+    # Parts too many for it are joined first, while lines are narrow: both joins shuffle them then,
+    # and what is written still lies by order.
+    of_order, of_part = F.col("l_orderkey") == F.col("o_orderkey"), F.col("l_partkey") == F.col("p_partkey")
+    if parts.count() > MOST_PARTS:
+        joined = lines.join(parts, of_part).join(placed.hint("merge"), of_order)
+    else:
+        joined = lines.join(placed.hint("merge"), of_order).join(parts, of_part)
     arrival = F.col("arrival")
     canceled = F.col("canceled")
     columns = {

@@ -137,3 +137,12 @@ def test_streamed_tables_and_snapshots_are_compressed_alike(spark, lake):
     for path in (lake.path(lakehouse.BRONZE), lake.path("dim_hotel")):
         names = [p.name for p in Path(path).rglob("part-*")]
         assert names and all(name.endswith(".zstd.parquet") for name in names)
+
+
+def test_parts_too_many_to_broadcast_are_joined_to_narrow_lines(spark, monkeypatch):
+    few = queries.sample.bookings(spark, SF_DIR)
+    monkeypatch.setattr(queries.sample, "MOST_PARTS", 0)
+    many = queries.sample.bookings(spark, SF_DIR)
+    assert many.dtypes == few.dtypes and sorted(map(repr, many.collect())) == sorted(map(repr, few.collect()))
+    outer = [frame._jdf.queryExecution().optimizedPlan().toString().split("Join Inner, ")[1] for frame in (few, many)]
+    assert [plan.split("#")[0] for plan in outer] == ["(l_partkey", "(l_orderkey"]
