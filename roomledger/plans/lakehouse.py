@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from roomledger import schemas
-from roomledger.operators import checks, loads
+from roomledger.operators import checks, loads, marks
 from roomledger.operators.lookup import Dimension
 from roomledger.operators.snapshots import Snapshots, show_as
 from roomledger.plans import dims, gold, gold_state, silver
@@ -197,7 +197,9 @@ def standing_bronze(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     """Bronze without the bookings that a later version of their source withdrew."""
     bronze = bronze_stream.read_bronze(spark, lake.path(BRONZE))
     gone = withdrawn(spark, lake).select("booking_id")
-    return bronze if gone.isEmpty() else bronze.join(gone, "booking_id", "left_anti").select(*bronze.columns)
+    if gone.isEmpty():
+        return bronze
+    return marks.among(bronze, "booking_id", gone, lake.staging("withdrawn"), without=True)
 
 
 def load_silver(

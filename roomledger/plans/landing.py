@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger import schemas
-from roomledger.operators import loads
+from roomledger.operators import loads, marks
 from roomledger.operators.numbering import number_rows
 from roomledger.plans import feed
 
@@ -19,6 +19,8 @@ if TYPE_CHECKING:
 MANIFEST = "feed string, first_id bigint, done boolean, source string"
 LANDED = "booking_id bigint, feed string, interval_year int"
 DIGEST = ("_first_half", "_second_half")
+# Bits of a digest that are summed at once: a bigint holds such sums over 2^41 rows.
+PIECE = 22
 DIGESTS = "booking_id bigint, _first_half bigint, _second_half bigint, source string, feed string"
 WITHDRAWN = "booking_id bigint, feed string"
 
@@ -38,6 +40,22 @@ def row_digest(rows: DataFrame) -> dict[str, Column]:
     return {half: F.xxhash64(F.lit(seed), *fields) for seed, half in enumerate(DIGEST)}
 
 
+def _contents() -> list[Column]:
+    """The number of rows and the sums of their digests, each half in three pieces."""
+    low, found = (1 << PIECE) - 1, [F.count("*").alias("rows")]
+    for half in DIGEST:
+        middle = F.shiftright(half, PIECE).bitwiseAND(low)
+        pieces = (F.col(half).bitwiseAND(low), middle, F.shiftright(half, 2 * PIECE))
+        found += [F.sum(piece).alias(f"{half}{k}") for k, piece in enumerate(pieces)]
+    return found
+
+
+def _name(found: dict[str, int | None]) -> str:
+    """The name that stands for the contents of a feed, by its rows and the sums of both halves."""
+    sums = [sum((found[f"{half}{k}"] or 0) << (k * PIECE) for k in range(3)) for half in DIGEST]
+    return "-".join(f"{value & ((1 << 64) - 1):x}" for value in (found["rows"], *sums))
+
+
 def staged(raw: DataFrame, folder: str, places: bool = True) -> tuple[DataFrame, str]:
     """A written copy of a feed with the place of each row, if asked for, and a name for its contents.
 
@@ -46,15 +64,20 @@ def staged(raw: DataFrame, folder: str, places: bool = True) -> tuple[DataFrame,
     not kept: they follow from the copy wherever they are needed.
     """
     seen = Observation()
-    sums = [F.sum(F.col(half).cast("decimal(38,0)")).alias(half) for half in DIGEST]
-    marked = raw.withColumns(row_digest(raw)).observe(seen, F.count("*").alias("rows"), *sums)
-    copy = marked.drop(*DIGEST)
-    if places:
-        copy = copy.withColumn("_place", F.monotonically_increasing_id())
+    marked = raw.withColumns(row_digest(raw)).observe(seen, *_contents())
+    return copied(marked.drop(*DIGEST), folder, places), _name(seen.get)
+
+
+def copied(raw: DataFrame, folder: str, places: bool = True) -> DataFrame:
+    """A written copy of a feed with the place of each row, if asked for."""
+    copy = raw.withColumn("_place", F.monotonically_increasing_id()) if places else raw
     copy.write.option("compression", "zstd").parquet(folder)
-    found = [int(seen.get[name] or 0) for name in ("rows", *DIGEST)]
-    name = "-".join(f"{value & ((1 << 64) - 1):x}" for value in found)
-    return raw.sparkSession.read.parquet(folder), name
+    return raw.sparkSession.read.parquet(folder)
+
+
+def named(raw: DataFrame) -> str:
+    """The name of a feed's contents that staged gives it, without a copy."""
+    return _name(raw.select(*[half.alias(name) for name, half in row_digest(raw).items()]).agg(*_contents()).first().asDict())
 
 
 def landed_ids(spark: SparkSession, lake: Lakehouse) -> DataFrame:
@@ -73,9 +96,9 @@ def land_missing(bookings: DataFrame, landed: DataFrame, path: str) -> None:
 def known_rows(spark: SparkSession, lake: Lakehouse, source: str, but: str) -> DataFrame:
     """booking_id and digest of a source's landed rows that still stand, without one feed's."""
     landed = loads.stored_or_none(spark, f"{lake.digests}/feed=*", "parquet", DIGESTS, basePath=lake.digests)
-    own = landed.filter((F.col("source") == source) & (F.col("feed") != but))
+    own = landed.filter((F.col("source") == source) & (F.col("feed") != but)).select("booking_id", *DIGEST)
     gone = withdrawn(spark, lake).filter(F.col("feed") != but)
-    return own.join(gone.select("booking_id"), "booking_id", "left_anti").select("booking_id", *DIGEST)
+    return own if gone.isEmpty() else marks.among(own, "booking_id", gone, lake.staging("withdrawn"), without=True)
 
 
 def withdrawn(spark: SparkSession, lake: Lakehouse) -> DataFrame:
@@ -88,35 +111,45 @@ def changes(rows: DataFrame, known: DataFrame, folder: str) -> tuple[DataFrame,
 
     Copies are counted per digest before any shuffle, so a row that a third of the feed repeats
     is one row here; it is repeated again only as often as copies are missing. Only digests are
-    compared, and only those that differ are written; whole rows follow for the new ones.
+    compared, with the first place or id that has them, and only those that differ are written. Whole
+    rows are not shuffled: the new ones are found by their places. Known ids are looked up by
+    digest only where one has several.
     """
     spark = rows.sparkSession
-    here = rows.select(*DIGEST, F.lit(1).alias("_here"), F.lit(0).alias("_there"))
-    there = known.select(*DIGEST, F.lit(0).alias("_here"), F.lit(1).alias("_there"))
+    here = rows.select(*DIGEST, "_place", F.lit(None).cast("bigint").alias("_id"))
+    there = known.select(*DIGEST, F.lit(None).cast("bigint").alias("_place"), F.col("booking_id").alias("_id"))
     both = here.unionByName(there).groupBy(*DIGEST).agg(
-        F.sum("_here").alias("_here"), F.sum("_there").alias("_there")
+        F.struct(F.count("_place").alias("rows"), F.min("_place").alias("first")).alias("_here"),
+        F.struct(F.count("_id").alias("rows"), F.min("_id").alias("first")).alias("_there"),
     )
-    both.filter("_here != _there").write.parquet(f"{folder}/compared")
-    compared = spark.read.parquet(f"{folder}/compared")
-    more = compared.filter("_here > _there").select(*DIGEST, (F.col("_here") - F.col("_there")).alias("_more"))
+
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.option("compression", loads.CODEC).parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    compared = stored(both.filter("_here.rows != _there.rows"), "compared")
+    more = compared.filter("_here.rows > _there.rows")
     columns = [c for c in rows.columns if c not in (*DIGEST, "_place")]
-    picked = rows.join(more, list(DIGEST)).groupBy(*DIGEST).agg(
-        F.any_value("_more").alias("_more"), F.any_value(F.struct(*columns)).alias("_row")
-    )
-    new = picked.select(
-        *DIGEST, "_row.*", F.explode(F.sequence(F.lit(1), F.col("_more"))).alias("_place")
-    )
-    fewer = compared.filter("_here < _there").select(*DIGEST, "_here")
-    standing = known.join(fewer, list(DIGEST))
-    # Of the copies the first ones stay; numbering them spreads a hot row over tasks.
-    ranked = number_rows(
-        standing, [*DIGEST, "booking_id"], "_rank", f"{folder}/copies", unique=True
-    )
-    ranked.write.parquet(f"{folder}/ranked")
-    ranked = known.sparkSession.read.parquet(f"{folder}/ranked")
-    ranked.groupBy(*DIGEST).agg(F.min("_rank").alias("_least")).write.parquet(f"{folder}/least")
-    least = known.sparkSession.read.parquet(f"{folder}/least")
-    gone = ranked.join(least, list(DIGEST)).filter("_rank - _least >= _here").select("booking_id")
+    picked = marks.among(rows, "_place", more.select(F.col("_here.first").alias("_place")), f"{folder}/places")
+    # Written, so that Spark knows how few they are before it plans the joins to them.
+    copies = more.select(*DIGEST, (F.col("_here.rows") - F.col("_there.rows")).alias("_more")).filter("_more > 1")
+    new = picked.select(*DIGEST, *columns, F.lit(1).cast("bigint").alias("_place"))
+    if not (copies := stored(copies, "more_copies")).isEmpty():
+        many = F.sequence(F.lit(1).cast("bigint"), F.coalesce("_more", F.lit(1)))
+        new = picked.join(copies, list(DIGEST), "left").select(*DIGEST, *columns, F.explode(many).alias("_place"))
+    fewer = compared.filter("_here.rows < _there.rows")
+    gone = fewer.filter("_there.rows = 1").select(F.col("_there.first").alias("booking_id"))
+    several = fewer.filter("_there.rows > 1").select(*DIGEST, F.col("_here.rows").alias("_here"))
+    if not (several := stored(several, "fewer_copies")).isEmpty():
+        standing = known.join(several, list(DIGEST))
+        # Of the copies the first ones stay; numbering them spreads a hot row over tasks.
+        ranked = number_rows(
+            standing, [*DIGEST, "booking_id"], "_rank", f"{folder}/copies", unique=True
+        )
+        ranked = stored(ranked, "ranked")
+        least = stored(ranked.groupBy(*DIGEST).agg(F.min("_rank").alias("_least")), "least")
+        last = ranked.join(least, list(DIGEST)).filter("_rank - _least >= _here")
+        gone = gone.unionByName(last.select("booking_id"))
     return new, gone
 
 
@@ -126,6 +159,7 @@ def land_feed(
     tie_breakers: Sequence[str] | None = None,
     unique: bool = False,
     source: str | None = None,
+    stored: bool = False,
 ) -> None:
     """Number the bookings and land them as yearly JSON intervals.
 
@@ -138,10 +172,17 @@ def land_feed(
     that source: rows that an earlier version had, copy for copy, are not landed again, and
     landed rows that it lacks are withdrawn. So of a corrected feed only the changed rows land, with
     ids of their own, and a feed that comes back to an earlier version is compared anew.
+
+    stored: the feed lies in files that stay as they are. It may then be read several times, and is
+    copied only where places of rows are needed: to tell copies apart, or to find changed rows.
     """
     spark = raw.sparkSession
     folder = lake.staging("feed")
-    rows, name = staged(raw, f"{folder}/raw", places=not unique)
+    places = not unique or source is not None
+    if stored:
+        rows, name = raw, named(raw)
+    else:
+        rows, name = staged(raw, f"{folder}/raw", places)
     listed = loads.stored_or_none(spark, lake.manifest, "json", MANIFEST)
     if source is not None:
         version = F.regexp_extract("feed", r"-v(\d+)$", 1).cast("int")
@@ -163,11 +204,14 @@ def land_feed(
         _note(spark, lake, name, first_id, False, source)
     else:
         first_id = own.first_id
-    count = rows.count()
-    rows = rows.withColumns(row_digest(rows.drop("_place")))
     known = None if source is None else known_rows(spark, lake, source, name)
     # A source's first version is new as a whole: there is nothing to compare it with.
-    if known is not None and not known.isEmpty():
+    compared = known is not None and not known.isEmpty()
+    if stored and (compared or not unique):
+        rows = copied(raw, f"{folder}/raw", places)
+    count = rows.count()
+    rows = rows.withColumns(row_digest(rows.drop("_place")))
+    if compared:
         rows, gone = changes(rows, known, f"{folder}/changes")
         gone.write.mode("overwrite").parquet(f"{lake.withdrawn}/feed={name}")
     if not unique:
@@ -186,7 +230,7 @@ def land_feed(
     if source is not None:
         digests = ids.select("booking_id", *row_digest(raw).values(), F.lit(source).alias("source"))
         digests = digests.toDF("booking_id", *DIGEST, "source")
-        digests.write.mode("overwrite").parquet(f"{lake.digests}/feed={name}")
+        digests.write.mode("overwrite").option("compression", loads.CODEC).parquet(f"{lake.digests}/feed={name}")
     bookings = feed.measured(ids)
     own_landed = landed.filter(F.col("feed") == name)
     land_missing(feed.as_feed(bookings), own_landed, f"{lake.intervals}/feed={name}")
