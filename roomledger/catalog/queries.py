@@ -29,6 +29,7 @@ from roomledger.plans.lakehouse import (
     standing_bronze,
     streamed_silver,
 )
+from roomledger.plans.landing import copied
 from roomledger.session import work_folder
 from roomledger.sources import files
 
@@ -285,9 +286,8 @@ def bronze_corrected(spark, sf_dir):
     lake = _lake(spark)
     loads.create_database(spark, lake.database, f"{lake.base}/catalog")
     # Both versions are cut from one stored copy, so that lines are joined once.
-    folder = lake.staging("bookings")
-    sample.bookings(spark, sf_dir).write.option("compression", "zstd").parquet(folder)
-    bookings, line = spark.read.parquet(folder), F.col("l_linenumber")
+    bookings = copied(sample.bookings(spark, sf_dir), lake.staging("bookings"))
+    line = F.col("l_linenumber")
     babies = F.when(line == 3, F.col("babies") + 1).otherwise(F.col("babies"))
     land_feed(bookings, lake, sample.TIE_BREAKERS, unique=True, source="bookings", stored=True)
     for _ in range(2):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 
 # Files that a task may have open at once when it writes a partitioned table.
 OPEN_FILES = 64
+# Bytes of a method above which the JVM does not compile it.
+METHOD_BYTES = 8000
 # How streamed tables and snapshots are compressed: a fifth smaller than by Spark's default.
 CODEC = "zstd"
 # A path that is not there, or a folder without data files.
@@ -19,21 +21,32 @@ NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 @contextmanager
-def open_files(spark: SparkSession, most: int = OPEN_FILES) -> Iterator[None]:
-    """Within it, partitioned writes and batches of streams keep a file open for each partition.
-
-    Otherwise Spark sorts the rows of every task by partition first, which spills them to disk
-    where a task reads many rows from little input. Tasks with more partitions than files still do.
-    """
-    name = "spark.sql.maxConcurrentOutputFileWriters"
+def _set(spark: SparkSession, name: str, value: int) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, most)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def open_files(spark: SparkSession, most: int = OPEN_FILES) -> AbstractContextManager[None]:
+    """Within it, partitioned writes and batches of streams keep a file open for each partition.
+
+    Otherwise Spark sorts the rows of every task by partition first, which spills them to disk
+    where a task reads many rows from little input. Tasks with more partitions than files still do.
+    """
+    return _set(spark, "spark.sql.maxConcurrentOutputFileWriters", most)
+
+
+def short_methods(spark: SparkSession, most: int = METHOD_BYTES) -> AbstractContextManager[None]:
+    """Within it, Spark cuts what it generates for many columns into methods that the JVM compiles.
+
+    Otherwise long ones are interpreted, row by row.
+    """
+    return _set(spark, "spark.sql.codegen.hugeMethodLimit", most)
+
+
 def overwrite(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -27,7 +27,7 @@ def number_rows(
     unique: bool = False,
     partitions: int | None = None,
     first: int = 1,
-    keep: Sequence[str] | None = None,
+    keep: Sequence[str | Column] | None = None,
     codec: str = "zstd",
 ) -> DataFrame:
     """Add a bigint column counting 1..n in ascending order of the given columns or expressions.
@@ -45,7 +45,8 @@ def number_rows(
     rows are equal in the order columns: that copy is then left out.
 
     keep: the columns that come out beside the number, all unless given. Others that the order
-    needs are shuffled, but not stored; those it does not need are not even shuffled.
+    needs are shuffled, but not stored; those it does not need are not even shuffled. An expression is
+    computed after the shuffle, from the columns that were.
 
     codec: how the stored sorted rows are compressed. folder: a fresh path on storage that all
     executors share.

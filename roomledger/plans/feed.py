@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger import schemas
@@ -51,7 +51,7 @@ def numbered(
     first_id: int = 1,
     unique: bool = False,
     rows: int | None = None,
-    keep: Sequence[str] | None = None,
+    keep: Sequence[str | Column] | None = None,
     codec: str = "zstd",
 ) -> DataFrame:
     """Add booking_id, counting by arrival date and hotel, to bookings with an arrival date.

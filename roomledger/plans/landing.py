@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from roomledger import schemas
 from roomledger.operators import loads, marks
+from roomledger.operators.codes import coded
 from roomledger.operators.numbering import number_rows
 from roomledger.plans import feed
 
@@ -173,16 +174,28 @@ def land_feed(
     landed rows that it lacks are withdrawn. So of a corrected feed only the changed rows land, with
     ids of their own, and a feed that comes back to an earlier version is compared anew.
 
-    stored: the feed lies in files that stay as they are. It may then be read several times, and is
-    copied only where places of rows are needed: to tell copies apart, or to find changed rows.
+    stored: the feed is cut from files that copied wrote and that stay as they are, with the places of
+    its rows. It may then be read several times, and no copy of it is written.
     """
+    with loads.short_methods(raw.sparkSession):
+        _land_feed(raw, lake, tie_breakers, unique, source, stored)
+
+
+def _land_feed(
+    raw: DataFrame,
+    lake: Lakehouse,
+    tie_breakers: Sequence[str] | None,
+    unique: bool,
+    source: str | None,
+    stored: bool,
+) -> None:
     spark = raw.sparkSession
     folder = lake.staging("feed")
-    places = not unique or source is not None
     if stored:
-        rows, name = raw, named(raw)
+        rows, name = raw, named(raw.drop("_place"))
+        raw = raw.drop("_place")
     else:
-        rows, name = staged(raw, f"{folder}/raw", places)
+        rows, name = staged(raw, f"{folder}/raw", places=not unique or source is not None)
     listed = loads.stored_or_none(spark, lake.manifest, "json", MANIFEST)
     if source is not None:
         version = F.regexp_extract("feed", r"-v(\d+)$", 1).cast("int")
@@ -206,12 +219,9 @@ def land_feed(
         first_id = own.first_id
     known = None if source is None else known_rows(spark, lake, source, name)
     # A source's first version is new as a whole: there is nothing to compare it with.
-    compared = known is not None and not known.isEmpty()
-    if stored and (compared or not unique):
-        rows = copied(raw, f"{folder}/raw", places)
-    count = rows.count()
+    count, whole = rows.count(), rows
     rows = rows.withColumns(row_digest(rows.drop("_place")))
-    if compared:
+    if known is not None and not known.isEmpty():
         rows, gone = changes(rows, known, f"{folder}/changes")
         gone.write.mode("overwrite").parquet(f"{lake.withdrawn}/feed={name}")
     if not unique:
@@ -222,10 +232,13 @@ def land_feed(
     # columns of a source stay, since the digests follow from them.
     dated = feed.with_arrival(rows)
     kept = {*feed.feed_sources(dated), *(raw.columns if source is not None else ())}
-    dated = dated.select(*[c for c in dated.columns if c in {*kept, *ties}])
+    kept = [c for c in dated.columns if c in kept]
+    # Columns of few values are shuffled as some bits; they are stored as they were.
+    words, values = coded(whole, [c for c in kept if c in raw.columns and c not in ("hotel", *ties)])
+    dated = dated.select(*[c for c in dated.columns if c in {*kept, *ties} and c not in values], *words)
     ids = feed.numbered(
         dated, f"{folder}/numbered", ties, first_id, unique=True, rows=count,
-        keep=[c for c in dated.columns if c in kept],
+        keep=[values.get(c, c) for c in kept],
     )
     if source is not None:
         digests = ids.select("booking_id", *row_digest(raw).values(), F.lit(source).alias("source"))

@@ -1,12 +1,13 @@
 """Rows found by a bit per number, and versions of a feed compared without moving whole rows."""
 
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from roomledger import schemas
-from roomledger.operators import loads, marks
+from roomledger.operators import codes, loads, marks
 from roomledger.plans import feed, lakehouse, landing
 from roomledger.session import work_folder
 
@@ -65,3 +66,56 @@ def test_new_rows_and_gone_ids_shuffle_no_whole_rows(spark, folder):
     assert sorted(r.l_key for r in new.collect()) == [k for k in range(900) if k % 5 and k != 7]
     for frame in (new, gone):
         assert "Exchange hashpartitioning" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_coded_columns_come_back(spark):
+    rows = spark.createDataFrame(
+        [("a", None, -5, 2**40, 1.5, ""), (None, None, None, 7, None, "é\u0001"), ("", None, 2**20, -3, 0.0, "a"), ("b,", None, 0, None, 2.0, None)],
+        "text string, none string, number int, wide bigint, rate double, other string",
+    ).withColumn("nothing", F.lit(None).cast("int")).withColumn("small", F.lit(3).cast("smallint"))
+    packed, values = codes.coded(rows, rows.columns)
+    assert set(values) == {"text", "number", "other", "small"} and len(packed) == 1
+    rest = [c for c in rows.columns if c not in values]
+    back = rows.select(*rest, *packed).select(*[values.get(c, F.col(c)) for c in rows.columns])
+    assert back.dtypes == rows.dtypes and sorted(map(repr, back.collect())) == sorted(map(repr, rows.collect()))
+
+
+def test_many_values_take_several_words_or_none(spark):
+    numbers = {f"n{k}": (F.col("id") * (k + 3) % 99_991 - 500).cast("int") for k in range(9)}
+    rows = spark.range(2_000).select("id", *[c.alias(n) for n, c in numbers.items()], F.concat(F.lit("t"), "id").alias("text"))
+    packed, values = codes.coded(rows, rows.columns)
+    assert "text" not in values and set(values) == {"id", *numbers} and len(packed) > 2
+    back = rows.select("text", *packed).select(*[values.get(c, F.col(c)) for c in rows.columns])
+    assert sorted(back.collect()) == sorted(rows.collect())
+    assert codes.coded(rows, ["text"]) == ([], {}) and codes.coded(rows, []) == ([], {})
+    assert codes.coded(rows.limit(0), rows.columns)[1] == {}
+
+
+def test_a_stored_feed_is_not_copied_and_shuffled_as_bits(spark, lake, monkeypatch):
+    shuffled = []
+    number = feed.number_rows
+    monkeypatch.setattr(feed, "number_rows", lambda df, *a, **kw: shuffled.append(set(df.columns)) or number(df, *a, **kw))
+    first = landing.copied(bookings(spark, 300), lake.staging("bookings"))
+    second = first.filter("l_key != 7").withColumn("babies", F.when(F.col("l_key") % 5 == 3, 1).otherwise(F.col("babies")))
+    for version in (first, second, second):
+        lakehouse.land_feed(version, lake, ("l_key",), unique=True, source="web", stored=True)
+    assert not list(Path(lake.base).glob("staging/feed-*/raw"))
+    assert len(shuffled) == 2 and not any({"country", "adults", "arrival_date_month", "_place"} & names for names in shuffled)
+    lakehouse.load_bronze(spark, lake)
+    rows = lakehouse.standing_bronze(spark, lake)
+    assert rows.count() == 299 and rows.agg(F.sum("babies")).first()[0] == 60
+    wanted = second.groupBy("country", "adults", "babies").count().collect()
+    assert sorted(rows.groupBy("country", "adults", "babies").count().collect(), key=repr) == sorted(wanted, key=repr)
+
+
+def test_a_stored_feed_with_copies_lands_as_an_unstored_one(spark, lake):
+    rows = bookings(spark, 30).drop("l_key")
+    stored = landing.copied(rows.unionByName(rows), lake.staging("bookings"))
+    lakehouse.land_feed(stored, lake, source="web", stored=True)
+    lakehouse.land_feed(rows.unionByName(rows), lake, source="web")
+    assert lakehouse.load_bronze(spark, lake).count() == 60
+    lakehouse.land_feed(rows.unionByName(rows).unionByName(rows), lake, source="web")
+    assert lakehouse.load_bronze(spark, lake).count() == 90
+    lakehouse.land_feed(landing.copied(rows, lake.staging("bookings")), lake, source="web", stored=True)
+    lakehouse.load_bronze(spark, lake)
+    assert lakehouse.standing_bronze(spark, lake).count() == 30
