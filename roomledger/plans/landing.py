@@ -234,7 +234,8 @@ def _land_feed(
     kept = {*feed.feed_sources(dated), *(raw.columns if source is not None else ())}
     kept = [c for c in dated.columns if c in kept]
     # Columns of few values are shuffled as some bits; they are stored as they were.
-    words, values = coded(whole, [c for c in kept if c in raw.columns and c not in ("hotel", *ties)])
+    ordered = ("arrival_date", "hotel", *ties)
+    words, values = coded(whole, [c for c in kept if c in raw.columns and c not in ordered])
     dated = dated.select(*[c for c in dated.columns if c in {*kept, *ties} and c not in values], *words)
     ids = feed.numbered(
         dated, f"{folder}/numbered", ties, first_id, unique=True, rows=count,
